@@ -9,3 +9,13 @@ Entry points:
 """
 
 __all__ = ["catalog", "session"]
+
+import sys as _sys
+
+# Ship this package's functions to Python workers by value: executors then
+# need PySpark only, not this package on their import path.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle without the hook
+    pass

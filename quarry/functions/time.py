@@ -8,6 +8,8 @@ instant with the same UTC wall clock and back, exactly, in any session zone.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +33,11 @@ def instant_to_ntz(col: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.expr(_EPOCH_NTZ))
 
 
-def ntz_lit(text: str) -> Column:
-    """A ``timestamp_ntz`` literal, e.g. ``ntz_lit('1996-01-01')``."""
+def ntz_lit(value: str | datetime) -> Column:
+    """A ``timestamp_ntz`` literal from text or a naive datetime.
+
+    Built from text so that neither the Python process zone nor the session
+    zone shifts it (a datetime literal would be read in local time).
+    """
+    text = value.isoformat(sep=" ") if isinstance(value, datetime) else value
     return F.lit(text).cast("timestamp_ntz")

@@ -1 +1,313 @@
-"""Streaming queries (filled in below)."""
+"""Event-time streaming queries over the events table.
+
+Each query reads the events table (or Parquet files that Spark staged from
+it) as a stream, runs with ``availableNow`` to completion and returns its
+sink as a batch DataFrame.  The watermark column is ``event_time``, the
+zoned twin of the NTZ ``ts`` column (``functions/time.py``).
+
+Output modes are chosen for bounded state: windowed aggregates and sessions
+run in append mode with a watermark (state is dropped once a window closes);
+complete mode is used only for the small day x type rollup.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+from datetime import time as dtime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.catalog import query
+from quarry.functions.numeric import SUM2, money
+from quarry.functions.time import instant_to_ntz, ntz_lit
+from quarry.plans.broadcast import bounded_broadcast
+from quarry.sources.tables import Tables
+from quarry.streaming.runner import (EVENT_TIME, events_stream, new_paths, overwrite_sink,
+                                     per_batch_sink, run_available_now, stage, window_cols)
+from quarry.streaming.stateful import running_user_stats
+
+WATERMARK = "1 hour"
+SESSION_GAP = "12 hours"
+
+_DAILY_BY_TYPE = """
+SELECT date_trunc('day', ts) AS window_start,
+       date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       event_type, COUNT(*) AS n,
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS total_value
+FROM events
+GROUP BY 1, 2, 3
+"""
+
+
+def _daily_by_type(stream: DataFrame) -> DataFrame:
+    return (stream.groupBy(F.window(EVENT_TIME, "1 day"), "event_type")
+                  .agg(F.count(F.lit(1)).alias("n"), F.sum(money("value")).cast(SUM2).alias("total_value"))
+                  .select(*window_cols(), "event_type", "n", "total_value"))
+
+
+@query("stream_tumbling", tier="stream", oracle=_DAILY_BY_TYPE)
+def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts per type, complete mode (state: days x types, small)."""
+    paths = new_paths(spark, "stream_tumbling")
+    agg = _daily_by_type(events_stream(spark, sf_dir))
+    run_available_now(agg, paths, "complete", overwrite_sink(paths.sink))
+    return spark.read.parquet(paths.sink)
+
+
+@query("stream_sliding", tier="stream", oracle="""
+SELECT window_start, window_start + INTERVAL 2 DAY AS window_end, COUNT(*) AS n
+FROM (SELECT date_trunc('day', ts) AS window_start FROM events
+      UNION ALL
+      SELECT date_trunc('day', ts) - INTERVAL 1 DAY FROM events) t
+GROUP BY window_start
+""")
+def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2-day windows sliding by 1 day; complete mode (one row per window)."""
+    paths = new_paths(spark, "stream_sliding")
+    agg = (events_stream(spark, sf_dir)
+           .groupBy(F.window(EVENT_TIME, "2 days", "1 day"))
+           .agg(F.count(F.lit(1)).alias("n"))
+           .select(*window_cols(), "n"))
+    run_available_now(agg, paths, "complete", overwrite_sink(paths.sink))
+    return spark.read.parquet(paths.sink)
+
+
+@query("stream_session", tier="stream", oracle="""
+WITH g AS (
+  SELECT user_id, ts,
+         CASE WHEN LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                OR ts >= LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 12 HOUR
+              THEN 1 ELSE 0 END AS brk
+  FROM events),
+s AS (SELECT user_id, ts,
+             SUM(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid
+      FROM g)
+SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 12 HOUR AS session_end,
+       COUNT(*) AS n_events
+FROM s
+GROUP BY user_id, sid
+HAVING MAX(ts) + INTERVAL 12 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR
+""")
+def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-user sessions (12 h gap), append mode: a session is written once
+    the watermark passes its end, and its state is dropped then.  Sessions
+    still open when the input ends are not final and are not written."""
+    paths = new_paths(spark, "stream_session")
+    sessions = (events_stream(spark, sf_dir)
+                .withWatermark(EVENT_TIME, WATERMARK)
+                .groupBy("user_id", F.session_window(EVENT_TIME, SESSION_GAP).alias("s"))
+                .agg(F.count(F.lit(1)).alias("n_events"))
+                .select("user_id",
+                        instant_to_ntz(F.col("s.start")).alias("session_start"),
+                        instant_to_ntz(F.col("s.end")).alias("session_end"),
+                        "n_events"))
+    run_available_now(sessions, paths, "append")
+    return spark.read.parquet(paths.sink)
+
+
+@query("stream_watermark_append", tier="stream", oracle=f"""
+SELECT * FROM ({_DAILY_BY_TYPE}) d
+WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR
+""")
+def stream_watermark_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily rollup in append mode behind a 1 h watermark: each day is
+    written once, when it can no longer change; the last day stays open."""
+    paths = new_paths(spark, "stream_watermark_append")
+    agg = _daily_by_type(events_stream(spark, sf_dir).withWatermark(EVENT_TIME, WATERMARK))
+    run_available_now(agg, paths, "append")
+    return spark.read.parquet(paths.sink)
+
+
+@query("stream_late_data", tier="stream", oracle="""
+WITH b AS (SELECT date_trunc('day', MIN(ts)) + INTERVAL 1 DAY AS day1_end,
+                  MAX(ts) - INTERVAL 1 HOUR AS wm
+           FROM events)
+SELECT date_trunc('day', ts) AS window_start,
+       date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       COUNT(*) AS n
+FROM events, b
+WHERE ts >= b.day1_end
+GROUP BY 1, 2
+HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= MAX(b.wm)
+""")
+def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows are dropped across a restart.
+
+    Everything after the first day is staged and processed; the query stops.
+    Then the first day's rows arrive as new files and the query restarts from
+    its checkpoint: the restored watermark is far past them, so they are
+    dropped and no closed window changes.
+    """
+    paths = new_paths(spark, "stream_late_data")
+    ev = Tables(spark, sf_dir).events
+    first_day = ev.agg(F.min(F.to_date("ts")).alias("d")).first()["d"]   # one scalar
+    first_day_end = datetime.combine(first_day + timedelta(days=1), dtime())
+    on_time = ev.where(F.col("ts") >= ntz_lit(first_day_end))
+    late = ev.where(F.col("ts") < ntz_lit(first_day_end))
+
+    def daily() -> DataFrame:
+        return (events_stream(spark, source_dir=paths.source)
+                .withWatermark(EVENT_TIME, WATERMARK)
+                .groupBy(F.window(EVENT_TIME, "1 day"))
+                .agg(F.count(F.lit(1)).alias("n"))
+                .select(*window_cols(), "n"))
+
+    stage(on_time, paths.source)
+    run_available_now(daily(), paths, "append")
+    stage(late, paths.source)
+    run_available_now(daily(), paths, "append")           # restart, same checkpoint
+    return spark.read.parquet(paths.sink)
+
+
+@query("stream_dedup", tier="stream", oracle="""
+SELECT DISTINCT event_id, user_id, ts, event_type, value FROM events
+""")
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event delivered twice (two staged copies); duplicates within the
+    watermark are removed, and state per id is dropped after it."""
+    paths = new_paths(spark, "stream_dedup")
+    ev = Tables(spark, sf_dir).events
+    stage(ev, paths.source)
+    stage(ev, paths.source)
+    deduped = (events_stream(spark, source_dir=paths.source)
+               .withWatermark(EVENT_TIME, WATERMARK)
+               .dropDuplicatesWithinWatermark(["event_id"])
+               .select("event_id", "user_id", "ts", "event_type", "value"))
+    run_available_now(deduped, paths, "append")
+    return spark.read.parquet(paths.sink)
+
+
+@query("stream_stream_join", tier="stream", oracle="""
+SELECT v.event_id AS view_id, p.event_id AS purchase_id, v.user_id,
+       v.ts AS view_ts, p.ts AS purchase_ts
+FROM events v
+JOIN events p ON v.user_id = p.user_id
+             AND p.ts >= v.ts AND p.ts <= v.ts + INTERVAL 6 HOUR
+WHERE v.event_type = 'view' AND p.event_type = 'purchase'
+""")
+def stream_stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """View then purchase within 6 h: both sides watermarked and the time
+    range bounds how long each row waits in join state."""
+    paths = new_paths(spark, "stream_stream_join")
+    views = (events_stream(spark, sf_dir).where(F.col("event_type") == "view")
+             .select(F.col("event_id").alias("view_id"), "user_id",
+                     F.col("ts").alias("view_ts"), F.col(EVENT_TIME).alias("v_time"))
+             .withWatermark("v_time", WATERMARK))
+    buys = (events_stream(spark, sf_dir).where(F.col("event_type") == "purchase")
+            .select(F.col("event_id").alias("purchase_id"), F.col("user_id").alias("p_user"),
+                    F.col("ts").alias("purchase_ts"), F.col(EVENT_TIME).alias("p_time"))
+            .withWatermark("p_time", WATERMARK))
+    joined = (views.join(buys, (F.col("user_id") == F.col("p_user"))
+                         & (F.col("p_time") >= F.col("v_time"))
+                         & (F.col("p_time") <= F.col("v_time") + F.expr("INTERVAL 6 HOURS")))
+                   .select("view_id", "purchase_id", "user_id", "view_ts", "purchase_ts"))
+    run_available_now(joined, paths, "append")
+    return spark.read.parquet(paths.sink)
+
+
+@query("stream_static_join", tier="stream", oracle="""
+SELECT e.event_id, e.user_id, e.event_type, c.c_mktsegment, n.n_name
+FROM events e
+JOIN customer c ON e.user_id = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey
+""")
+def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events enriched with the customer dimension (user_id = c_custkey).
+
+    The static side is re-planned per micro-batch: Spark broadcasts it when
+    its size estimate allows, else shuffles it; nation is broadcast behind
+    the row check."""
+    paths = new_paths(spark, "stream_static_join")
+    t = Tables(spark, sf_dir)
+    dim = (t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+           .join(bounded_broadcast(t.nation.select("n_nationkey", "n_name")),
+                 F.col("c_nationkey") == F.col("n_nationkey")))
+    enriched = (events_stream(spark, sf_dir)
+                .join(dim, F.col("user_id") == F.col("c_custkey"))
+                .select("event_id", "user_id", "event_type", "c_mktsegment", "n_name"))
+    run_available_now(enriched, paths, "append")
+    return spark.read.parquet(paths.sink)
+
+
+@query("stream_stateful", tier="stream", oracle="""
+SELECT user_id, COUNT(*) AS n_events, ARG_MAX(value, ts) AS last_value, MAX(ts) AS last_ts
+FROM events
+GROUP BY user_id
+""")
+def stream_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running count and latest value per user in keyed state
+    (transformWithStateInPandas, RocksDB), over two runs: the first half of
+    the time range, then a restart from the checkpoint with the second half.
+    Each batch emits the updated users; the result is each user's last
+    emitted state."""
+    paths = new_paths(spark, "stream_stateful")
+    ev = Tables(spark, sf_dir).events
+    mid = ev.agg(F.max("ts").alias("hi"), F.min("ts").alias("lo")).first()
+    split = mid["lo"] + (mid["hi"] - mid["lo"]) / 2
+    split_col = ntz_lit(split)
+    sink = f"{paths.sink}/batches"
+    stage(ev.where(F.col("ts") < split_col), paths.source)
+    run_available_now(running_user_stats(events_stream(spark, source_dir=paths.source)),
+                      paths, "update", per_batch_sink(sink))
+    stage(ev.where(F.col("ts") >= split_col), paths.source)
+    run_available_now(running_user_stats(events_stream(spark, source_dir=paths.source)),
+                      paths, "update", per_batch_sink(sink))
+    emitted = spark.read.parquet(sink)
+    latest = emitted.groupBy("user_id").agg(
+        F.max_by(F.struct("n_events", "last_value", "last_ts"), "batch_id").alias("s"))
+    return latest.select("user_id", "s.n_events", "s.last_value", "s.last_ts")
+
+
+@query("stream_sink_upsert", tier="stream", oracle="""
+SELECT user_id, event_id, ts, event_type, value
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+      FROM events) t
+WHERE rn = 1
+""")
+def stream_sink_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest event per user kept as an upserted table (copy-on-write).
+
+    foreachBatch merges each micro-batch into the previous version and writes
+    version ``v=<batch id>``; a replayed batch rewrites the same version from
+    the same inputs, so retries are idempotent.  Two runs (restart between)
+    exercise the merge."""
+    paths = new_paths(spark, "stream_sink_upsert")
+    ev = Tables(spark, sf_dir).events
+    mid = ev.agg(F.max("ts").alias("hi"), F.min("ts").alias("lo")).first()
+    split_col = ntz_lit(mid["lo"] + (mid["hi"] - mid["lo"]) / 2)
+    table = f"{paths.sink}/table"
+    cols = ["user_id", "event_id", "ts", "event_type", "value"]
+
+    def latest_per_user(df: DataFrame) -> DataFrame:
+        s = df.groupBy("user_id").agg(
+            F.max_by(F.struct(*cols[1:]), F.struct("ts", "event_id")).alias("r"))
+        return s.select("user_id", *[F.col(f"r.{c}").alias(c) for c in cols[1:]])
+
+    def upsert(batch: DataFrame, epoch_id: int) -> None:
+        merged = latest_per_user(batch.select(*cols))
+        prev = _previous_version(spark, table, epoch_id)
+        if prev is not None:
+            merged = latest_per_user(prev.select(*cols).unionByName(merged))
+        merged.write.mode("overwrite").parquet(f"{table}/v={epoch_id}")
+
+    for part in (F.col("ts") < split_col, F.col("ts") >= split_col):
+        stage(ev.where(part), paths.source)
+        run_available_now(events_stream(spark, source_dir=paths.source).select(*cols),
+                          paths, "append", upsert)
+    last = _previous_version(spark, table, None)
+    return last.select(*cols)
+
+
+def _previous_version(spark: SparkSession, table: str, before: int | None) -> DataFrame | None:
+    """The newest ``v=`` version of the table older than ``before``."""
+    try:
+        versions = spark.read.parquet(table)
+    except Exception:          # no version written yet
+        return None
+    if before is not None:
+        versions = versions.where(F.col("v") < before)
+    newest = versions.agg(F.max("v").alias("v")).first()["v"]   # one scalar
+    if newest is None:
+        return None
+    return spark.read.parquet(f"{table}/v={newest}")
