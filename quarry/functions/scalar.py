@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
-from quarry.functions.numeric import SUM2, money
+from quarry.functions.numeric import exact_sum
 from quarry.sources.tables import Tables
 
 
@@ -112,7 +112,7 @@ def math_funcs(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size")
     return p.select(
         "p_partkey",
-        F.round(money("p_retailprice") * F.lit(1.07).cast("decimal(3,2)"), 2)
+        F.round(F.col("p_retailprice").cast("decimal(12,2)") * F.lit(1.07).cast("decimal(3,2)"), 2)
          .cast("decimal(18,2)").alias("price_with_vat"),
         F.floor("p_retailprice").cast("bigint").alias("price_floor"),
         F.ceil("p_retailprice").cast("bigint").alias("price_ceil"),
@@ -208,4 +208,4 @@ def json_funcs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Tables(spark, sf_dir).events
     parsed = ev.select(F.from_json("props", "k INT").getField("k").alias("k"), "value")
     return parsed.groupBy("k").agg(F.count(F.lit(1)).alias("n_events"),
-                                   F.sum(money("value")).cast(SUM2).alias("total_value"))
+                                   exact_sum("value").alias("total_value"))

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
-from quarry.functions.numeric import (SUM2, SUM4, SUM6, charge, disc_price, exact_avg,
-                                      exact_sum, money, rate)
+from quarry.functions.numeric import (SUM2, SUM4, SUM6, cents, charge_units, disc_price_units,
+                                      exact_avg, exact_sum, scale_back, sum_units)
 from quarry.functions.time import ntz_lit
 from quarry.operators.skew import exact_percentiles
 from quarry.plans.broadcast import bounded_broadcast
@@ -46,13 +46,13 @@ def pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = Tables(spark, sf_dir).lineitem
     return (li.where(F.col("l_shipdate") <= ntz_lit("2001-09-02"))
               .groupBy("l_returnflag", "l_linestatus")
-              .agg(exact_sum("l_quantity").alias("sum_qty"),
+              .agg(exact_sum("l_quantity", wide=False).alias("sum_qty"),
                    exact_sum("l_extendedprice").alias("sum_base_price"),
-                   F.sum(disc_price()).cast(SUM4).alias("sum_disc_price"),
-                   F.sum(charge()).cast(SUM6).alias("sum_charge"),
-                   exact_avg("l_quantity").alias("avg_qty"),
+                   scale_back(sum_units(disc_price_units()), 4, SUM4).alias("sum_disc_price"),
+                   scale_back(sum_units(charge_units()), 6, SUM6).alias("sum_charge"),
+                   exact_avg("l_quantity", wide=False).alias("avg_qty"),
                    exact_avg("l_extendedprice").alias("avg_price"),
-                   exact_avg("l_discount").alias("avg_disc"),
+                   exact_avg("l_discount", wide=False).alias("avg_disc"),
                    F.count(F.lit(1)).alias("count_order")))
 
 
@@ -79,7 +79,7 @@ def _orders_by_status_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = Tables(spark, sf_dir).orders
     return (orders.groupBy("o_orderstatus", "o_orderpriority")
                   .agg(F.count(F.lit(1)).alias("n"),
-                       F.sum(money("o_totalprice")).alias("total")))
+                       sum_units(cents("o_totalprice")).alias("total")))
 
 
 @query("grouping_sets_query", oracle="""
@@ -98,7 +98,7 @@ def grouping_sets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .agg(F.grouping(s).cast("int").alias("g_status"),
                      F.grouping(p).cast("int").alias("g_priority"),
                      F.sum("n").cast("bigint").alias("n_orders"),
-                     F.sum("total").cast(SUM2).alias("total_price")))
+                     scale_back(F.sum("total"), 2, SUM2).alias("total_price")))
 
 
 @query("rollup_query", oracle="""
@@ -116,7 +116,7 @@ def rollup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Aggregate the fact side to one row per nation key before touching the
     # dimensions; the joins and the roll-up then see 25 rows.
     per_nation = (t.customer.groupBy("c_nationkey")
-                   .agg(F.count(F.lit(1)).alias("n"), F.sum(money("c_acctbal")).alias("bal")))
+                   .agg(F.count(F.lit(1)).alias("n"), sum_units(cents("c_acctbal")).alias("bal")))
     nation = bounded_broadcast(t.nation)
     region = bounded_broadcast(t.region)
     named = (per_nation.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -124,7 +124,7 @@ def rollup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (named.rollup("r_name", "n_name")
                  .agg(F.grouping_id("r_name", "n_name").cast("int").alias("gid"),
                       F.sum("n").cast("bigint").alias("n_customers"),
-                      F.sum("bal").cast(SUM2).alias("total_balance")))
+                      scale_back(F.sum("bal"), 2, SUM2).alias("total_balance")))
 
 
 @query("cube_query", oracle="""
@@ -140,7 +140,7 @@ def cube_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (fine.cube("o_orderstatus", "o_orderpriority")
                 .agg(F.grouping_id("o_orderstatus", "o_orderpriority").cast("int").alias("gid"),
                      F.sum("n").cast("bigint").alias("n_orders"),
-                     F.sum("total").cast(SUM2).alias("total_price")))
+                     scale_back(F.sum("total"), 2, SUM2).alias("total_price")))
 
 
 # The order status codes of the orders table.

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
-from quarry.functions.numeric import SUM2, SUM4, disc_price, money
+from quarry.functions.numeric import SUM2, SUM4, cents, disc_price_units, scale_back, sum_units
 from quarry.functions.time import ntz_lit, ntz_micros
 from quarry.operators.skew import Out, ordered_scan
 from quarry.plans.broadcast import bounded_broadcast
@@ -57,12 +57,12 @@ def inner_join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
                         & (F.col("c_nationkey") == F.col("s_nationkey"))))
     # Aggregate on the nation key first: the dimension joins see <= 25 rows.
     per_nation = (facts.groupBy("s_nationkey")
-                       .agg(F.sum(disc_price()).alias("rev"), F.count(F.lit(1)).alias("n")))
+                       .agg(sum_units(disc_price_units()).alias("rev"), F.count(F.lit(1)).alias("n")))
     nation = bounded_broadcast(t.nation)
     region = bounded_broadcast(t.region)
     return (per_nation.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
                       .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-                      .select("r_name", "n_name", F.col("rev").cast(SUM4).alias("revenue"),
+                      .select("r_name", "n_name", scale_back(F.col("rev"), 4, SUM4).alias("revenue"),
                               F.col("n").alias("n_lines")))
 
 
@@ -76,12 +76,12 @@ GROUP BY o_orderkey, o_orderstatus
 def left_join_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     per_order = (t.lineitem.groupBy("l_orderkey")
-                  .agg(F.count(F.lit(1)).alias("n"), F.sum(money("l_quantity")).alias("q")))
+                  .agg(F.count(F.lit(1)).alias("n"), F.sum(cents("l_quantity")).alias("q")))
     return (t.orders.select("o_orderkey", "o_orderstatus")
              .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
              .select("o_orderkey", "o_orderstatus",
                      F.coalesce("n", F.lit(0)).cast("bigint").alias("n_lines"),
-                     F.coalesce("q", F.lit(0)).cast(SUM2).alias("total_qty")))
+                     scale_back(F.coalesce("q", F.lit(0)), 2, SUM2).alias("total_qty")))
 
 
 @query("full_outer_join", oracle="""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
-from quarry.functions.numeric import SUM4, money, rate
+from quarry.functions.numeric import SUM4, revenue_units, scale_back
 from quarry.functions.time import ntz_lit
 from quarry.sources.tables import Tables
 
@@ -35,7 +35,7 @@ def scan_filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
                      & F.col("l_discount").between(0.05, 0.07)
                      & (F.col("l_quantity") < 24))
               .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate",
-                      (money("l_extendedprice") * rate("l_discount")).cast(SUM4).alias("revenue")))
+                      scale_back(revenue_units(), 4, SUM4).alias("revenue")))
 
 
 @query("predicate_mix", oracle="""

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
-from quarry.functions.numeric import SUM2, money
+from quarry.functions.numeric import SUM2, cents, scale_back
 from quarry.operators.joins import asof_join
 from quarry.operators.skew import Out, ordered_scan
 from quarry.sources.tables import Tables
@@ -60,7 +60,7 @@ def _numbered_events(spark: SparkSession, sf_dir: str, extra: list[Out] | None =
                      cols: tuple = ("event_id", "user_id", "ts", "event_type", "value")):
     ev = Tables(spark, sf_dir).events.select(*cols)
     if any(o.kind == "running_sum" for o in extra or []):
-        ev = ev.withColumn("_v", money("value"))
+        ev = ev.withColumn("_v", cents("value"))
     return ordered_scan(ev, ["user_id"], [("ts", True), ("event_id", True)],
                         [Out("row_number", "_rn"), *(extra or [])])
 
@@ -109,7 +109,7 @@ def window_rows_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     moving = F.col("_cum") - F.coalesce("_cum_back", F.lit(0))
     n = F.least(F.col("_rn"), F.lit(FRAME_ROWS))
     return j.select("event_id", "user_id", "ts",
-                    (moving.cast("double") / n).alias("moving_avg"))
+                    (moving.cast("double") / 100 / n).alias("moving_avg"))
 
 
 @query("window_range_frame", oracle="""
@@ -123,7 +123,7 @@ def window_range_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts", "value")
     # Running totals per distinct (user, ts): peers of a RANGE frame share them.
     per_ts = (ev.groupBy("user_id", "ts")
-                .agg(F.count(F.lit(1)).alias("_c"), F.sum(money("value")).alias("_s")))
+                .agg(F.count(F.lit(1)).alias("_c"), F.sum(cents("value")).alias("_s")))
     cum = ordered_scan(per_ts, ["user_id"], [("ts", True)],
                        [Out("running_sum", "_cn", "_c"), Out("running_sum", "_cs", "_s")])
     # Totals strictly before ts - 1 day: as-of lookup of the running totals.
@@ -133,7 +133,7 @@ def window_range_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = (cum.join(lower, ["user_id", "ts"], "left")
                 .select("user_id", "ts",
                         (F.col("_cn") - F.coalesce("_bn", F.lit(0))).alias("n_last_day"),
-                        (F.col("_cs") - F.coalesce("_bs", F.lit(0))).cast(SUM2).alias("value_last_day")))
+                        scale_back(F.col("_cs") - F.coalesce("_bs", F.lit(0)), 2, SUM2).alias("value_last_day")))
     return (ev.join(frame, ["user_id", "ts"])
               .select("event_id", "user_id", "ts", "n_last_day", "value_last_day"))
 

@@ -50,4 +50,4 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = spark.read.parquet(path)
     return (back.where(F.col("l_returnflag") == "R")
                 .groupBy("l_linestatus")
-                .agg(F.count(F.lit(1)).alias("n_lines"), exact_sum("l_quantity").alias("sum_qty")))
+                .agg(F.count(F.lit(1)).alias("n_lines"), exact_sum("l_quantity", wide=False).alias("sum_qty")))

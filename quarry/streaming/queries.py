@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
-from quarry.functions.numeric import SUM2, money
+from quarry.functions.numeric import exact_sum
 from quarry.functions.time import instant_to_ntz, ntz_lit
 from quarry.plans.broadcast import bounded_broadcast
 from quarry.sources.tables import Tables
@@ -42,7 +42,7 @@ GROUP BY 1, 2, 3
 
 def _daily_by_type(stream: DataFrame) -> DataFrame:
     return (stream.groupBy(F.window(EVENT_TIME, "1 day"), "event_type")
-                  .agg(F.count(F.lit(1)).alias("n"), F.sum(money("value")).cast(SUM2).alias("total_value"))
+                  .agg(F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total_value"))
                   .select(*window_cols(), "event_type", "n", "total_value"))
 
 
