@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -48,10 +49,12 @@ class RunningUserStats(StatefulProcessor):
             if not len(pdf):
                 continue
             n += len(pdf)
-            top = pdf.sort_values(["us", "event_id"]).iloc[-1]
-            cand = (int(top["us"]), int(top["event_id"]))
+            us = pdf["us"].to_numpy()
+            ids = pdf["event_id"].to_numpy()
+            i = int(np.lexsort((ids, us))[-1])          # latest (us, id) in batch
+            cand = (int(us[i]), int(ids[i]))
             if last_us is None or cand > (last_us, last_id):
-                last_us, last_id, last_value = cand[0], cand[1], float(top["value"])
+                last_us, last_id, last_value = cand[0], cand[1], float(pdf["value"].iat[i])
         self.stats.update((n, last_us, last_id, last_value))
         yield pd.DataFrame({"user_id": [key[0]], "n_events": [n],
                             "last_value": [last_value], "last_us": [last_us]})
