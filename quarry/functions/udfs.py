@@ -82,10 +82,18 @@ class TwoPhaseUDAF:
         return merged.select(*keys, self.finish().alias(name))
 
 
+def _keys_as_objects(out: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+    """pandas turns a NULL group key into NaN; give Arrow a real None back."""
+    for k in keys:
+        col = out[k].astype(object)
+        out[k] = col.where(col.notna(), None)
+    return out
+
+
 def _wmean_partial(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
     pdf = pdf.assign(_vw=pdf["v"] * pdf["w"])
     g = pdf.groupby(keys, dropna=False, sort=False)
-    return g.agg(s_vw=("_vw", "sum"), s_w=("w", "sum")).reset_index()
+    return _keys_as_objects(g.agg(s_vw=("_vw", "sum"), s_w=("w", "sum")).reset_index(), keys)
 
 
 WEIGHTED_MEAN = TwoPhaseUDAF(
@@ -137,10 +145,12 @@ class Tokens:
         idx = np.arange(len(parent))
         first = np.ones(len(parent), dtype=bool)
         first[1:] = parent[1:] != parent[:-1]
-        pos = idx - np.maximum.accumulate(np.where(first, idx, 0)) if len(idx) else idx
-        yield pa.table({"doc_id": pc.take(batch.column("doc_id"), pa.array(parent)),
-                        "pos": pa.array(pos, pa.int32()),
-                        "token": tokens})
+        if not len(idx):
+            return
+        pos = idx - np.maximum.accumulate(np.where(first, idx, 0))
+        yield pa.RecordBatch.from_arrays(
+            [pc.take(batch.column("doc_id"), pa.array(parent)), pa.array(pos, pa.int32()), tokens],
+            names=["doc_id", "pos", "token"])
 
 
 UDTF_NAME = "quarry_tokens"

@@ -77,7 +77,7 @@ def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH g AS (
   SELECT user_id, ts,
          CASE WHEN LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
-                OR ts >= LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 12 HOUR
+                OR ts > LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 12 HOUR
               THEN 1 ELSE 0 END AS brk
   FROM events),
 s AS (SELECT user_id, ts,
@@ -92,7 +92,9 @@ HAVING MAX(ts) + INTERVAL 12 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 1 H
 def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-user sessions (12 h gap), append mode: a session is written once
     the watermark passes its end, and its state is dropped then.  Sessions
-    still open when the input ends are not final and are not written."""
+    still open when the input ends are not final and are not written.  An
+    event exactly one gap after the previous one still joins the session
+    (Spark merges touching session windows)."""
     paths = new_paths(spark, "stream_session")
     sessions = (events_stream(spark, sf_dir)
                 .withWatermark(EVENT_TIME, WATERMARK)
