@@ -4,7 +4,8 @@
 
 Each query is planned and fully executed into Spark's ``noop`` sink (every
 row computed, nothing collected).  One warm-up query runs first; each query
-is timed ``BENCH_REPEAT`` times (default 1) and the median is reported.
+is timed ``BENCH_REPEAT`` times (default 3) and the median is reported
+(first runs are dominated by code generation and JIT warm-up).
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def run_once(spark, fn, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = set(sys.argv[1:])
     spark = build_session(master=f"local[{cpus}]", app="quarry-bench")
     all_entries = entries()

@@ -9,10 +9,14 @@ scaled back to a decimal at the end -- exact, order-independent and much
 cheaper than Spark's double -> decimal cast per row (which goes through
 ``BigDecimal``).
 
-Overflow: a ``bigint`` sum is used only where a per-row bound makes overflow
-impossible even at 100 TB (quantity <= 50, rates <= 0.10: at most 5,000
-cents per row, 1.8e15 rows to overflow).  Price-like sums use a
-``decimal(18,0)`` buffer, which cannot overflow at any realistic row count.
+Overflow: a plain ``bigint`` sum is used only where a per-row bound makes
+overflow impossible even at 100 TB (quantity <= 50, rates <= 0.10: at most
+5,000 cents per row, 1.8e15 rows to overflow).  Price-like ("wide") sums are
+split: the low six digits and the rest of each value are summed as two
+``bigint`` columns (each below 1.1e6 in magnitude per row for every value
+here, so safe past 8e12 rows) and recombined as a decimal once per group.
+That keeps the aggregation buffer fixed-width -- a ``decimal(28,0)`` buffer
+is stored as bytes and costs ~2x per row.
 Averages are one double division of the exact sum, identical to
 ``CAST(SUM(CAST(x AS DECIMAL(12,2))) AS DOUBLE) / COUNT(x)`` in SQL.
 """
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 SUM2 = "decimal(38,2)"
 SUM4 = "decimal(38,4)"
 SUM6 = "decimal(38,6)"
-_WIDE = "decimal(18,0)"
+_SPLIT = 10 ** 6
 
 
 def _c(col: Column | str) -> Column:
@@ -38,8 +42,13 @@ def cents(col: Column | str) -> Column:
 
 
 def sum_units(units: Column, wide: bool = True) -> Column:
-    """Exact sum of integer units (bigint, or decimal(18,0) buffer if wide)."""
-    return F.sum(units.cast(_WIDE) if wide else units)
+    """Exact sum of integer units as decimal(38,0) (wide) or bigint."""
+    if not wide:
+        return F.sum(units)
+    low = F.pmod(units, F.lit(_SPLIT))                     # 0 <= low < 10^6
+    high = ((units - low) / _SPLIT).cast("bigint")         # exact: a multiple of 10^6
+    return (F.sum(high).cast("decimal(38,0)") * _SPLIT
+            + F.sum(low).cast("decimal(38,0)")).cast("decimal(38,0)")
 
 
 def scale_back(units_sum: Column, scale: int, out: str) -> Column:

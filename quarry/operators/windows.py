@@ -78,19 +78,53 @@ WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 """)
 def window_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _numbered_events(spark, sf_dir)
-    prev = s.select("user_id", (F.col("_rn") + 1).alias("_rn"), F.col("value").alias("prev_value"))
-    nxt = s.select("user_id", (F.col("_rn") - 1).alias("_rn"), F.col("value").alias("next_value"))
+    # Each row addresses itself and its two neighbours by (user, row number);
+    # one shuffle on that unique pair replaces two self-joins.
+    m = _messages(s, [(0, {"event_id": "event_id", "ts": "ts"}),
+                      (1, {"prev_value": "value"}),
+                      (-1, {"next_value": "value"})])
+    ev = Tables(spark, sf_dir).events
     order_key = F.struct("ts", "event_id")
-    ends = (s.groupBy("user_id")
-             .agg(F.min_by("event_type", order_key).alias("first_type"),
-                  F.max_by("event_type", order_key).alias("last_type")))
-    return (s.join(prev, ["user_id", "_rn"], "left")
-             .join(nxt, ["user_id", "_rn"], "left")
-             .join(ends, "user_id")
+    ends = (ev.groupBy("user_id")
+              .agg(F.min_by("event_type", order_key).alias("first_type"),
+                   F.max_by("event_type", order_key).alias("last_type")))
+    return (m.join(ends, "user_id")
              .select("event_id", "user_id", "ts", "prev_value", "next_value",
                      "first_type", "last_type"))
 
 
+def _messages(s: DataFrame, sends: list[tuple[int, dict[str, str]]]) -> DataFrame:
+    """Deliver columns of each numbered row to the row ``shift`` places later.
+
+    ``sends`` lists (shift, {output name: source column}); shift 0 must come
+    first and carries the row's own columns.  Rows are grouped on the unique
+    (user_id, _rn) -- no key can be hot -- and messages addressed past either
+    end of a user's sequence are dropped with the rows that do not exist.
+    """
+    names = [n for _, cols in sends for n in cols]
+    structs = []
+    for i, (shift, cols) in enumerate(sends):
+        fields = [(F.col("_rn") + shift).alias("rn"), F.lit(i).alias("role")]
+        for n in names:
+            src = cols.get(n)
+            fields.append((F.col(src) if src else F.lit(None)).cast(
+                s.schema[src or _first_source(sends, n)].dataType).alias(n))
+        structs.append(F.struct(*fields))
+    exploded = s.select("user_id", F.explode(F.array(*structs)).alias("m")).select("user_id", "m.*")
+    aggs = [F.max(F.when(F.col("role") == i, F.col(n))).alias(n)
+            for i, (_, cols) in enumerate(sends) for n in cols]
+    aggs.append(F.max(F.when(F.col("role") == 0, F.lit(True))).alias("_self"))
+    return (exploded.groupBy("user_id", F.col("rn").alias("_rn")).agg(*aggs)
+                    .where(F.col("_self")).drop("_self"))
+
+
+def _first_source(sends, name):
+    for _, cols in sends:
+        if name in cols:
+            return cols[name]
+    raise KeyError(name)
+
+
 FRAME_ROWS = 7
 
 
@@ -101,14 +135,15 @@ FROM events
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
 """)
 def window_rows_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """7-row moving average: running sum at rn minus running sum at rn - 7,
+    the latter delivered as a message (no self-join, one scan)."""
     s = _numbered_events(spark, sf_dir, [Out("running_sum", "_cum", "_v")],
                          cols=("event_id", "user_id", "ts", "value"))
-    back = s.select("user_id", (F.col("_rn") + FRAME_ROWS).alias("_rn"),
-                    F.col("_cum").alias("_cum_back"))
-    j = s.join(back, ["user_id", "_rn"], "left")
-    moving = F.col("_cum") - F.coalesce("_cum_back", F.lit(0))
+    m = _messages(s, [(0, {"event_id": "event_id", "ts": "ts", "cum": "_cum"}),
+                      (FRAME_ROWS, {"cum_back": "_cum"})])
+    moving = F.col("cum") - F.coalesce("cum_back", F.lit(0))
     n = F.least(F.col("_rn"), F.lit(FRAME_ROWS))
-    return j.select("event_id", "user_id", "ts",
+    return m.select("event_id", "user_id", "ts",
                     (moving.cast("double") / 100 / n).alias("moving_avg"))
 
 
@@ -120,38 +155,36 @@ FROM events
 WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW)
 """)
 def window_range_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RANGE 1 day preceding, as one ordered scan.
+
+    Rows are first totalled per distinct (user, ts) -- RANGE peers share a
+    frame.  Each such point is stacked with a probe at ts - 1 day that sorts
+    before any point at the same time.  One running sum over the stack gives,
+    at a point, the totals through it, and at its probe the totals strictly
+    before ts - 1 day; the frame is the difference.
+    """
     ev = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts", "value")
-    # Running totals per distinct (user, ts): peers of a RANGE frame share them.
     per_ts = (ev.groupBy("user_id", "ts")
                 .agg(F.count(F.lit(1)).alias("_c"), F.sum(cents("value")).alias("_s")))
-    cum = ordered_scan(per_ts, ["user_id"], [("ts", True)],
-                       [Out("running_sum", "_cn", "_c"), Out("running_sum", "_cs", "_s")])
-    # Totals strictly before ts - 1 day: as-of lookup of the running totals.
-    probes = cum.select("user_id", "ts", (F.col("ts") - F.expr("INTERVAL 1 DAY")).alias("_p"))
-    points = cum.select("user_id", F.col("ts").alias("_pt"), "_cn", "_cs")
-    lower = _strictly_before(probes, points)
-    frame = (cum.join(lower, ["user_id", "ts"], "left")
-                .select("user_id", "ts",
-                        (F.col("_cn") - F.coalesce("_bn", F.lit(0))).alias("n_last_day"),
-                        scale_back(F.col("_cs") - F.coalesce("_bs", F.lit(0)), 2, SUM2).alias("value_last_day")))
+    points = per_ts.select("user_id", F.col("ts").alias("_t"), F.lit(1).alias("_side"),
+                           "_c", "_s", F.col("ts").alias("_origin"))
+    probes = per_ts.select("user_id", (F.col("ts") - F.expr("INTERVAL 1 DAY")).alias("_t"),
+                           F.lit(0).alias("_side"), F.lit(0).cast("bigint").alias("_c"),
+                           F.lit(0).cast("bigint").alias("_s"), F.col("ts").alias("_origin"))
+    scan = ordered_scan(points.unionByName(probes), ["user_id"], [("_t", True), ("_side", True)],
+                        [Out("running_sum", "_cn", "_c"), Out("running_sum", "_cs", "_s")])
+    side = F.col("_side")
+    frame = (scan.groupBy("user_id", F.col("_origin").alias("ts"))
+                 .agg(F.max(F.when(side == 1, F.col("_cn"))).alias("cn"),
+                      F.max(F.when(side == 1, F.col("_cs"))).alias("cs"),
+                      F.max(F.when(side == 0, F.col("_cn"))).alias("bn"),
+                      F.max(F.when(side == 0, F.col("_cs"))).alias("bs")))
+    frame = frame.select("user_id", "ts", (F.col("cn") - F.col("bn")).alias("n_last_day"),
+                         scale_back(F.col("cs") - F.col("bs"), 2, SUM2).alias("value_last_day"))
     return (ev.join(frame, ["user_id", "ts"])
               .select("event_id", "user_id", "ts", "n_last_day", "value_last_day"))
 
 
-def _strictly_before(probes: DataFrame, points: DataFrame) -> DataFrame:
-    """For each probe (user_id, ts, _p): running totals of the last point with
-    time < _p.  Points sort after probes on equal time, so equality is out."""
-    p = probes.select("user_id", "ts", F.col("_p").alias("_t"), F.lit(0).alias("_side"),
-                      F.lit(None).cast("bigint").alias("_xn"),
-                      F.lit(None).cast(points.schema["_cs"].dataType).alias("_xs"))
-    q = points.select("user_id", F.lit(None).cast("timestamp_ntz").alias("ts"),
-                      F.col("_pt").alias("_t"), F.lit(1).alias("_side"),
-                      F.col("_cn").alias("_xn"), F.col("_cs").alias("_xs"))
-    s = ordered_scan(p.unionByName(q), ["user_id"], [("_t", True), ("_side", True)],
-                     [Out("last_non_null", "_bn", "_xn"), Out("last_non_null", "_bs", "_xs")])
-    return s.where(F.col("_side") == 0).select("user_id", "ts", "_bn", "_bs")
-
-
 @query("topk_per_group", oracle="""
 SELECT l_suppkey, rn, l_orderkey, l_linenumber, l_partkey, l_extendedprice
 FROM (SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice,
