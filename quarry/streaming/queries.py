@@ -239,7 +239,7 @@ GROUP BY user_id
 """)
 def stream_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running count and latest value per user in keyed state
-    (transformWithStateInPandas, RocksDB), over two runs: the first half of
+    (applyInPandasWithState, RocksDB), over two runs: the first half of
     the time range, then a restart from the checkpoint with the second half.
     Each batch emits the updated users; the result is each user's last
     emitted state."""

@@ -1,11 +1,14 @@
 """Custom keyed state: running count and latest value per user.
 
-``transformWithStateInPandas`` hands each key's new rows to the processor as
-an iterator of pandas batches; the processor folds them into a three-field
-state (count, latest value, its time) without holding more than one batch,
-so a user with a third of all events costs no more memory than any other.
-The fold is order-independent (latest = largest event time, ties broken
-by event id), so the result does not depend on how rows were split into
+``applyInPandasWithState`` hands each key's new rows to the function as an
+iterator of pandas batches together with the key's state; the function
+folds the batches into a four-field state (count, latest time, its event id,
+its value) without holding more than one batch, so a user with a third of
+all events costs no more memory than any other.  State travels with the
+rows (no per-key round trips) and lives in the RocksDB state store.
+
+The fold is order-independent (latest = largest event time, ties broken by
+event id), so the result does not depend on how rows were split into
 micro-batches.
 """
 
@@ -16,8 +19,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quarry.functions.time import ntz_micros
 
@@ -36,41 +40,31 @@ OUTPUT_SCHEMA = T.StructType([
 ])
 
 
-class RunningUserStats(StatefulProcessor):
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.stats = handle.getValueState("stats", STATE_SCHEMA)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.stats.exists():
-            n, last_us, last_id, last_value = self.stats.get()
-        else:
-            n, last_us, last_id, last_value = 0, None, None, None
-        for pdf in rows:
-            if not len(pdf):
-                continue
-            n += len(pdf)
-            us = pdf["us"].to_numpy()
-            ids = pdf["event_id"].to_numpy()
-            i = int(np.lexsort((ids, us))[-1])          # latest (us, id) in batch
-            cand = (int(us[i]), int(ids[i]))
-            if last_us is None or cand > (last_us, last_id):
-                last_us, last_id, last_value = cand[0], cand[1], float(pdf["value"].iat[i])
-        self.stats.update((n, last_us, last_id, last_value))
-        yield pd.DataFrame({"user_id": [key[0]], "n_events": [n],
-                            "last_value": [last_value], "last_us": [last_us]})
-
-    def close(self) -> None:
-        pass
+def fold_user(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    n, last_us, last_id, last_value = state.get if state.exists else (0, None, None, None)
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        n += len(pdf)
+        us = pdf["us"].to_numpy()
+        ids = pdf["event_id"].to_numpy()
+        i = int(np.lexsort((ids, us))[-1])              # latest (time, id) in the batch
+        cand = (int(us[i]), int(ids[i]))
+        if last_us is None or cand > (last_us, last_id):
+            last_us, last_id, last_value = cand[0], cand[1], float(pdf["value"].iat[i])
+    state.update((n, last_us, last_id, last_value))
+    yield pd.DataFrame({"user_id": [key[0]], "n_events": [n],
+                        "last_value": [last_value], "last_us": [last_us]})
 
 
 def running_user_stats(stream: DataFrame) -> DataFrame:
     """Per-batch updates of (user_id, n_events, last_value, last_ts)."""
-    from pyspark.sql import functions as F
     from quarry.streaming.runner import ensure_rocksdb
     ensure_rocksdb(stream.sparkSession)
     out = (stream.select("user_id", "event_id", "value", ntz_micros("ts").alias("us"))
                  .groupBy("user_id")
-                 .transformWithStateInPandas(RunningUserStats(), OUTPUT_SCHEMA, "Update", "None"))
+                 .applyInPandasWithState(fold_user, OUTPUT_SCHEMA, STATE_SCHEMA, "update",
+                                         GroupStateTimeout.NoTimeout))
     return out.select("user_id", "n_events", "last_value",
                       F.timestamp_add("MICROSECOND", F.col("last_us"),
                                       F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")).alias("last_ts"))
