@@ -71,3 +71,33 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, never reused path under the shared scratch root."""
     return "/".join([scratch_root(spark), "quarry", *parts, uuid.uuid4().hex])
+
+
+def cluster_conf(input_bytes: int, total_cores: int,
+                 shuffle_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster, sized from the input volume.
+
+    Not applied to local sessions; pass them to ``spark-submit --conf`` or a
+    builder.  Shuffle partitions start at about one per 256 MB of input
+    (bounded by 2x cores below and 200k above) and AQE coalesces the small
+    ones at run time; scan splits are 256 MB; skewed join partitions are
+    split; the broadcast threshold stays modest because a broadcast is
+    copied to every executor; stream state lives in RocksDB with changelog
+    checkpoints; the skew budget of ``ordered_scan`` is set per group.
+    """
+    partitions = max(2 * total_cores, min(200_000, input_bytes // shuffle_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * shuffle_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(shuffle_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        "spark.quarry.skew.maxGroupRows": "4000000",
+    }

@@ -302,7 +302,15 @@ def stream_sink_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _previous_version(spark: SparkSession, table: str, before: int | None) -> DataFrame | None:
-    """The newest ``v=`` version of the table older than ``before``."""
+    """The newest ``v=`` version of the table older than ``before``.
+
+    Micro-batch ids are consecutive, so the previous batch's version is tried
+    first (one folder); only if it is missing are the versions listed."""
+    if before is not None and before > 0:
+        try:
+            return spark.read.parquet(f"{table}/v={before - 1}")
+        except Exception:      # that batch wrote nothing; fall back to listing
+            pass
     try:
         versions = spark.read.parquet(table)
     except Exception:          # no version written yet
