@@ -19,6 +19,7 @@ That keeps the aggregation buffer fixed-width -- a ``decimal(28,0)`` buffer
 is stored as bytes and costs ~2x per row.
 Averages are one double division of the exact sum, identical to
 ``CAST(SUM(CAST(x AS DECIMAL(12,2))) AS DOUBLE) / COUNT(x)`` in SQL.
+Sums are reported as the double nearest to the exact decimal total.
 """
 
 from __future__ import annotations
@@ -26,9 +27,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SUM2 = "decimal(38,2)"
-SUM4 = "decimal(38,4)"
-SUM6 = "decimal(38,6)"
 _SPLIT = 10 ** 6
 
 
@@ -51,14 +49,18 @@ def sum_units(units: Column, wide: bool = True) -> Column:
             + F.sum(low).cast("decimal(38,0)")).cast("decimal(38,0)")
 
 
-def scale_back(units_sum: Column, scale: int, out: str) -> Column:
-    """An integer sum in 10^-scale units as decimal ``out``."""
-    return (units_sum.cast("decimal(38,0)") / (10 ** scale)).cast(out)
+def scale_back(units_sum: Column, scale: int) -> Column:
+    """An exact integer sum in 10^-scale units, reported as the double
+    nearest to the exact decimal value (the same double DuckDB gives for
+    ``CAST(exact_decimal AS DOUBLE)``; doubles compare identically through
+    every client conversion, decimals and dates do not)."""
+    exact = (units_sum.cast("decimal(38,0)") / (10 ** scale)).cast(f"decimal(38,{scale})")
+    return exact.cast("double")
 
 
 def exact_sum(col: Column | str, wide: bool = True) -> Column:
-    """Exact sum of a cents-valued double as decimal(38,2)."""
-    return scale_back(sum_units(cents(col), wide), 2, SUM2)
+    """Exact sum of a cents-valued double (reported as the nearest double)."""
+    return scale_back(sum_units(cents(col), wide), 2)
 
 
 def exact_avg(col: Column | str, wide: bool = True) -> Column:

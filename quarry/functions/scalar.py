@@ -59,10 +59,10 @@ SELECT o_orderkey,
        CAST(DAYOFWEEK(o_orderdate) + 1 AS INTEGER) AS dow,
        CAST(WEEKOFYEAR(o_orderdate) AS INTEGER) AS iso_week,
        CAST(HOUR(o_orderdate + INTERVAL 90 MINUTE) AS INTEGER) AS hour_plus_90m,
-       CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS month_start,
-       LAST_DAY(CAST(o_orderdate AS DATE)) AS month_end,
-       CAST(o_orderdate AS DATE) + 30 AS due_date,
-       CAST(CAST(o_orderdate AS DATE) + INTERVAL 1 MONTH AS DATE) AS next_month,
+       CAST(DATE_TRUNC('month', o_orderdate) AS TIMESTAMP) AS month_start,
+       CAST(LAST_DAY(CAST(o_orderdate AS DATE)) AS TIMESTAMP) AS month_end,
+       CAST(CAST(o_orderdate AS DATE) + 30 AS TIMESTAMP) AS due_date,
+       CAST(CAST(CAST(o_orderdate AS DATE) + INTERVAL 1 MONTH AS DATE) AS TIMESTAMP) AS next_month,
        CAST(DATEDIFF('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') AS BIGINT) AS days_to_2002,
        o_orderdate + INTERVAL 90 MINUTE AS plus_90m,
        STRFTIME(o_orderdate, '%Y-%m') AS ym
@@ -81,10 +81,10 @@ def date_funcs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.dayofweek(ts).alias("dow"),
         F.weekofyear(ts).alias("iso_week"),
         F.hour(plus90).alias("hour_plus_90m"),
-        F.trunc(d, "MM").alias("month_start"),
-        F.last_day(d).alias("month_end"),
-        F.date_add(d, 30).alias("due_date"),
-        F.add_months(d, 1).alias("next_month"),
+        F.trunc(d, "MM").cast("timestamp_ntz").alias("month_start"),
+        F.last_day(d).cast("timestamp_ntz").alias("month_end"),
+        F.date_add(d, 30).cast("timestamp_ntz").alias("due_date"),
+        F.add_months(d, 1).cast("timestamp_ntz").alias("next_month"),
         F.datediff(F.lit("2002-01-01").cast("date"), d).cast("bigint").alias("days_to_2002"),
         plus90.alias("plus_90m"),
         F.date_format(ts, "yyyy-MM").alias("ym"),
@@ -93,7 +93,7 @@ def date_funcs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("math_funcs", oracle="""
 SELECT p_partkey,
-       CAST(ROUND(CAST(p_retailprice AS DECIMAL(12,2)) * 1.07, 2) AS DECIMAL(18,2)) AS price_with_vat,
+       CAST(ROUND(CAST(p_retailprice AS DECIMAL(12,2)) * 1.07, 2) AS DOUBLE) AS price_with_vat,
        CAST(FLOOR(p_retailprice) AS BIGINT) AS price_floor,
        CAST(CEIL(p_retailprice) AS BIGINT) AS price_ceil,
        POWER(p_size, 2) AS size_sq,
@@ -113,7 +113,7 @@ def math_funcs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(
         "p_partkey",
         F.round(F.col("p_retailprice").cast("decimal(12,2)") * F.lit(1.07).cast("decimal(3,2)"), 2)
-         .cast("decimal(18,2)").alias("price_with_vat"),
+         .cast("double").alias("price_with_vat"),
         F.floor("p_retailprice").cast("bigint").alias("price_floor"),
         F.ceil("p_retailprice").cast("bigint").alias("price_ceil"),
         F.pow(size, 2).alias("size_sq"),
@@ -200,7 +200,7 @@ def map_funcs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("json_funcs", oracle="""
 SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS k,
        COUNT(*) AS n_events,
-       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS total_value
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total_value
 FROM events
 GROUP BY 1
 """)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
-from quarry.functions.numeric import (SUM2, SUM4, SUM6, cents, charge_units, disc_price_units,
+from quarry.functions.numeric import (cents, charge_units, disc_price_units,
                                       exact_avg, exact_sum, scale_back, sum_units)
 from quarry.functions.time import ntz_lit
 from quarry.operators.skew import exact_percentiles
@@ -28,12 +28,12 @@ from quarry.sources.tables import Tables
 
 @query("pricing_summary", oracle="""
 SELECT l_returnflag, l_linestatus,
-       CAST(SUM(CAST(l_quantity AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS sum_qty,
-       CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS sum_base_price,
+       CAST(SUM(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS sum_qty,
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS sum_base_price,
        CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))
-            AS DECIMAL(38,4)) AS sum_disc_price,
+            AS DOUBLE) AS sum_disc_price,
        CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
-                * (1 + CAST(l_tax AS DECIMAL(4,2)))) AS DECIMAL(38,6)) AS sum_charge,
+                * (1 + CAST(l_tax AS DECIMAL(4,2)))) AS DOUBLE) AS sum_charge,
        CAST(SUM(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) / COUNT(l_quantity) AS avg_qty,
        CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) / COUNT(l_extendedprice) AS avg_price,
        CAST(SUM(CAST(l_discount AS DECIMAL(12,2))) AS DOUBLE) / COUNT(l_discount) AS avg_disc,
@@ -48,8 +48,8 @@ def pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
               .groupBy("l_returnflag", "l_linestatus")
               .agg(exact_sum("l_quantity", wide=False).alias("sum_qty"),
                    exact_sum("l_extendedprice").alias("sum_base_price"),
-                   scale_back(sum_units(disc_price_units()), 4, SUM4).alias("sum_disc_price"),
-                   scale_back(sum_units(charge_units()), 6, SUM6).alias("sum_charge"),
+                   scale_back(sum_units(disc_price_units()), 4).alias("sum_disc_price"),
+                   scale_back(sum_units(charge_units()), 6).alias("sum_charge"),
                    exact_avg("l_quantity", wide=False).alias("avg_qty"),
                    exact_avg("l_extendedprice").alias("avg_price"),
                    exact_avg("l_discount", wide=False).alias("avg_disc"),
@@ -87,7 +87,7 @@ SELECT o_orderstatus, o_orderpriority,
        CAST(GROUPING(o_orderstatus) AS INTEGER) AS g_status,
        CAST(GROUPING(o_orderpriority) AS INTEGER) AS g_priority,
        COUNT(*) AS n_orders,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS total_price
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total_price
 FROM orders
 GROUP BY GROUPING SETS ((o_orderstatus), (o_orderpriority), ())
 """)
@@ -98,14 +98,14 @@ def grouping_sets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .agg(F.grouping(s).cast("int").alias("g_status"),
                      F.grouping(p).cast("int").alias("g_priority"),
                      F.sum("n").cast("bigint").alias("n_orders"),
-                     scale_back(F.sum("total"), 2, SUM2).alias("total_price")))
+                     scale_back(F.sum("total"), 2).alias("total_price")))
 
 
 @query("rollup_query", oracle="""
 SELECT r_name, n_name,
        CAST(GROUPING_ID(r_name, n_name) AS INTEGER) AS gid,
        COUNT(*) AS n_customers,
-       CAST(SUM(CAST(c_acctbal AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS total_balance
+       CAST(SUM(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) AS total_balance
 FROM customer
 JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey
@@ -124,14 +124,14 @@ def rollup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (named.rollup("r_name", "n_name")
                  .agg(F.grouping_id("r_name", "n_name").cast("int").alias("gid"),
                       F.sum("n").cast("bigint").alias("n_customers"),
-                      scale_back(F.sum("bal"), 2, SUM2).alias("total_balance")))
+                      scale_back(F.sum("bal"), 2).alias("total_balance")))
 
 
 @query("cube_query", oracle="""
 SELECT o_orderstatus, o_orderpriority,
        CAST(GROUPING_ID(o_orderstatus, o_orderpriority) AS INTEGER) AS gid,
        COUNT(*) AS n_orders,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS total_price
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total_price
 FROM orders
 GROUP BY CUBE (o_orderstatus, o_orderpriority)
 """)
@@ -140,7 +140,7 @@ def cube_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (fine.cube("o_orderstatus", "o_orderpriority")
                 .agg(F.grouping_id("o_orderstatus", "o_orderpriority").cast("int").alias("gid"),
                      F.sum("n").cast("bigint").alias("n_orders"),
-                     scale_back(F.sum("total"), 2, SUM2).alias("total_price")))
+                     scale_back(F.sum("total"), 2).alias("total_price")))
 
 
 # The order status codes of the orders table.

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
-from quarry.functions.numeric import SUM2, SUM4, cents, disc_price_units, scale_back, sum_units
+from quarry.functions.numeric import cents, disc_price_units, scale_back, sum_units
 from quarry.functions.time import ntz_lit, ntz_micros
 from quarry.operators.skew import Out, ordered_scan
 from quarry.plans.broadcast import bounded_broadcast
@@ -31,7 +31,7 @@ from quarry.sources.tables import Tables
 @query("inner_join_chain", oracle="""
 SELECT r_name, n_name,
        CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))
-            AS DECIMAL(38,4)) AS revenue,
+            AS DOUBLE) AS revenue,
        COUNT(*) AS n_lines
 FROM customer
 JOIN orders ON c_custkey = o_custkey
@@ -65,14 +65,14 @@ def inner_join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = bounded_broadcast(t.region)
     return (per_nation.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
                       .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-                      .select("r_name", "n_name", scale_back(F.col("rev"), 4, SUM4).alias("revenue"),
+                      .select("r_name", "n_name", scale_back(F.col("rev"), 4).alias("revenue"),
                               F.col("n").alias("n_lines")))
 
 
 @query("left_join_nulls", oracle="""
 SELECT o_orderkey, o_orderstatus,
        COUNT(l_orderkey) AS n_lines,
-       CAST(COALESCE(SUM(CAST(l_quantity AS DECIMAL(12,2))), 0) AS DECIMAL(38,2)) AS total_qty
+       CAST(COALESCE(SUM(CAST(l_quantity AS DECIMAL(12,2))), 0) AS DOUBLE) AS total_qty
 FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
 GROUP BY o_orderkey, o_orderstatus
 """)
@@ -84,7 +84,7 @@ def left_join_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
              .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
              .select("o_orderkey", "o_orderstatus",
                      F.coalesce("n", F.lit(0)).cast("bigint").alias("n_lines"),
-                     scale_back(F.coalesce("q", F.lit(0)), 2, SUM2).alias("total_qty")))
+                     scale_back(F.coalesce("q", F.lit(0)), 2).alias("total_qty")))
 
 
 @query("full_outer_join", oracle="""
@@ -198,17 +198,22 @@ def band_join_by_time(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
 
 
 @query("asof_join", oracle="""
-SELECT e.event_id, e.user_id, e.ts, v.event_id AS view_id, v.ts AS view_ts
+SELECT e.event_id, e.user_id, e.ts, v.ts AS view_ts, v.value AS view_value
 FROM events e
-ASOF LEFT JOIN (SELECT event_id, user_id, ts FROM events WHERE event_type = 'view') v
+ASOF LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type = 'view') v
   ON e.user_id = v.user_id AND e.ts >= v.ts
 """)
 def asof_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with the latest view of the same user at or before it:
+    that view's time and value (NULL when the user has no earlier view)."""
     ev = Tables(spark, sf_dir).events
     probes = ev.select("event_id", "user_id", "ts")
     views = (ev.where(F.col("event_type") == "view")
-               .select(F.col("event_id").alias("view_id"), "user_id", F.col("ts").alias("view_ts")))
-    return asof_join(probes, views, "user_id", "ts", "view_ts", ["view_id", "view_ts"])
+               .select(F.col("event_id").alias("view_id"), "user_id",
+                       F.col("ts").alias("view_ts"), F.col("value").alias("view_value")))
+    # view_id is carried first only to order simultaneous views.
+    out = asof_join(probes, views, "user_id", "ts", "view_ts", ["view_id", "view_ts", "view_value"])
+    return out.select("event_id", "user_id", "ts", "view_ts", "view_value")
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,

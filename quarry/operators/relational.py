@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
-from quarry.functions.numeric import SUM4, revenue_units, scale_back
+from quarry.functions.numeric import revenue_units, scale_back
 from quarry.functions.time import ntz_lit
 from quarry.sources.tables import Tables
 
@@ -21,7 +21,7 @@ from quarry.sources.tables import Tables
 @query("scan_filter_project", oracle="""
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate,
        CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2))
-            AS DECIMAL(38,4)) AS revenue
+            AS DOUBLE) AS revenue
 FROM lineitem
 WHERE l_shipdate >= TIMESTAMP '1996-01-01 00:00:00'
   AND l_shipdate < TIMESTAMP '1997-01-01 00:00:00'
@@ -35,7 +35,7 @@ def scan_filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
                      & F.col("l_discount").between(0.05, 0.07)
                      & (F.col("l_quantity") < 24))
               .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate",
-                      scale_back(revenue_units(), 4, SUM4).alias("revenue")))
+                      scale_back(revenue_units(), 4).alias("revenue")))
 
 
 @query("predicate_mix", oracle="""

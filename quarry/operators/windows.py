@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
-from quarry.functions.numeric import SUM2, cents, scale_back
+from quarry.functions.numeric import cents, scale_back
 from quarry.operators.joins import asof_join
 from quarry.operators.skew import Out, ordered_scan
 from quarry.sources.tables import Tables
@@ -150,7 +150,7 @@ def window_rows_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("window_range_frame", oracle="""
 SELECT event_id, user_id, ts,
        COUNT(*) OVER w AS n_last_day,
-       CAST(SUM(CAST(value AS DECIMAL(12,2))) OVER w AS DECIMAL(38,2)) AS value_last_day
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) OVER w AS DOUBLE) AS value_last_day
 FROM events
 WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW)
 """)
@@ -180,7 +180,7 @@ def window_range_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.max(F.when(side == 0, F.col("_cn"))).alias("bn"),
                       F.max(F.when(side == 0, F.col("_cs"))).alias("bs")))
     frame = frame.select("user_id", "ts", (F.col("cn") - F.col("bn")).alias("n_last_day"),
-                         scale_back(F.col("cs") - F.col("bs"), 2, SUM2).alias("value_last_day"))
+                         scale_back(F.col("cs") - F.col("bs"), 2).alias("value_last_day"))
     return (ev.join(frame, ["user_id", "ts"])
               .select("event_id", "user_id", "ts", "n_last_day", "value_last_day"))
 

@@ -38,7 +38,7 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str]) -> st
 
 @query("sink_roundtrip", oracle="""
 SELECT l_linestatus, COUNT(*) AS n_lines,
-       CAST(SUM(CAST(l_quantity AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS sum_qty
+       CAST(SUM(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS sum_qty
 FROM lineitem
 WHERE l_returnflag = 'R'
 GROUP BY l_linestatus

@@ -34,7 +34,7 @@ _DAILY_BY_TYPE = """
 SELECT date_trunc('day', ts) AS window_start,
        date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
        event_type, COUNT(*) AS n,
-       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS total_value
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total_value
 FROM events
 GROUP BY 1, 2, 3
 """
