@@ -268,56 +268,66 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_
 WHERE rn = 1
 """)
 def stream_sink_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest event per user kept as an upserted table (copy-on-write).
-
-    foreachBatch merges each micro-batch into the previous version and writes
-    version ``v=<batch id>``; a replayed batch rewrites the same version from
-    the same inputs, so retries are idempotent.  Two runs (restart between)
-    exercise the merge."""
+    """Latest event per user, kept as an upserted Parquet table.
+
+    The table is partitioned by a hash bucket of user_id.  foreachBatch
+    reduces the micro-batch to the latest row per user, reads only the
+    buckets those users fall in (partition pruning), merges, and replaces
+    just those buckets (dynamic partition overwrite).  The merge -- latest
+    by (ts, event_id) -- is idempotent, so a replayed batch, even after a
+    partial commit, writes the same rows.  Two runs with a restart between
+    exercise the merge against existing state."""
     paths = new_paths(spark, "stream_sink_upsert")
     ev = Tables(spark, sf_dir).events
     mid = ev.agg(F.max("ts").alias("hi"), F.min("ts").alias("lo")).first()
     split_col = ntz_lit(mid["lo"] + (mid["hi"] - mid["lo"]) / 2)
     table = f"{paths.sink}/table"
-    cols = ["user_id", "event_id", "ts", "event_type", "value"]
-
-    def latest_per_user(df: DataFrame) -> DataFrame:
-        s = df.groupBy("user_id").agg(
-            F.max_by(F.struct(*cols[1:]), F.struct("ts", "event_id")).alias("r"))
-        return s.select("user_id", *[F.col(f"r.{c}").alias(c) for c in cols[1:]])
+    cols = list(UPSERT_COLS)
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        merged = latest_per_user(batch.select(*cols))
-        prev = _previous_version(spark, table, epoch_id)
-        if prev is not None:
-            merged = latest_per_user(prev.select(*cols).unionByName(merged))
-        merged.write.mode("overwrite").parquet(f"{table}/v={epoch_id}")
+        upsert_latest(spark, table, batch)
 
     for part in (F.col("ts") < split_col, F.col("ts") >= split_col):
         stage(ev.where(part), paths.source)
         run_available_now(events_stream(spark, source_dir=paths.source).select(*cols),
                           paths, "append", upsert)
-    last = _previous_version(spark, table, None)
-    return last.select(*cols)
-
-
-def _previous_version(spark: SparkSession, table: str, before: int | None) -> DataFrame | None:
-    """The newest ``v=`` version of the table older than ``before``.
-
-    Micro-batch ids are consecutive, so the previous batch's version is tried
-    first (one folder); only if it is missing are the versions listed."""
-    if before is not None and before > 0:
-        try:
-            return spark.read.parquet(f"{table}/v={before - 1}")
-        except Exception:      # that batch wrote nothing; fall back to listing
-            pass
+    return spark.read.parquet(table).select(*cols)
+
+
+# Hash buckets of the upsert table; a batch rewrites only the buckets it
+# touches.  On a cluster this is sized so a bucket is a few hundred MB.
+UPSERT_BUCKETS = 64
+UPSERT_COLS = ("user_id", "event_id", "ts", "event_type", "value")
+
+
+def _latest_per_user(df: DataFrame) -> DataFrame:
+    """One row per user: the latest by (ts, event_id); a partial aggregate."""
+    cols = UPSERT_COLS
+    s = df.groupBy("user_id").agg(
+        F.max_by(F.struct(*cols[1:]), F.struct("ts", "event_id")).alias("r"))
+    return s.select("user_id", *[F.col(f"r.{c}").alias(c) for c in cols[1:]],
+                    F.pmod(F.xxhash64("user_id"), F.lit(UPSERT_BUCKETS)).alias("bucket"))
+
+
+def upsert_latest(spark: SparkSession, table: str, batch: DataFrame) -> None:
+    """Merge a batch into the latest-per-user table, rewriting only the
+    hash buckets the batch touches.  Idempotent: replaying a batch, even
+    after a partial commit, leaves the same rows."""
+    fresh = _latest_per_user(batch.select(*UPSERT_COLS))
+    touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]  # <= buckets
+    if not touched:
+        return
+    current = _read_or_none(spark, table)
+    merged = fresh
+    if current is not None:
+        old = current.where(F.col("bucket").isin(touched)).select(*UPSERT_COLS)
+        merged = _latest_per_user(old.unionByName(fresh.select(*UPSERT_COLS)))
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("bucket").parquet(table))
+
+
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        versions = spark.read.parquet(table)
-    except Exception:          # no version written yet
-        return None
-    if before is not None:
-        versions = versions.where(F.col("v") < before)
-    newest = versions.agg(F.max("v").alias("v")).first()["v"]   # one scalar
-    if newest is None:
+        return spark.read.parquet(path)
+    except Exception:          # nothing written yet
         return None
-    return spark.read.parquet(f"{table}/v={newest}")
