@@ -11,13 +11,15 @@ that bottleneck:
    checked before the hot key list is broadcast.
 2. Cold keys (the usual case, often all of them) take the ordinary window:
    one shuffle on the key, no group larger than the budget.
-3. Hot rows are range-partitioned on (key, order).  The range partitioner
-   samples the data, so one hot key is cut into many contiguous pieces, and
-   rows with equal order values stay in one piece.  Each piece is windowed
+3. Hot rows are range-partitioned on (key, order) once (persisted, so all
+   consumers share one set of bounds).  The range partitioner samples the
+   data, so one hot key is cut into many contiguous pieces, and rows with
+   equal order values stay in one piece.  Each piece is windowed
    locally; a per-piece summary (rows, sums, distinct values, last value)
    is aggregated map-side, prefix-summed across pieces, and joined back as
-   an offset.  The summary has at most (#pieces + #hot keys) rows, a bound
-   fixed before it is built, so it is broadcast.
+   an offset.  Only keys crossing a piece boundary need one; their summary
+   has at most 2 x #pieces rows, a bound fixed before it is built, so it is
+   broadcast.  With more hot keys than can be listed, every key is split.
 
 Results are exact and identical to the plain window; only the physical
 plan differs.
@@ -28,12 +30,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rows one task handles comfortably in a window sort (spills beyond memory).
 DEFAULT_MAX_GROUP_ROWS = 4_000_000
-# Hard ceiling on how many hot keys may be collected and broadcast.
+# Most hot keys listed and broadcast; beyond this every key is split.
 MAX_HOT_KEYS = 100_000
 CONF_MAX_GROUP_ROWS = "spark.quarry.skew.maxGroupRows"
 
@@ -71,18 +74,18 @@ def _ns_join(left: DataFrame, right: DataFrame, cols: list[str], how: str) -> Da
     return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])
 
 
-def hot_keys(df: DataFrame, keys: list[str], max_rows: int) -> tuple[list, int]:
+def hot_keys(df: DataFrame, keys: list[str], max_rows: int) -> tuple[list | None, int]:
     """Keys with more than ``max_rows`` rows, and their total row count.
 
-    One job: partial count per key, filter, and a capped collect.  The cap is
-    a safety check, not a truncation -- exceeding it raises.
+    One job: partial count per key, filter, and a collect capped at
+    ``MAX_HOT_KEYS + 1`` rows.  Beyond the cap the list is not returned
+    (``None``, with the total row count) and the caller splits every key.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     rows = counts.where(F.col("_n") > max_rows).limit(MAX_HOT_KEYS + 1).collect()
     if len(rows) > MAX_HOT_KEYS:
-        raise RuntimeError(
-            f"more than {MAX_HOT_KEYS} keys exceed {max_rows} rows; raise "
-            f"{CONF_MAX_GROUP_ROWS}")
+        total = counts.agg(F.sum("_n")).first()[0]
+        return None, int(total)
     return rows, sum(r["_n"] for r in rows)
 
 
@@ -102,8 +105,14 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[tuple[str, bool]],
     if any(o.kind == "last_non_null" for o in outs) and not all(a for _, a in order):
         raise ValueError("last_non_null needs ascending order columns")
     base_cols = df.columns
+    names = [o.name for o in outs]
     hot, hot_rows = hot_keys(df, keys, budget)
 
+    if hot is None:
+        # Too many hot keys to list: split every key (exact for any count).
+        pieces = max(2, math.ceil(hot_rows / budget))
+        return _hot(df, keys, order, outs, peers, pieces).select(*base_cols, *names)
+
     cold_part = df
     if hot:
         hot_df = df.sparkSession.createDataFrame(hot).select(*keys).withColumn("_hot", F.lit(True))
@@ -111,11 +120,11 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[tuple[str, bool]],
         cold_part = tagged.where(F.col("_hot").isNull()).drop("_hot")
         hot_part = tagged.where(F.col("_hot")).drop("_hot")
 
-    result = _cold(cold_part, keys, order, outs, peers).select(*base_cols, *[o.name for o in outs])
+    result = _cold(cold_part, keys, order, outs, peers).select(*base_cols, *names)
     if hot:
         pieces = max(2, math.ceil(hot_rows / budget) + len(hot))
         h = _hot(hot_part, keys, order, outs, peers, pieces)
-        result = result.unionByName(h.select(*base_cols, *[o.name for o in outs]))
+        result = result.unionByName(h.select(*base_cols, *names))
     return result
 
 
@@ -149,15 +158,23 @@ def _cold(df: DataFrame, keys, order, outs, peers) -> DataFrame:
 
 
 def _hot(df: DataFrame, keys, order, outs, peers, pieces: int) -> DataFrame:
-    # Cut hot keys into contiguous pieces; equal peer values share a piece.
+    # Cut keys into contiguous pieces; equal peer values share a piece.
+    # The range partitioner samples its bounds per evaluation (seeded by the
+    # RDD id), and column pruning can give each consumer below a different
+    # plan, so the pieces are evaluated once and shared: every consumer then
+    # sees the same bounds.  Lost blocks are recomputed through the same
+    # shuffle dependency (same bounds), so executor loss keeps them consistent.
     ranged = (df.repartitionByRange(pieces, *keys, *[_sort_col(c, a) for c, a in order[:peers]])
-                .withColumn("_pid", F.spark_partition_id()))
+                .withColumn("_pid", F.spark_partition_id())
+                .persist(StorageLevel.MEMORY_AND_DISK))
     local_keys = [*keys, "_pid"]
-    local = _cold(ranged, local_keys,
-                  order, [Out(o.kind, f"_l_{o.name}", o.col) for o in outs
-                          if o.kind != "group_count"], peers)
+    local = _cold(ranged, local_keys, order,
+                  [Out(o.kind, f"_l_{o.name}", o.col) for o in outs], peers)
 
-    # Per-piece summary, then exclusive prefix over pieces of the same key.
+    # Per-piece summary of the keys that span more than one piece.  Range
+    # pieces are contiguous, so each piece boundary is crossed by at most
+    # one key: at most (pieces - 1) keys and (2 * pieces) summary rows,
+    # whatever the number of keys -- a bound that makes the broadcast safe.
     order_struct = F.struct(*[F.col(c) for c, _ in order])
     aggs = [F.count(F.lit(1)).alias("_pn"),
             F.count_distinct(*[F.col(c) for c, _ in order[:peers]]).alias("_pd")]
@@ -168,6 +185,9 @@ def _hot(df: DataFrame, keys, order, outs, peers, pieces: int) -> DataFrame:
             aggs.append(F.max_by(F.col(o.col), F.when(F.col(o.col).isNotNull(), order_struct))
                         .alias(f"_pl_{o.name}"))
     summary = ranged.groupBy(*local_keys).agg(*aggs)
+    spanning = (summary.groupBy(*keys).agg(F.count(F.lit(1)).alias("_np"))
+                       .where(F.col("_np") > 1).select(*keys))
+    summary = _ns_join(summary, spanning, keys, "left_semi")
     before = (Window.partitionBy(*keys).orderBy("_pid")
               .rowsBetween(Window.unboundedPreceding, -1))
     whole = Window.partitionBy(*keys)
@@ -181,23 +201,23 @@ def _hot(df: DataFrame, keys, order, outs, peers, pieces: int) -> DataFrame:
             offs.append(F.last(f"_pl_{o.name}", ignorenulls=True).over(before)
                         .alias(f"_bl_{o.name}"))
     offsets = summary.select(*local_keys, *offs)
-    # At most (#pieces + #hot keys) rows by construction: safe to broadcast.
     joined = _ns_join(local, F.broadcast(offsets), local_keys, "left")
 
     final = []
+    bn = F.coalesce(F.col("_bn"), F.lit(0))
     for o in outs:
         lo = F.col(f"_l_{o.name}")
         if o.kind in ("row_number", "rank"):
-            final.append((F.col("_bn") + lo).cast("bigint").alias(o.name))
+            final.append((bn + lo).cast("bigint").alias(o.name))
         elif o.kind == "dense_rank":
-            final.append((F.col("_bd") + lo).cast("bigint").alias(o.name))
+            final.append((F.coalesce(F.col("_bd"), F.lit(0)) + lo).cast("bigint").alias(o.name))
         elif o.kind == "running_sum":
             b = F.col(f"_bs_{o.name}")
             final.append(F.when(b.isNull(), lo).when(lo.isNull(), b).otherwise(b + lo).alias(o.name))
         elif o.kind == "last_non_null":
             final.append(F.coalesce(lo, F.col(f"_bl_{o.name}")).alias(o.name))
         elif o.kind == "group_count":
-            final.append(F.col("_gn").alias(o.name))
+            final.append(F.coalesce(F.col("_gn"), lo).alias(o.name))
     return joined.select(*df.columns, *final)
 
 

@@ -75,3 +75,26 @@ def test_queries_with_every_key_hot(spark, duck, name):
     with hot_budget(spark, 25):
         problems, rows, _ = compare(spark, duck, name, entries()[name], SF01)
     assert not problems, problems
+
+
+def test_too_many_hot_keys_splits_every_key(spark, skewed, monkeypatch):
+    """Beyond MAX_HOT_KEYS the key list is not broadcast; every key takes the
+    range-split path and the offsets stay bounded by the piece count."""
+    import quarry.operators.skew as skew
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 1)
+    order = [("o", True), ("id", True)]
+    plain = ordered_scan(skewed, ["k"], order, OUTS, peers=1, max_group_rows=10**9)
+    split = ordered_scan(skewed, ["k"], order, OUTS, peers=1, max_group_rows=30)
+    assert _rows(plain) == _rows(split)
+
+
+def test_many_small_keys_all_split(spark):
+    """Thousands of keys, all split: only keys crossing piece boundaries get
+    offsets, the rest keep their local values."""
+    import quarry.operators.skew as skew
+    df = spark.range(6000).selectExpr("id % 1500 AS k", "id AS o", "id % 7 AS v")
+    outs = [Out("row_number", "rn"), Out("running_sum", "rs", "v"), Out("group_count", "n")]
+    plain = skew._cold(df, ["k"], [("o", True)], outs, 1)
+    split = skew._hot(df, ["k"], [("o", True)], outs, 1, 16)
+    key = lambda r: r["o"]
+    assert sorted(plain.collect(), key=key) == sorted(split.collect(), key=key)
