@@ -322,7 +322,9 @@ def upsert_latest(spark: SparkSession, table: str, batch: DataFrame) -> None:
     if current is not None:
         old = current.where(F.col("bucket").isin(touched)).select(*UPSERT_COLS)
         merged = _latest_per_user(old.unionByName(fresh.select(*UPSERT_COLS)))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # one writer task per bucket: one file per touched bucket, not per task
+    (merged.repartition("bucket")
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("bucket").parquet(table))
 
 
