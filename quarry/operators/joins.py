@@ -151,8 +151,20 @@ def theta_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     O(n log n) with no pairs formed (a nation's pairs grow quadratically).
     """
     cust = Tables(spark, sf_dir).customer.select("c_custkey", "c_nationkey", "c_acctbal")
-    ranked = ordered_scan(cust, ["c_nationkey"], [("c_acctbal", True)], [Out("rank", "_rank")])
-    return ranked.select("c_custkey", "c_nationkey", (F.col("_rank") - 1).alias("n_lower"))
+    return band_self_join_counts(cust, "c_nationkey", "c_acctbal").select(
+        "c_custkey", "c_nationkey", "n_lower")
+
+
+def band_self_join_counts(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Per row: how many rows with an equal (non-NULL) key have a strictly
+    lower (non-NULL) value -- ``COUNT(b.*)`` of the self-join on
+    ``a.key = b.key AND b.value < a.value`` -- as rank - 1, without pairs.
+    Rows with a NULL key or value have no partner and count for no one."""
+    valid = F.col(key).isNotNull() & F.col(value).isNotNull()
+    ranked = ordered_scan(df.where(valid), [key], [(value, True)], [Out("rank", "_rank")])
+    counted = ranked.withColumn("n_lower", F.col("_rank") - 1).drop("_rank")
+    alone = df.where(~valid).withColumn("n_lower", F.lit(0).cast("bigint"))
+    return counted.unionByName(alone)
 
 
 INTERVAL_HOURS = 6
@@ -228,6 +240,8 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
     lcols = left.columns
     l2 = left.select(*lcols, F.col(lts).alias("_t"), F.lit(1).alias("_side"),
                      *[F.lit(None).cast(right.schema[c].dataType).alias(f"_c_{c}") for c in carry])
+    # SQL equality never matches NULL keys: such right rows can match nothing.
+    right = right.where(F.col(key).isNotNull())
     r2 = right.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c)
                         for c in lcols if c != key],
                       F.col(key), F.col(rts).alias("_t"), F.lit(0).alias("_side"),

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from quarry.catalog import query
 from quarry.functions.numeric import cents, scale_back
 from quarry.operators.joins import asof_join
-from quarry.operators.skew import Out, ordered_scan
+from quarry.operators.skew import Out, _ns_join, ordered_scan
 from quarry.sources.tables import Tables
 
 
@@ -164,7 +164,14 @@ def window_range_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     before ts - 1 day; the frame is the difference.
     """
     ev = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts", "value")
-    per_ts = (ev.groupBy("user_id", "ts")
+    return range_frame_last_day(ev)
+
+
+def range_frame_last_day(ev: DataFrame) -> DataFrame:
+    """COUNT(*) and SUM(value) over RANGE 1 DAY PRECEDING .. CURRENT ROW per
+    user, ordered by ts (see ``window_range_frame``).  Rows with a NULL ts
+    are peers of each other only, as in SQL."""
+    per_ts = (ev.where(F.col("ts").isNotNull()).groupBy("user_id", "ts")
                 .agg(F.count(F.lit(1)).alias("_c"), F.sum(cents("value")).alias("_s")))
     points = per_ts.select("user_id", F.col("ts").alias("_t"), F.lit(1).alias("_side"),
                            "_c", "_s", F.col("ts").alias("_origin"))
@@ -181,8 +188,15 @@ def window_range_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.max(F.when(side == 0, F.col("_cs"))).alias("bs")))
     frame = frame.select("user_id", "ts", (F.col("cn") - F.col("bn")).alias("n_last_day"),
                          scale_back(F.col("cs") - F.col("bs"), 2).alias("value_last_day"))
-    return (ev.join(frame, ["user_id", "ts"])
-              .select("event_id", "user_id", "ts", "n_last_day", "value_last_day"))
+    timed = (ev.join(frame, ["user_id", "ts"])
+               .select("event_id", "user_id", "ts", "n_last_day", "value_last_day"))
+    untimed = ev.where(F.col("ts").isNull())
+    peers = (untimed.groupBy("user_id")
+                    .agg(F.count(F.lit(1)).alias("n_last_day"),
+                         scale_back(F.sum(cents("value")), 2).alias("value_last_day")))
+    nulls = (_ns_join(untimed, peers, ["user_id"], "inner")
+             .select("event_id", "user_id", "ts", "n_last_day", "value_last_day"))
+    return timed.unionByName(nulls)
 
 
 @query("topk_per_group", oracle="""

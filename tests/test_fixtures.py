@@ -40,8 +40,8 @@ def test_asof_join_ties_nulls_and_no_match(spark):
         "rid int, k string, rt timestamp_ntz")
     got = {r.id: r.rid for r in asof_join(left, right, "k", "t", "rt", ["rid"]).collect()}
     # equal time matches (<=); earlier than every right row -> NULL;
-    # NULL key matches NULL key (grouping semantics of the scan)
-    assert got == {1: 100, 2: 101, 3: None, 4: 102, 5: None}
+    # a NULL key matches nothing (SQL equality)
+    assert got == {1: 100, 2: 101, 3: None, 4: None, 5: None}
 
 
 def test_band_join_inclusive_bounds_and_bucket_edges(spark):
@@ -146,3 +146,21 @@ def test_upsert_is_idempotent_and_bucket_local(spark):
     upsert_latest(spark, table, b2)            # replayed batch
     again = sorted(tuple(r) for r in spark.read.parquet(table).select("user_id", "event_id").collect())
     assert first == again == [(1, 2), (2, 3), (3, 5)]   # user 1 keeps ts(5), not the older ts(3)
+
+
+def test_band_self_join_counts_nulls(spark):
+    from quarry.operators.joins import band_self_join_counts
+    df = spark.createDataFrame([(1, 1, 5.0), (2, 1, 3.0), (3, 1, None), (4, None, 1.0),
+                                (5, 1, 5.0), (6, 2, 0.0)], "id int, k int, v double")
+    got = {r.id: r.n_lower for r in band_self_join_counts(df, "k", "v").collect()}
+    # SQL: COUNT(b.*) FROM df a LEFT JOIN df b ON a.k = b.k AND b.v < a.v GROUP BY a.id
+    assert got == {1: 1, 2: 0, 3: 0, 4: 0, 5: 1, 6: 0}
+
+
+def test_range_frame_null_timestamps_are_peers_only(spark):
+    from quarry.operators.windows import range_frame_last_day
+    ev = spark.createDataFrame([(1, 7, ts(0), 1.0), (2, 7, ts(60 * 23), 2.0), (3, 7, ts(60 * 25), 4.0),
+                                (4, 7, None, 8.0), (5, 7, None, 16.0)],
+                               "event_id long, user_id long, ts timestamp_ntz, value double")
+    got = {r.event_id: (r.n_last_day, r.value_last_day) for r in range_frame_last_day(ev).collect()}
+    assert got == {1: (1, 1.0), 2: (2, 3.0), 3: (2, 6.0), 4: (2, 24.0), 5: (2, 24.0)}
