@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from quarry.catalog import query
 from quarry.functions.numeric import cents, scale_back
-from quarry.operators.joins import asof_join
 from quarry.operators.skew import Out, _ns_join, ordered_scan
 from quarry.sources.tables import Tables
 
@@ -217,5 +216,3 @@ def topk_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
               .select("l_suppkey", "rn", "l_orderkey", "l_linenumber", "l_partkey",
                       "l_extendedprice"))
 
-
-__all__ = ["ntile", "asof_join"]

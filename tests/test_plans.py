@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from quarry.catalog import queries
 from quarry.plans.inspect import pairwise_operators, plan_text
