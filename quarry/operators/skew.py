@@ -13,8 +13,9 @@ that bottleneck:
    one shuffle on the key, no group larger than the budget.
 3. Hot rows are range-partitioned on (key, order) once (persisted, so all
    consumers share one set of bounds).  The range partitioner samples the
-   data, so one hot key is cut into many contiguous pieces, and rows with
-   equal order values stay in one piece.  Each piece is windowed
+   data, so one hot key is cut into many contiguous pieces -- even a single
+   order value shared by many rows is split; rank offsets subtract the
+   earlier rows tied with a piece's first value.  Each piece is windowed
    locally; a per-piece summary (rows, sums, distinct values, last value)
    is aggregated map-side, prefix-summed across pieces, and joined back as
    an offset.  Only keys crossing a piece boundary need one; their summary
@@ -158,41 +159,62 @@ def _cold(df: DataFrame, keys, order, outs, peers) -> DataFrame:
 
 
 def _hot(df: DataFrame, keys, order, outs, peers, pieces: int) -> DataFrame:
-    # Cut keys into contiguous pieces; equal peer values share a piece.
+    # Cut keys into contiguous pieces of the full order, so even one value
+    # shared by many rows of a key is spread over pieces (ties may straddle
+    # a boundary; the rank offsets below account for that).
     # The range partitioner samples its bounds per evaluation (seeded by the
     # RDD id), and column pruning can give each consumer below a different
     # plan, so the pieces are evaluated once and shared: every consumer then
     # sees the same bounds.  Lost blocks are recomputed through the same
     # shuffle dependency (same bounds), so executor loss keeps them consistent.
-    ranged = (df.repartitionByRange(pieces, *keys, *[_sort_col(c, a) for c, a in order[:peers]])
+    ranged = (df.repartitionByRange(pieces, *keys, *[_sort_col(c, a) for c, a in order])
                 .withColumn("_pid", F.spark_partition_id())
                 .persist(StorageLevel.MEMORY_AND_DISK))
     local_keys = [*keys, "_pid"]
+    internal = [Out("row_number", "_i_rn"), Out("rank", "_i_rk"), Out("dense_rank", "_i_dr")]
     local = _cold(ranged, local_keys, order,
-                  [Out(o.kind, f"_l_{o.name}", o.col) for o in outs], peers)
+                  internal + [Out(o.kind, f"_l_{o.name}", o.col) for o in outs
+                              if o.kind != "group_count"], peers)
 
     # Per-piece summary of the keys that span more than one piece.  Range
     # pieces are contiguous, so each piece boundary is crossed by at most
     # one key: at most (pieces - 1) keys and (2 * pieces) summary rows,
     # whatever the number of keys -- a bound that makes the broadcast safe.
-    order_struct = F.struct(*[F.col(c) for c, _ in order])
+    peer = F.struct(*[F.col(c) for c, _ in order[:peers]])
     aggs = [F.count(F.lit(1)).alias("_pn"),
-            F.count_distinct(*[F.col(c) for c, _ in order[:peers]]).alias("_pd")]
+            F.max("_i_dr").alias("_pd"),                       # distinct peer values
+            F.min_by(peer, F.col("_i_rn")).alias("_first"),     # first peer value
+            F.max_by(peer, F.col("_i_rn")).alias("_last"),      # last peer value
+            F.max("_i_rk").alias("_maxrank")]
     for o in outs:
         if o.kind == "running_sum":
             aggs.append(F.sum(o.col).alias(f"_ps_{o.name}"))
         elif o.kind == "last_non_null":
-            aggs.append(F.max_by(F.col(o.col), F.when(F.col(o.col).isNotNull(), order_struct))
+            aggs.append(F.max_by(F.col(o.col), F.when(F.col(o.col).isNotNull(), F.col("_i_rn")))
                         .alias(f"_pl_{o.name}"))
-    summary = ranged.groupBy(*local_keys).agg(*aggs)
+    summary = local.groupBy(*local_keys).agg(*aggs)
     spanning = (summary.groupBy(*keys).agg(F.count(F.lit(1)).alias("_np"))
                        .where(F.col("_np") > 1).select(*keys))
     summary = _ns_join(summary, spanning, keys, "left_semi")
-    before = (Window.partitionBy(*keys).orderBy("_pid")
-              .rowsBetween(Window.unboundedPreceding, -1))
+
+    by_piece = Window.partitionBy(*keys).orderBy("_pid")
+    before = by_piece.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
+    # overlap: this piece starts with the value the previous piece ended on
+    overlap = (F.when(F.lag("_pid").over(by_piece).isNull(), F.lit(0))
+                .when(F.lag("_last").over(by_piece).eqNullSafe(F.col("_first")), F.lit(1))
+                .otherwise(F.lit(0)))
+    summary = summary.withColumn("_ov", overlap).withColumn(
+        "_cl", F.col("_pn") - F.col("_maxrank") + 1)          # rows equal to the last value
+    # rows of earlier pieces equal to this piece's first value: the pieces
+    # ending on that value are contiguous and end right before this one
+    run = (Window.partitionBy(*keys, "_last").orderBy("_pid")
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summary = summary.withColumn("_run", F.sum("_cl").over(run))
     offs = [F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_bn"),
-            F.coalesce(F.sum("_pd").over(before), F.lit(0)).alias("_bd"),
+            F.coalesce(F.sum(F.col("_pd") - F.col("_ov")).over(before), F.lit(0)).alias("_bd"),
+            "_ov",
+            F.when(F.col("_ov") == 1, F.lag("_run").over(by_piece)).otherwise(F.lit(0)).alias("_tie"),
             F.sum("_pn").over(whole).alias("_gn")]
     for o in outs:
         if o.kind == "running_sum":
@@ -205,19 +227,24 @@ def _hot(df: DataFrame, keys, order, outs, peers, pieces: int) -> DataFrame:
 
     final = []
     bn = F.coalesce(F.col("_bn"), F.lit(0))
+    tie = F.when(F.col("_i_rk") == 1, F.coalesce(F.col("_tie"), F.lit(0))).otherwise(F.lit(0))
     for o in outs:
         lo = F.col(f"_l_{o.name}")
-        if o.kind in ("row_number", "rank"):
+        if o.kind == "row_number":
             final.append((bn + lo).cast("bigint").alias(o.name))
+        elif o.kind == "rank":
+            final.append((bn + lo - tie).cast("bigint").alias(o.name))
         elif o.kind == "dense_rank":
-            final.append((F.coalesce(F.col("_bd"), F.lit(0)) + lo).cast("bigint").alias(o.name))
+            final.append((F.coalesce(F.col("_bd"), F.lit(0)) + lo
+                          - F.coalesce(F.col("_ov"), F.lit(0))).cast("bigint").alias(o.name))
         elif o.kind == "running_sum":
             b = F.col(f"_bs_{o.name}")
             final.append(F.when(b.isNull(), lo).when(lo.isNull(), b).otherwise(b + lo).alias(o.name))
         elif o.kind == "last_non_null":
             final.append(F.coalesce(lo, F.col(f"_bl_{o.name}")).alias(o.name))
         elif o.kind == "group_count":
-            final.append(F.coalesce(F.col("_gn"), lo).alias(o.name))
+            local_n = F.count(F.lit(1)).over(Window.partitionBy(*local_keys))
+            final.append(F.coalesce(F.col("_gn"), local_n).alias(o.name))
     return joined.select(*df.columns, *final)
 
 

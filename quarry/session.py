@@ -54,17 +54,20 @@ def scratch_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:      # Spark Connect: only the conf is visible
+            root = None
     if root:
         return root.rstrip("/")
-    master = spark.sparkContext.master
+    master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(HDFS/S3/...) that all executors and the driver can reach")
     root = tempfile.mkdtemp(prefix="quarry-ckpt-")
     spark.sparkContext.setCheckpointDir(root)
-    spark.conf.set("spark.checkpoint.dir", root)
+    spark.conf.set("spark.checkpoint.dir", root)   # so later calls find it
     return root
 
 

@@ -45,10 +45,12 @@ def spread(df: DataFrame) -> DataFrame:
     already have at least that many splits, so at scale this is a no-op and
     adds no shuffle.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:          # Spark Connect: no RDD view; leave the input as is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
 
 
 class Tables:

@@ -98,3 +98,16 @@ def test_many_small_keys_all_split(spark):
     split = skew._hot(df, ["k"], [("o", True)], outs, 1, 16)
     key = lambda r: r["o"]
     assert sorted(plain.collect(), key=key) == sorted(split.collect(), key=key)
+
+
+@pytest.mark.parametrize("asc", [True, False])
+def test_tie_group_larger_than_budget_spans_pieces(spark, asc):
+    """3 distinct values over 2,000 rows of one key, budget 50: each tie
+    group spans many pieces; rank and dense_rank must still be exact."""
+    df = spark.range(2000).selectExpr("'k' AS k", "CAST(id % 3 AS INT) AS o", "id", "id % 5 AS v")
+    order = [("o", asc), ("id", True)]
+    outs = [Out("row_number", "rn"), Out("rank", "rk"), Out("dense_rank", "dr"),
+            Out("group_count", "n")]
+    plain = ordered_scan(df, ["k"], order, outs, peers=1, max_group_rows=10**9)
+    split = ordered_scan(df, ["k"], order, outs, peers=1, max_group_rows=50)
+    assert _rows(plain) == _rows(split)
