@@ -75,7 +75,7 @@ def stage(df: DataFrame, folder: str) -> None:
 
 def ensure_rocksdb(spark: SparkSession) -> None:
     """State lives in RocksDB (off-heap, spills to local disk, checkpointed
-    incrementally) instead of executor heap; required by transformWithState."""
+    incrementally) instead of executor heap."""
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
         spark.conf.set(key, ROCKSDB_PROVIDER)
@@ -94,12 +94,38 @@ def run_available_now(df: DataFrame, paths: StreamPaths, output_mode: str = "app
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format("parquet").option("path", paths.sink)
-    q = w.start()
+    q = _start_with_state_partitions(df.sparkSession, w)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"streaming query failed: {q.exception()}")
 
 
+def _start_with_state_partitions(spark: SparkSession, writer):
+    """Start a query with one state partition per core of the cluster.
+
+    Stateful operators keep one state store per shuffle partition, and the
+    count is fixed in the checkpoint at the first start.  A batch-sized
+    ``spark.sql.shuffle.partitions`` (hundreds locally, 10^5 at 100 TB) would
+    open that many stores per operator per micro-batch; the cluster's core
+    count is the useful parallelism for state.  The setting is scoped to the
+    start call (the query keeps its own copy of the conf); restarts keep the
+    value recorded in the checkpoint.
+    """
+    key = "spark.sql.shuffle.partitions"
+    current = int(spark.conf.get(key))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:          # Spark Connect: leave the session setting
+        cores = current
+    if cores >= current:
+        return writer.start()
+    spark.conf.set(key, str(cores))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, str(current))
+
+
 def overwrite_sink(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer for complete/update mode: each batch replaces the
     table (idempotent: re-running a batch writes the same result)."""
