@@ -83,8 +83,9 @@ def ensure_rocksdb(spark: SparkSession) -> None:
 
 def run_available_now(df: DataFrame, paths: StreamPaths, output_mode: str = "append",
                       foreach_batch: Callable[[DataFrame, int], None] | None = None,
-                      name: str | None = None) -> None:
-    """Start, process all available input, stop; raise if the query failed."""
+                      name: str | None = None):
+    """Start, process all available input, stop; raise if the query failed.
+    Returns the finished query (its progress reports stay readable)."""
     w = (df.writeStream.outputMode(output_mode)
            .option("checkpointLocation", paths.checkpoint)
            .trigger(availableNow=True))
@@ -98,6 +99,7 @@ def run_available_now(df: DataFrame, paths: StreamPaths, output_mode: str = "app
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"streaming query failed: {q.exception()}")
+    return q
 
 
 def _start_with_state_partitions(spark: SparkSession, writer):

@@ -164,3 +164,23 @@ def test_range_frame_null_timestamps_are_peers_only(spark):
                                "event_id long, user_id long, ts timestamp_ntz, value double")
     got = {r.event_id: (r.n_last_day, r.value_last_day) for r in range_frame_last_day(ev).collect()}
     assert got == {1: (1, 1.0), 2: (2, 3.0), 3: (2, 6.0), 4: (2, 24.0), 5: (2, 24.0)}
+
+
+def test_stream_state_partitions_follow_cores(spark):
+    """A batch-sized shuffle setting is not used for state stores; the
+    session setting is left as it was."""
+    from .conftest import conf
+    paths = new_paths(spark, "test_state_parts")
+    ev = spark.createDataFrame([(1, ts(0), 7, "view", 1.0, "{}"), (2, ts(5), 8, "view", 2.0, "{}")],
+                               "event_id long, ts timestamp_ntz, user_id long, "
+                               "event_type string, value double, props string")
+    stage(ev, paths.source)
+    agg = (events_stream(spark, source_dir=paths.source)
+           .withWatermark("event_time", "1 minute")
+           .groupBy("user_id", F.window("event_time", "1 hour")).count())
+    with conf(spark, "spark.sql.shuffle.partitions", 200):
+        q = run_available_now(agg, paths, "append")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    ops = [p for p in q.recentProgress if p["stateOperators"]]
+    assert ops and ops[0]["stateOperators"][0]["numShufflePartitions"] == \
+        spark.sparkContext.defaultParallelism
