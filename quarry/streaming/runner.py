@@ -102,6 +102,16 @@ def run_available_now(df: DataFrame, paths: StreamPaths, output_mode: str = "app
     return q
 
 
+def stream_partitions(spark: SparkSession) -> int:
+    """Shuffle partitions a stream started by ``run_available_now`` uses:
+    the cluster's cores, or the session setting if that is smaller."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        return min(current, spark.sparkContext.defaultParallelism)
+    except Exception:          # Spark Connect: leave the session setting
+        return current
+
+
 def _start_with_state_partitions(spark: SparkSession, writer):
     """Start a query with one state partition per core of the cluster.
 
@@ -115,13 +125,10 @@ def _start_with_state_partitions(spark: SparkSession, writer):
     """
     key = "spark.sql.shuffle.partitions"
     current = int(spark.conf.get(key))
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:          # Spark Connect: leave the session setting
-        cores = current
-    if cores >= current:
+    parts = stream_partitions(spark)
+    if parts >= current:
         return writer.start()
-    spark.conf.set(key, str(cores))
+    spark.conf.set(key, str(parts))
     try:
         return writer.start()
     finally:

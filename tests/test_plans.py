@@ -84,3 +84,33 @@ def test_two_phase_udaf_merges_in_the_jvm(spark):
 def test_udtf_is_arrow_vectorized(spark):
     p = plan(spark, "udtf_tokens")
     assert "ArrowEvalPythonUDTF" in p
+
+
+def test_stream_static_join_reuses_dimension_partitioning(spark, monkeypatch):
+    """With broadcast off, each micro-batch shuffles only its events: the
+    dimension side is the pre-partitioned cache, no exchange above it."""
+    import contextlib
+    import io
+
+    import quarry.streaming.queries as sq
+    import quarry.streaming.runner as runner
+    from .conftest import conf
+    plans = []
+    real = runner.run_available_now
+
+    def spy(df, paths, *a, **k):
+        q = real(df, paths, *a, **k)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            q.explain()
+        plans.append(buf.getvalue().split("== Initial Plan ==")[0])
+        return q
+
+    monkeypatch.setattr(sq, "run_available_now", spy)
+    with conf(spark, "spark.sql.autoBroadcastJoinThreshold", -1):
+        assert sq.stream_static_join(spark, SF001).count() > 0
+    final = plans[0]
+    join_part = final[:final.index("InMemoryRelation")]
+    assert "SortMergeJoin" in join_part
+    assert join_part.count("Exchange hashpartitioning") == 1     # the events side only
+    assert "InMemoryTableScan" in join_part
