@@ -34,6 +34,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
         "spark.driver.memory": os.environ.get("QUARRY_DRIVER_MEMORY", "16g"),
+        # many short queries per session: keep little status history on the driver
+        "spark.sql.ui.retainedExecutions": "50",
+        "spark.ui.retainedJobs": "100",
+        "spark.ui.retainedStages": "100",
+        "spark.sql.streaming.ui.retainedQueries": "10",
     }
     conf.update(extra or {})
     builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
@@ -103,4 +108,7 @@ def cluster_conf(input_bytes: int, total_cores: int,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
         "spark.quarry.skew.maxGroupRows": "4000000",
+        # long-lived drivers running many short queries and micro-batches
+        "spark.sql.ui.retainedExecutions": "200",
+        "spark.sql.streaming.ui.retainedQueries": "20",
     }
