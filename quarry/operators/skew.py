@@ -47,8 +47,8 @@ class Out:
     """One output column of ``ordered_scan``.
 
     kind: ``row_number`` | ``rank`` | ``dense_rank`` | ``running_sum`` |
-    ``last_non_null`` | ``group_count``; ``col`` names the input column for
-    ``running_sum`` and ``last_non_null``.
+    ``last_non_null`` | ``group_count`` | ``group_sum``; ``col`` names the
+    input column for ``running_sum``, ``last_non_null`` and ``group_sum``.
     """
     kind: str
     name: str
@@ -153,6 +153,8 @@ def _cold(df: DataFrame, keys, order, outs, peers) -> DataFrame:
             cols.append(F.last(o.col, ignorenulls=True).over(running).alias(o.name))
         elif o.kind == "group_count":
             cols.append(F.count(F.lit(1)).over(whole).alias(o.name))
+        elif o.kind == "group_sum":
+            cols.append(F.sum(o.col).over(whole).alias(o.name))
         else:
             raise ValueError(o.kind)
     return df.select("*", *cols)
@@ -187,7 +189,7 @@ def _hot(df: DataFrame, keys, order, outs, peers, pieces: int) -> DataFrame:
             F.max_by(peer, F.col("_i_rn")).alias("_last"),      # last peer value
             F.max("_i_rk").alias("_maxrank")]
     for o in outs:
-        if o.kind == "running_sum":
+        if o.kind in ("running_sum", "group_sum"):
             aggs.append(F.sum(o.col).alias(f"_ps_{o.name}"))
         elif o.kind == "last_non_null":
             aggs.append(F.max_by(F.col(o.col), F.when(F.col(o.col).isNotNull(), F.col("_i_rn")))
@@ -219,6 +221,8 @@ def _hot(df: DataFrame, keys, order, outs, peers, pieces: int) -> DataFrame:
     for o in outs:
         if o.kind == "running_sum":
             offs.append(F.sum(f"_ps_{o.name}").over(before).alias(f"_bs_{o.name}"))
+        elif o.kind == "group_sum":
+            offs.append(F.sum(f"_ps_{o.name}").over(whole).alias(f"_gs_{o.name}"))
         elif o.kind == "last_non_null":
             offs.append(F.last(f"_pl_{o.name}", ignorenulls=True).over(before)
                         .alias(f"_bl_{o.name}"))
@@ -245,6 +249,10 @@ def _hot(df: DataFrame, keys, order, outs, peers, pieces: int) -> DataFrame:
         elif o.kind == "group_count":
             local_n = F.count(F.lit(1)).over(Window.partitionBy(*local_keys))
             final.append(F.coalesce(F.col("_gn"), local_n).alias(o.name))
+        elif o.kind == "group_sum":
+            # spanning keys: total over pieces; others: the piece is the group
+            final.append(F.when(F.col("_gn").isNotNull(), F.col(f"_gs_{o.name}"))
+                          .otherwise(lo).alias(o.name))
     return joined.select(*df.columns, *final)
 
 
@@ -258,16 +266,15 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str,
     """
     counted = (df.where(F.col(value).isNotNull())
                  .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
+    # every row carries its group's running and total count: no join back
     scanned = ordered_scan(counted, keys, [(value, True)],
-                           [Out("running_sum", "_cum", "_c")])
-    totals = counted.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+                           [Out("running_sum", "_cum", "_c"), Out("group_sum", "_n", "_c")])
     cols = []
     for name, p in percentiles.items():
         pos = (F.col("_n") - 1) * F.lit(float(p))
         cols += [F.floor(pos).alias(f"_lo_{name}"), F.ceil(pos).alias(f"_hi_{name}"),
                  (pos - F.floor(pos)).alias(f"_fr_{name}")]
-    targets = totals.select(*keys, *cols)
-    j = _ns_join(scanned, targets, keys, "inner")
+    j = scanned.select("*", *cols)
     start = F.col("_cum") - F.col("_c")          # 0-based rank of the first copy
     aggs = []
     for name in percentiles:

@@ -31,7 +31,7 @@ def skewed(spark):
 
 OUTS = [Out("row_number", "rn"), Out("rank", "rk"), Out("dense_rank", "dr"),
         Out("running_sum", "rs", "v"), Out("last_non_null", "ln", "v"),
-        Out("group_count", "n")]
+        Out("group_count", "n"), Out("group_sum", "gs", "v")]
 
 
 def _rows(df):

@@ -13,7 +13,8 @@ ROW = st.tuples(st.sampled_from(["a", "b", "c", None]),     # key (skewed by wei
                 st.one_of(st.none(), st.integers(-5, 5)))    # value with NULLs
 
 OUTS = [Out("row_number", "rn"), Out("rank", "rk"), Out("dense_rank", "dr"),
-        Out("running_sum", "rs", "v"), Out("last_non_null", "ln", "v"), Out("group_count", "n")]
+        Out("running_sum", "rs", "v"), Out("last_non_null", "ln", "v"), Out("group_count", "n"),
+        Out("group_sum", "gs", "v")]
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
