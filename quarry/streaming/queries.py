@@ -7,7 +7,8 @@ zoned twin of the NTZ ``ts`` column (``functions/time.py``).
 
 Output modes are chosen for bounded state: windowed aggregates and sessions
 run in append mode with a watermark (state is dropped once a window closes);
-complete mode is used only for the small day x type rollup.
+complete mode is used only for the two day-level rollups (B1, B2), whose
+state is bounded by days x event types.
 """
 
 from __future__ import annotations
