@@ -3,6 +3,7 @@ can express.  ``__spark_entry__`` adds them when the subpackage is present."""
 
 from __future__ import annotations
 
+from quarry.llm.embedding_dedup import op7_embedding_dedup
 from quarry.llm.packing import op8_packing
 from quarry.llm.simhash import op4_simhash
 from quarry.llm.token_counts import op6_token_counts
@@ -10,6 +11,7 @@ from quarry.llm.token_counts import op6_token_counts
 QUERIES = {
     "op4_simhash": op4_simhash,
     "op6_token_counts": op6_token_counts,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_packing": op8_packing,
 }
 
