@@ -7,12 +7,14 @@ from quarry.llm.embedding_dedup import op7_embedding_dedup
 from quarry.llm.packing import op8_packing
 from quarry.llm.simhash import op4_simhash
 from quarry.llm.token_counts import op6_token_counts
+from quarry.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op4_simhash": op4_simhash,
     "op6_token_counts": op6_token_counts,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_packing": op8_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
