@@ -4,6 +4,7 @@ can express.  ``__spark_entry__`` adds them when the subpackage is present."""
 from __future__ import annotations
 
 from quarry.llm.embedding_dedup import op7_embedding_dedup
+from quarry.llm.language import op9_language
 from quarry.llm.packing import op8_packing
 from quarry.llm.quality import op1_quality
 from quarry.llm.simhash import op4_simhash
@@ -16,6 +17,7 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_packing": op8_packing,
+    "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
 }
 
