@@ -34,7 +34,7 @@ from quarry.sources.tables import load
 DIMS = 1 << 13
 CENTROIDS = 4
 #: bound on the labelled rows of the fit, per language
-TRAIN_ROWS = 1_500
+TRAIN_ROWS = 1_000
 #: share of its own training texts that a centroid accepts
 ACCEPT = 0.995
 UNKNOWN = "und"
@@ -54,12 +54,6 @@ def gram_counts(text: str | None, memo: Memo) -> np.ndarray | None:
     return np.bincount(np.concatenate(list(map(memo.__getitem__, ws))), minlength=DIMS)
 
 
-def unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    v = np.log1p(counts) * idf
-    norm = np.sqrt(v @ v)
-    return (v / norm if norm else v).astype(np.float32)
-
-
 def document_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
     """idf over all documents; one row per task is summed by Spark."""
 
@@ -85,14 +79,8 @@ def document_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
 
 
 def spherical_kmeans(x: np.ndarray, k: int, seed: int = 5, rounds: int = 20) -> np.ndarray:
-    """Unit centroids of unit rows; far-apart rows start them."""
-    rng = np.random.default_rng(seed)
-    start = [int(rng.integers(len(x)))]
-    best = x @ x[start[0]]
-    for _ in range(min(k, len(x)) - 1):
-        start.append(int(best.argmin()))
-        best = np.maximum(best, x @ x[start[-1]])
-    c = x[start]
+    """Unit centroids of unit rows, started from random rows."""
+    c = x[np.random.default_rng(seed).permutation(len(x))[:k]]
     for _ in range(rounds):
         own = (x @ c.T).argmax(axis=1)
         new = np.stack([x[own == j].sum(axis=0) if (own == j).any() else c[j] for j in range(len(c))])
@@ -145,17 +133,30 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             yield pa.RecordBatch.from_arrays([lang.take(pa.array(keep, pa.int64())), pa.array(got, pa.binary())], names=["lang", "v"])
 
     found = sample.mapInArrow(vectors, "lang string, v binary")
+    got = found.orderBy("lang", "v").toArrow()
+    langs = np.asarray(got.column("lang").to_pylist())
+    packed = got.column("v").to_pylist()
+
+    def dense(at: np.ndarray) -> np.ndarray:
+        x = np.zeros((len(at), DIMS), dtype=np.float32)
+        for r, k in enumerate(at):
+            dims, c = np.frombuffer(packed[k], dtype="<u4").reshape(2, -1)
+            v = np.log1p(c) * idf[dims]
+            x[r, dims] = v / np.sqrt(v @ v)
+        return x
+
+    # one mean per language first: rows nearer to another language's mean are
+    # taken for wrongly labelled and not learned from
+    known = sorted(set(langs.tolist()))
+    means = []
+    for lang in known:
+        mean = dense(np.flatnonzero(langs == lang)).sum(axis=0)
+        means.append(mean / np.sqrt(mean @ mean))
     names, parts, reach = [], [], []
-    for lang in sorted(r.lang for r in sample.select("lang").distinct().collect()):
-        packed = found.where(F.col("lang") == lang).select("v").toArrow().column("v").to_pylist()
-        if not packed:
-            continue
-        x = np.zeros((len(packed), DIMS), dtype=np.float32)
-        for r, raw in enumerate(packed):
-            at, c = np.frombuffer(raw, dtype="<u4").reshape(2, -1)
-            full = np.zeros(DIMS)
-            full[at] = c
-            x[r] = unit(full, idf)
+    for own_lang, lang in enumerate(known):
+        x = dense(np.flatnonzero(langs == lang))
+        right = (x @ np.stack(means).T).argmax(axis=1) == own_lang
+        x = x[right] if right.any() else x
         c = spherical_kmeans(x, centroids)
         sims = x @ c.T
         own = sims.argmax(axis=1)
