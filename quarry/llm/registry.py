@@ -6,6 +6,7 @@ from __future__ import annotations
 from quarry.llm.embedding_dedup import op7_embedding_dedup
 from quarry.llm.language import op9_language
 from quarry.llm.packing import op8_packing
+from quarry.llm.pii import op3_pii
 from quarry.llm.quality import op1_quality
 from quarry.llm.simhash import op4_simhash
 from quarry.llm.token_counts import op6_token_counts
@@ -13,6 +14,7 @@ from quarry.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
     "op6_token_counts": op6_token_counts,
     "op7_embedding_dedup": op7_embedding_dedup,
