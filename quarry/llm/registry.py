@@ -3,6 +3,7 @@ can express.  ``__spark_entry__`` adds them when the subpackage is present."""
 
 from __future__ import annotations
 
+from quarry.llm.decontamination import op2_decontamination
 from quarry.llm.embedding_dedup import op7_embedding_dedup
 from quarry.llm.language import op9_language
 from quarry.llm.packing import op8_packing
@@ -14,6 +15,7 @@ from quarry.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_decontamination": op2_decontamination,
     "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
     "op6_token_counts": op6_token_counts,
