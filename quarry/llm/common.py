@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.session import scratch_path
@@ -115,5 +115,13 @@ def hash_sample(df: DataFrame, column: str, most: int, seed: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.col(f"`{column}`"), F.lit(seed)), F.lit(1 << 31)) < keep)
 
 
-def session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+def text_last(docs: DataFrame, text_col: str) -> tuple[DataFrame, list]:
+    """All columns with the text (as string) moved to the end, and the schema
+    fields of the others."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    source = docs.select(*others, F.col(f"`{text_col}`").cast("string").alias(text_col))
+    return source, source.schema.fields[:-1]
+
+
+def ddl(fields: list) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)

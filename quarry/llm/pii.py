@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Memo, pick, text_chunks
+from quarry.llm.common import Memo, ddl, pick, text_chunks, text_last
 from quarry.sources.tables import load
 
 #: default key of tests and of the query; a deployment passes its own secret
@@ -257,15 +257,10 @@ def replace_text(text: str, new: Memo, tally: Counter) -> str:
 
 
 def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = KEY) -> DataFrame:
-    """All columns of ``docs`` with the text replaced, and the struct columns
-    of counts ``pii`` (kind, n).  Column order is kept; ``pii`` is last."""
-    schema = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != text_col],
-                         F.col(f"`{text_col}`").cast("string").alias(text_col)).schema
-    source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != text_col],
-                         F.col(f"`{text_col}`").cast("string").alias(text_col))
-    others = [f for f in schema.fields if f.name != text_col]
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in others]
-                    + [f"`{text_col}` string", "`__pii` map<string,int>"])
+    """All columns of ``docs`` with the text replaced, text last but for the
+    counts of replaced values by kind, ``__pii``."""
+    source, others = text_last(docs, text_col)
+    names = [f.name for f in others]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Pseudonyms(key)
@@ -278,9 +273,9 @@ def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 counts.append(sorted(tally.items()))
             yield pa.RecordBatch.from_arrays(
                 [*cols, pa.array(fresh, pa.string()), pa.array(counts, pa.map_(pa.string(), pa.int32()))],
-                names=[*[f.name for f in others], text_col, "__pii"])
+                names=[*names, text_col, "__pii"])
 
-    return source.mapInArrow(run, ddl)
+    return source.mapInArrow(run, ddl(source.schema.fields) + ", `__pii` map<string,int>")
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

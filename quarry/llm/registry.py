@@ -10,6 +10,7 @@ from quarry.llm.packing import op8_packing
 from quarry.llm.pii import op3_pii
 from quarry.llm.quality import op1_quality
 from quarry.llm.simhash import op4_simhash
+from quarry.llm.suffix_dedup import op5_suffix_dedup
 from quarry.llm.token_counts import op6_token_counts
 from quarry.llm.toxicity import op10_toxicity
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_packing": op8_packing,

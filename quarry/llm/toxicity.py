@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Memo, crc_mod, pick, stable_hash, text_chunks, words
+from quarry.llm.common import Memo, crc_mod, ddl, pick, stable_hash, text_chunks, text_last, words
 from quarry.llm.labelled import labelled_sample
 from quarry.sources.tables import load
 
@@ -225,22 +225,26 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_rows:
     return {chosen[k]: float(w[k]) for k in np.flatnonzero(w)}, b
 
 
-def score(docs: DataFrame, model: tuple[dict[int, float], float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of every row; one scan, whole texts."""
+def score(docs: DataFrame, model: tuple[dict[int, float], float], text_col: str = "text", out: str = "score",
+          keep_text: bool = False) -> DataFrame:
+    """All columns (the text only if asked for) and the score of every row;
+    one scan, whole texts."""
     weights, bias = model
-    source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    source, others = text_last(docs, text_col)
+    names = [f.name for f in others] + [text_col] * keep_text + [out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(lambda w: tuple(f for f in word_features(w) if f in weights))
-        for (ids,), texts in text_chunks(batches):
-            out = []
+        for cols, texts in text_chunks(batches):
+            got = []
             for t in texts:
                 found = set().union(*filter(None, map(memo.__getitem__, words(t)))) if t else ()
                 logit = bias + sum(weights[f] for f in sorted(found))
-                out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, logit)))))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(out, pa.float64())], names=["doc_id", "score"])
+                got.append(1 / (1 + math.exp(-max(-30.0, min(30.0, logit)))))
+            text = [pa.array(texts, pa.string())] * keep_text
+            yield pa.RecordBatch.from_arrays([*cols, *text, pa.array(got, pa.float64())], names=names)
 
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, score double")
+    return source.mapInArrow(run, ddl(source.schema.fields if keep_text else others) + f", `{out}` double")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str, threshold: float = 0.5) -> DataFrame:
