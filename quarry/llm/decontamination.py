@@ -50,9 +50,9 @@ BLOCK = 16
 COSINE = 0.4
 #: content words that a candidate passage shares with the item
 MIN_SHARED = 3
-LCS = 0.8
+LCS = 0.7
 LCS_PARAPHRASE = 0.5
-ANSWER = 0.6
+ANSWER = 0.5
 MIN_WORDS = 5
 ITEM_BLOCK = 500
 #: words in more than this share of documents are not content words
