@@ -185,15 +185,21 @@ def map_funcs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The map per user holds at most one entry per event type (a small, fixed
     domain), so collecting it per user is bounded whatever the user's size;
-    the counts themselves come from a partial aggregate.
+    the counts themselves come from a partial aggregate.  A map has no NULL
+    key: the count of events without type is kept beside it.
     """
     ev = Tables(spark, sf_dir).events
     counts = ev.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    typed = F.when(F.col("event_type").isNotNull(), F.struct("event_type", "n"))
     maps = counts.groupBy("user_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("m"))
+        F.map_from_entries(F.collect_list(typed)).alias("m"),
+        F.max(F.when(F.col("event_type").isNull(), F.col("n"))).alias("untyped"))
+    entries = F.map_entries("m")
+    entry = F.struct(F.lit(None).cast("string").alias("key"), F.col("untyped").alias("value"))
+    rows = F.when(F.col("untyped").isNull(), entries).otherwise(F.concat(entries, F.array(entry)))
     return maps.select(
-        "user_id", F.explode("m").alias("event_type", "n"),
-        F.size("m").cast("bigint").alias("n_types"),
+        "user_id", F.inline(rows).alias("event_type", "n"),
+        F.size(rows).cast("bigint").alias("n_types"),
         F.coalesce(F.col("m").getItem("view"), F.lit(0)).cast("bigint").alias("n_view"))
 
 

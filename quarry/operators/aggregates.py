@@ -21,7 +21,7 @@ from quarry.catalog import query
 from quarry.functions.numeric import (cents, charge_units, disc_price_units,
                                       exact_avg, exact_sum, scale_back, sum_units)
 from quarry.functions.time import ntz_lit
-from quarry.operators.skew import exact_percentiles
+from quarry.operators.skew import _ns_join, exact_percentiles
 from quarry.plans.broadcast import bounded_broadcast
 from quarry.sources.tables import Tables
 
@@ -143,14 +143,17 @@ def cube_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                      scale_back(F.sum("total"), 2).alias("total_price")))
 
 
-# The order status codes of the orders table.
+# The order status codes of the orders table; any other status,
+# NULL included, is counted in a column of its own.
 ORDER_STATUSES = ["F", "O", "P"]
+OTHER = "other"
 
 _PIVOT_SQL = """
 SELECT o_orderpriority,
        COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS "F",
        COUNT(*) FILTER (WHERE o_orderstatus = 'O') AS "O",
-       COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS "P"
+       COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS "P",
+       COUNT(*) FILTER (WHERE o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O', 'P')) AS "other"
 FROM orders
 GROUP BY o_orderpriority
 """
@@ -158,11 +161,14 @@ GROUP BY o_orderpriority
 
 def _pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = Tables(spark, sf_dir).orders
-    # Listing the pivot values avoids an extra job to discover them.
-    wide = orders.groupBy("o_orderpriority").pivot("o_orderstatus", ORDER_STATUSES).count()
+    # Listing the pivot values avoids an extra job to discover them; what is
+    # not listed is counted too.
+    status = F.when(F.col("o_orderstatus").isin(ORDER_STATUSES), F.col("o_orderstatus")).otherwise(OTHER)
+    names = [*ORDER_STATUSES, OTHER]
+    wide = (orders.select("o_orderpriority", status.alias("status"))
+                  .groupBy("o_orderpriority").pivot("status", names).count())
     return wide.select("o_orderpriority",
-                       *[F.coalesce(F.col(s), F.lit(0)).cast("bigint").alias(s)
-                         for s in ORDER_STATUSES])
+                       *[F.coalesce(F.col(s), F.lit(0)).cast("bigint").alias(s) for s in names])
 
 
 @query("pivot_query", oracle=_PIVOT_SQL)
@@ -175,10 +181,11 @@ WITH p AS ({_PIVOT_SQL})
 SELECT o_orderpriority, 'F' AS o_orderstatus, "F" AS n_orders FROM p
 UNION ALL SELECT o_orderpriority, 'O', "O" FROM p
 UNION ALL SELECT o_orderpriority, 'P', "P" FROM p
+UNION ALL SELECT o_orderpriority, 'other', "other" FROM p
 """)
 def unpivot_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pivot(spark, sf_dir).unpivot(
-        "o_orderpriority", ORDER_STATUSES, "o_orderstatus", "n_orders")
+        "o_orderpriority", [*ORDER_STATUSES, OTHER], "o_orderstatus", "n_orders")
 
 
 @query("stat_aggs", oracle="""
@@ -209,11 +216,18 @@ GROUP BY event_type
 """)
 def exact_percentiles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Tables(spark, sf_dir).events
-    pct = exact_percentiles(ev, ["event_type"], "value", {"p50": 0.5, "p90": 0.9})
-    counts = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    return (pct.join(counts, "event_type")
-               .select("event_type", F.round("p50", 6).alias("p50"),
-                       F.round("p90", 6).alias("p90"), "n"))
+    pct = exact_percentiles(ev, ["event_type"], "value", {"p50": 0.5, "p90": 0.9}, count="n")
+    return pct.select("event_type", F.round("p50", 6).alias("p50"),
+                      F.round("p90", 6).alias("p90"), "n")
+
+
+def distinct_sketches(df: DataFrame, keys: list[str], by: str, cols: dict[str, str],
+                      lg_k: int = 12) -> DataFrame:
+    """Approximate distinct counts per group from mergeable HLL sketches, built
+    per (group, ``by``) and united per group, the way daily or per-partition
+    sketches are rolled up.  One scan; nothing exact is counted."""
+    fine = df.groupBy(*keys, by).agg(*[F.hll_sketch_agg(c, lg_k).alias(n) for n, c in cols.items()])
+    return fine.groupBy(*keys).agg(*[F.hll_sketch_estimate(F.hll_union_agg(n)).alias(n) for n in cols])
 
 
 @query("approx_distinct", oracle="""
@@ -226,16 +240,12 @@ FROM lineitem
 GROUP BY l_returnflag
 """)
 def approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mergeable HLL sketches: built per (flag, status) and unioned per flag,
-    the way daily or per-partition sketches are rolled up; checked against
-    the exact distinct count (the oracle states the 5% bound)."""
+    """The estimates of ``distinct_sketches`` checked against exact distinct
+    counts (the oracle states the 5% bound); the exact side belongs to this
+    check, not to the operator."""
     li = Tables(spark, sf_dir).lineitem
-    fine = (li.groupBy("l_returnflag", "l_linestatus")
-              .agg(F.hll_sketch_agg("l_partkey", 12).alias("sk_part"),
-                   F.hll_sketch_agg("l_suppkey", 12).alias("sk_supp")))
-    approx = (fine.groupBy("l_returnflag")
-                  .agg(F.hll_sketch_estimate(F.hll_union_agg("sk_part")).alias("approx_parts"),
-                       F.hll_sketch_estimate(F.hll_union_agg("sk_supp")).alias("approx_supps")))
+    approx = distinct_sketches(li, ["l_returnflag"], "l_linestatus",
+                               {"approx_parts": "l_partkey", "approx_supps": "l_suppkey"})
     exact = (li.groupBy("l_returnflag")
                .agg(F.count_distinct("l_partkey").alias("exact_parts"),
                     F.count_distinct("l_suppkey").alias("exact_suppliers")))
@@ -243,7 +253,7 @@ def approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     def within(a: str, e: str):
         return F.abs(F.col(a) - F.col(e)) <= F.col(e) * 0.05
 
-    return (approx.join(exact, "l_returnflag")
+    return (_ns_join(approx, exact, ["l_returnflag"], "inner")
                   .select("l_returnflag", "exact_parts", "exact_suppliers",
                           within("approx_parts", "exact_parts").alias("parts_within_5pct"),
                           within("approx_supps", "exact_suppliers").alias("suppliers_within_5pct")))

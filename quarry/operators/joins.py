@@ -118,7 +118,8 @@ WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriori
 """)
 def semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    urgent = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select("o_custkey")
+    # Distinct keys first: a semi join cannot split a hot key of its right side.
+    urgent = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select("o_custkey").distinct()
     return (t.customer.select("c_custkey", "c_name", "c_nationkey")
              .join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left_semi"))
 
@@ -233,22 +234,23 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
     """For each left row, the latest right row with equal key and ts <= left ts.
 
     Both sides are stacked into one stream ordered by (key, ts, side) -- right
-    rows before left rows on equal ts, so ``<=`` holds -- and each carried
-    column is the last non-null value so far: an ordered scan, not a join, so
-    no pairs are formed and a busy key is split across tasks.
+    rows before left rows on equal ts, so ``<=`` holds -- and the right row's
+    columns, as one struct, are the last non-null struct so far: an ordered
+    scan, not a join, so no pairs are formed and a busy key is split across
+    tasks.  As in SQL, a right row with a NULL key or time matches nothing and
+    a left row with a NULL key or time has no match.
     """
     lcols = left.columns
-    l2 = left.select(*lcols, F.col(lts).alias("_t"), F.lit(1).alias("_side"),
-                     *[F.lit(None).cast(right.schema[c].dataType).alias(f"_c_{c}") for c in carry])
-    # SQL equality never matches NULL keys: such right rows can match nothing.
-    right = right.where(F.col(key).isNotNull())
+    carried = F.struct(*[F.col(c) for c in carry])
+    right = right.where(F.col(key).isNotNull() & F.col(rts).isNotNull())
     r2 = right.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c)
                         for c in lcols if c != key],
                       F.col(key), F.col(rts).alias("_t"), F.lit(0).alias("_side"),
-                      *[F.col(c).alias(f"_c_{c}") for c in carry])
-    stacked = l2.unionByName(r2)
+                      F.col(carry[0]).alias("_by"), carried.alias("_c"))
+    l2 = left.select(*lcols, F.col(lts).alias("_t"), F.lit(1).alias("_side"),
+                     F.lit(None).cast(r2.schema["_by"].dataType).alias("_by"),
+                     F.lit(None).cast(r2.schema["_c"].dataType).alias("_c"))
     # The first carried column breaks ties between right rows on equal ts.
-    order = [("_t", True), ("_side", True), (f"_c_{carry[0]}", True)]
-    scanned = ordered_scan(stacked, [key], order,
-                           [Out("last_non_null", c, f"_c_{c}") for c in carry], peers=2)
-    return scanned.where(F.col("_side") == 1).select(*lcols, *carry)
+    scanned = ordered_scan(l2.unionByName(r2), [key], [("_t", True), ("_side", True), ("_by", True)],
+                           [Out("last_non_null", "_m", "_c")], peers=2)
+    return scanned.where(F.col("_side") == 1).select(*lcols, *[F.col("_m")[c].alias(c) for c in carry])

@@ -11,8 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.catalog import query
+from quarry.operators.skew import _max_group_rows, hot_keys
 from quarry.sources.tables import Tables
 
 _CORRELATED = """
@@ -25,8 +27,22 @@ WHERE l_quantity < (SELECT 0.2 * AVG(l2.l_quantity) FROM {lineitem} l2
 
 @query("correlated_subquery", oracle=_CORRELATED.format(lineitem="lineitem"))
 def correlated_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = Tables(spark, sf_dir).lineitem
-    return spark.sql(_CORRELATED, lineitem=li)
+    return below_own_average(Tables(spark, sf_dir).lineitem)
+
+
+def below_own_average(li: DataFrame, max_group_rows: int | None = None) -> DataFrame:
+    """The correlated query; a part with very many lines is not sent to one
+    task: its average (one of at most ``MAX_HOT_KEYS`` listed) is broadcast."""
+    spark = li.sparkSession
+    hot, _ = hot_keys(li.where(F.col("l_partkey").isNotNull()), ["l_partkey"], max_group_rows or _max_group_rows(li))
+    if not hot:             # none, or too many to list: AQE and the plain plan
+        return spark.sql(_CORRELATED, lineitem=li)
+    keys = F.broadcast(spark.createDataFrame([(r["l_partkey"],) for r in hot],
+                                             T.StructType([T.StructField("l_partkey", li.schema["l_partkey"].dataType)])))
+    busy = li.join(keys, "l_partkey", "left_semi")
+    limit = F.broadcast(busy.groupBy("l_partkey").agg((0.2 * F.avg("l_quantity")).alias("_limit")))
+    rest = spark.sql(_CORRELATED, lineitem=li.join(keys, "l_partkey", "left_anti"))
+    return rest.unionByName(busy.join(limit, "l_partkey").where(F.col("l_quantity") < F.col("_limit")).select(*rest.columns))
 
 
 @query("lateral_join", oracle="""

@@ -2,15 +2,11 @@
 
 Every query here is partitioned by a key that may be skewed (a market
 segment holds a fifth of all customers, one user may own a third of all
-events).  They are therefore built on ``ordered_scan`` (row numbers, ranks,
-running sums; a hot key is split across tasks) plus equi-joins on the unique
-(key, row number) pair, which have no skew at all:
-
-* lag / lead      -> join on (key, rn - 1) / (key, rn + 1)
-* N-row frame     -> running sum at rn minus running sum at rn - N
-* range frame     -> running sum at ts minus running sum just before ts - 1 day
-                     (an as-of lookup, again an ordered scan)
-* first / last    -> min_by / max_by per key (partial aggregate) joined back
+events).  They are therefore built on ``ordered_scan``, which takes Spark's
+window (one shuffle on the key) for ordinary keys and splits a hot key across
+tasks: row numbers, ranks, running sums, lag / lead, first / last, N-row frames.
+A range frame is the running sum at ts minus the running sum just before
+ts - 1 day (an as-of lookup, again an ordered scan).
 
 Top-k per group keeps Spark's own window: ``row_number() <= k`` is planned
 with a ``WindowGroupLimit`` below the shuffle, so a hot key contributes at
@@ -55,73 +51,26 @@ def window_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ntile("rn", "_n", 4).alias("quartile"))
 
 
-def _numbered_events(spark: SparkSession, sf_dir: str, extra: list[Out] | None = None,
-                     cols: tuple = ("event_id", "user_id", "ts", "event_type", "value")):
-    ev = Tables(spark, sf_dir).events.select(*cols)
-    if any(o.kind == "running_sum" for o in extra or []):
-        ev = ev.withColumn("_v", cents("value"))
-    return ordered_scan(ev, ["user_id"], [("ts", True), ("event_id", True)],
-                        [Out("row_number", "_rn"), *(extra or [])])
+EVENT_ORDER = [("ts", True), ("event_id", True)]
 
 
 @query("window_offset", oracle="""
 SELECT event_id, user_id, ts,
        LAG(value) OVER w AS prev_value,
        LEAD(value) OVER w AS next_value,
-       FIRST_VALUE(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id
+       FIRST_VALUE(event_type) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id
            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_type,
-       LAST_VALUE(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id
+       LAST_VALUE(event_type) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id
            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_type
 FROM events
-WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+WINDOW w AS (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id)
 """)
 def window_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _numbered_events(spark, sf_dir)
-    # Each row addresses itself and its two neighbours by (user, row number);
-    # one shuffle on that unique pair replaces two self-joins.
-    m = _messages(s, [(0, {"event_id": "event_id", "ts": "ts"}),
-                      (1, {"prev_value": "value"}),
-                      (-1, {"next_value": "value"})])
-    ev = Tables(spark, sf_dir).events
-    order_key = F.struct("ts", "event_id")
-    ends = (ev.groupBy("user_id")
-              .agg(F.min_by("event_type", order_key).alias("first_type"),
-                   F.max_by("event_type", order_key).alias("last_type")))
-    return (m.join(ends, "user_id")
-             .select("event_id", "user_id", "ts", "prev_value", "next_value",
-                     "first_type", "last_type"))
-
-
-def _messages(s: DataFrame, sends: list[tuple[int, dict[str, str]]]) -> DataFrame:
-    """Deliver columns of each numbered row to the row ``shift`` places later.
-
-    ``sends`` lists (shift, {output name: source column}); shift 0 must come
-    first and carries the row's own columns.  Rows are grouped on the unique
-    (user_id, _rn) -- no key can be hot -- and messages addressed past either
-    end of a user's sequence are dropped with the rows that do not exist.
-    """
-    names = [n for _, cols in sends for n in cols]
-    structs = []
-    for i, (shift, cols) in enumerate(sends):
-        fields = [(F.col("_rn") + shift).alias("rn"), F.lit(i).alias("role")]
-        for n in names:
-            src = cols.get(n)
-            fields.append((F.col(src) if src else F.lit(None)).cast(
-                s.schema[src or _first_source(sends, n)].dataType).alias(n))
-        structs.append(F.struct(*fields))
-    exploded = s.select("user_id", F.explode(F.array(*structs)).alias("m")).select("user_id", "m.*")
-    aggs = [F.max(F.when(F.col("role") == i, F.col(n))).alias(n)
-            for i, (_, cols) in enumerate(sends) for n in cols]
-    aggs.append(F.max(F.when(F.col("role") == 0, F.lit(True))).alias("_self"))
-    return (exploded.groupBy("user_id", F.col("rn").alias("_rn")).agg(*aggs)
-                    .where(F.col("_self")).drop("_self"))
-
-
-def _first_source(sends, name):
-    for _, cols in sends:
-        if name in cols:
-            return cols[name]
-    raise KeyError(name)
+    ev = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts", "event_type", "value")
+    s = ordered_scan(ev, ["user_id"], EVENT_ORDER,
+                     [Out("lag", "prev_value", "value"), Out("lead", "next_value", "value"),
+                      Out("first", "first_type", "event_type"), Out("last", "last_type", "event_type")])
+    return s.select("event_id", "user_id", "ts", "prev_value", "next_value", "first_type", "last_type")
 
 
 FRAME_ROWS = 7
@@ -131,19 +80,17 @@ FRAME_ROWS = 7
 SELECT event_id, user_id, ts,
        CAST(SUM(CAST(value AS DECIMAL(12,2))) OVER w AS DOUBLE) / COUNT(*) OVER w AS moving_avg
 FROM events
-WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+WINDOW w AS (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
 """)
 def window_rows_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """7-row moving average: running sum at rn minus running sum at rn - 7,
-    the latter delivered as a message (no self-join, one scan)."""
-    s = _numbered_events(spark, sf_dir, [Out("running_sum", "_cum", "_v")],
-                         cols=("event_id", "user_id", "ts", "value"))
-    m = _messages(s, [(0, {"event_id": "event_id", "ts": "ts", "cum": "_cum"}),
-                      (FRAME_ROWS, {"cum_back": "_cum"})])
-    moving = F.col("cum") - F.coalesce("cum_back", F.lit(0))
+    """7-row moving average (NULL where all seven values are)."""
+    ev = (Tables(spark, sf_dir).events.select("event_id", "user_id", "ts", "value")
+          .withColumn("_v", cents("value")))
+    s = ordered_scan(ev, ["user_id"], EVENT_ORDER,
+                     [Out("row_number", "_rn"), Out("rows_sum", "_sum", "_v", FRAME_ROWS)])
     n = F.least(F.col("_rn"), F.lit(FRAME_ROWS))
-    return m.select("event_id", "user_id", "ts",
-                    (moving.cast("double") / 100 / n).alias("moving_avg"))
+    return s.select("event_id", "user_id", "ts",
+                    (F.col("_sum").cast("double") / 100 / n).alias("moving_avg"))
 
 
 @query("window_range_frame", oracle="""
@@ -171,23 +118,29 @@ def range_frame_last_day(ev: DataFrame) -> DataFrame:
     user, ordered by ts (see ``window_range_frame``).  Rows with a NULL ts
     are peers of each other only, as in SQL."""
     per_ts = (ev.where(F.col("ts").isNotNull()).groupBy("user_id", "ts")
-                .agg(F.count(F.lit(1)).alias("_c"), F.sum(cents("value")).alias("_s")))
+                .agg(F.count(F.lit(1)).alias("_c"), F.count("value").alias("_k"),
+                     F.coalesce(F.sum(cents("value")), F.lit(0)).alias("_s")))
     points = per_ts.select("user_id", F.col("ts").alias("_t"), F.lit(1).alias("_side"),
-                           "_c", "_s", F.col("ts").alias("_origin"))
+                           "_c", "_k", "_s", F.col("ts").alias("_origin"))
     probes = per_ts.select("user_id", (F.col("ts") - F.expr("INTERVAL 1 DAY")).alias("_t"),
                            F.lit(0).alias("_side"), F.lit(0).cast("bigint").alias("_c"),
-                           F.lit(0).cast("bigint").alias("_s"), F.col("ts").alias("_origin"))
+                           F.lit(0).cast("bigint").alias("_k"), F.lit(0).cast("bigint").alias("_s"), F.col("ts").alias("_origin"))
     scan = ordered_scan(points.unionByName(probes), ["user_id"], [("_t", True), ("_side", True)],
-                        [Out("running_sum", "_cn", "_c"), Out("running_sum", "_cs", "_s")])
+                        [Out("running_sum", "_cn", "_c"), Out("running_sum", "_ck", "_k"),
+                         Out("running_sum", "_cs", "_s")])
     side = F.col("_side")
     frame = (scan.groupBy("user_id", F.col("_origin").alias("ts"))
                  .agg(F.max(F.when(side == 1, F.col("_cn"))).alias("cn"),
+                      F.max(F.when(side == 1, F.col("_ck"))).alias("ck"),
+                      F.max(F.when(side == 0, F.col("_ck"))).alias("bk"),
                       F.max(F.when(side == 1, F.col("_cs"))).alias("cs"),
                       F.max(F.when(side == 0, F.col("_cn"))).alias("bn"),
                       F.max(F.when(side == 0, F.col("_cs"))).alias("bs")))
     frame = frame.select("user_id", "ts", (F.col("cn") - F.col("bn")).alias("n_last_day"),
-                         scale_back(F.col("cs") - F.col("bs"), 2).alias("value_last_day"))
-    timed = (ev.join(frame, ["user_id", "ts"])
+                         # a frame of only NULL values has no sum
+                         F.when(F.col("ck") > F.col("bk"), scale_back(F.col("cs") - F.col("bs"), 2))
+                          .alias("value_last_day"))
+    timed = (_ns_join(ev, frame, ["user_id", "ts"], "inner")
                .select("event_id", "user_id", "ts", "n_last_day", "value_last_day"))
     untimed = ev.where(F.col("ts").isNull())
     peers = (untimed.groupBy("user_id")

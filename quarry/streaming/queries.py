@@ -17,21 +17,26 @@ from datetime import datetime, timedelta
 from datetime import time as dtime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
 from quarry.functions.numeric import exact_sum
-from quarry.functions.time import instant_to_ntz, ntz_lit
+from quarry.functions.time import instant_to_ntz, ntz_lit, ntz_micros
 from quarry.plans.broadcast import bounded_broadcast
 from quarry.sources.tables import Tables
 from quarry.streaming.runner import (EVENT_TIME, events_stream, new_paths, overwrite_sink,
-                                     per_batch_sink, run_available_now, stage, stream_partitions,
-                                     window_cols)
+                                     path_exists, per_batch_sink, read_latest, run_available_now,
+                                     stage, stream_partitions, window_cols)
 from quarry.streaming.stateful import running_user_stats
 
 WATERMARK = "1 hour"
 SESSION_GAP = "12 hours"
+ON_TIME_SLICES = 2
+JOIN_HOURS = 6
+# Parts into which the events of one customer are dealt in the stream-static
+# join (the dimension is repeated as often).
+STATIC_SALT = 4
 
 _DAILY_BY_TYPE = """
 SELECT date_trunc('day', ts) AS window_start,
@@ -55,7 +60,7 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = new_paths(spark, "stream_tumbling")
     agg = _daily_by_type(events_stream(spark, sf_dir))
     run_available_now(agg, paths, "complete", overwrite_sink(paths.sink))
-    return spark.read.parquet(paths.sink)
+    return read_latest(spark, paths.sink)
 
 
 @query("stream_sliding", tier="stream", oracle="""
@@ -73,7 +78,7 @@ def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
            .agg(F.count(F.lit(1)).alias("n"))
            .select(*window_cols(), "n"))
     run_available_now(agg, paths, "complete", overwrite_sink(paths.sink))
-    return spark.read.parquet(paths.sink)
+    return read_latest(spark, paths.sink)
 
 
 @query("stream_session", tier="stream", oracle="""
@@ -139,15 +144,18 @@ HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= MAX(b.wm)
 def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late rows are dropped across a restart.
 
-    Everything after the first day is staged and processed; the query stops.
-    Then the first day's rows arrive as new files and the query restarts from
-    its checkpoint: the restored watermark is far past them, so they are
-    dropped and no closed window changes.
+    Everything after the first day is staged in time order, in
+    ``ON_TIME_SLICES`` slices, each processed before the next arrives (a
+    micro-batch each, whatever its number of files).  Then the first day's rows
+    arrive as new files and the query restarts from its checkpoint: the
+    restored watermark is far past them, so they are dropped and no closed
+    window changes.
     """
     paths = new_paths(spark, "stream_late_data")
     ev = Tables(spark, sf_dir).events
-    first_day = ev.agg(F.min(F.to_date("ts")).alias("d")).first()["d"]   # one scalar
-    first_day_end = datetime.combine(first_day + timedelta(days=1), dtime())
+    ends = ev.agg(F.min(F.to_date("ts")).alias("d"), F.max("ts").alias("hi")).first()   # one row
+    first_day_end = datetime.combine(ends["d"] + timedelta(days=1), dtime())
+    step = (ends["hi"] - first_day_end) / ON_TIME_SLICES
     on_time = ev.where(F.col("ts") >= ntz_lit(first_day_end))
     late = ev.where(F.col("ts") < ntz_lit(first_day_end))
 
@@ -158,8 +166,12 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .agg(F.count(F.lit(1)).alias("n"))
                 .select(*window_cols(), "n"))
 
-    stage(on_time, paths.source)
-    run_available_now(daily(), paths, "append")
+    for k in range(ON_TIME_SLICES):
+        part = F.col("ts") >= ntz_lit(first_day_end + k * step)
+        if k + 1 < ON_TIME_SLICES:
+            part &= F.col("ts") < ntz_lit(first_day_end + (k + 1) * step)
+        stage(on_time.where(part), paths.source)
+        run_available_now(daily(), paths, "append")
     stage(late, paths.source)
     run_available_now(daily(), paths, "append")           # restart, same checkpoint
     return spark.read.parquet(paths.sink)
@@ -193,17 +205,23 @@ WHERE v.event_type = 'view' AND p.event_type = 'purchase'
 """)
 def stream_stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """View then purchase within 6 h: both sides watermarked and the time
-    range bounds how long each row waits in join state."""
+    range bounds how long each row waits in join state.  The join key holds a
+    6 h bucket beside the user (views stand in their own and the next bucket),
+    so a busy user is spread over tasks; a pair meets in exactly one bucket."""
     paths = new_paths(spark, "stream_stream_join")
+    bucket = F.floor(ntz_micros("ts") / (JOIN_HOURS * 3_600_000_000))
     views = (events_stream(spark, sf_dir).where(F.col("event_type") == "view")
              .select(F.col("event_id").alias("view_id"), "user_id",
-                     F.col("ts").alias("view_ts"), F.col(EVENT_TIME).alias("v_time"))
+                     F.col("ts").alias("view_ts"), F.col(EVENT_TIME).alias("v_time"),
+                     F.explode(F.array(bucket, bucket + 1)).alias("v_bucket"))
              .withWatermark("v_time", WATERMARK))
     buys = (events_stream(spark, sf_dir).where(F.col("event_type") == "purchase")
             .select(F.col("event_id").alias("purchase_id"), F.col("user_id").alias("p_user"),
-                    F.col("ts").alias("purchase_ts"), F.col(EVENT_TIME).alias("p_time"))
+                    F.col("ts").alias("purchase_ts"), F.col(EVENT_TIME).alias("p_time"),
+                    bucket.alias("p_bucket"))
             .withWatermark("p_time", WATERMARK))
     joined = (views.join(buys, (F.col("user_id") == F.col("p_user"))
+                         & (F.col("v_bucket") == F.col("p_bucket"))
                          & (F.col("p_time") >= F.col("v_time"))
                          & (F.col("p_time") <= F.col("v_time") + F.expr("INTERVAL 6 HOURS")))
                    .select("view_id", "purchase_id", "user_id", "view_ts", "purchase_ts"))
@@ -224,18 +242,22 @@ def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     Spark's size estimate allows; otherwise the dimension is hash-partitioned
     on the join key once, with the stream's own partition count, and kept
     (memory and disk) for the run, so each micro-batch shuffles only its
-    events and reuses the dimension's partitioning.  Nation is broadcast
+    events and reuses the dimension's partitioning.  The key carries a salt, so
+    one customer's events go to ``STATIC_SALT`` tasks.  Nation is broadcast
     behind the row check."""
     paths = new_paths(spark, "stream_static_join")
     t = Tables(spark, sf_dir)
     dim = (t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
            .join(bounded_broadcast(t.nation.select("n_nationkey", "n_name")),
                  F.col("c_nationkey") == F.col("n_nationkey"))
-           .select("c_custkey", "c_mktsegment", "n_name")
-           .repartition(stream_partitions(spark), "c_custkey")
+           .select("c_custkey", "c_mktsegment", "n_name",
+                   F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(STATIC_SALT - 1).cast("bigint")))
+                    .alias("c_salt"))
+           .repartition(stream_partitions(spark), "c_custkey", "c_salt")
            .persist(StorageLevel.MEMORY_AND_DISK))
-    enriched = (events_stream(spark, sf_dir)
-                .join(dim, F.col("user_id") == F.col("c_custkey"))
+    salt = F.pmod(F.xxhash64("event_id"), F.lit(STATIC_SALT))
+    enriched = (events_stream(spark, sf_dir).withColumn("salt", salt)
+                .join(dim, (F.col("user_id") == F.col("c_custkey")) & (F.col("salt") == F.col("c_salt")))
                 .select("event_id", "user_id", "event_type", "c_mktsegment", "n_name"))
     try:
         run_available_now(enriched, paths, "append")
@@ -280,68 +302,82 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_
 WHERE rn = 1
 """)
 def stream_sink_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest event per user, kept as an upserted Parquet table.
-
-    The table is partitioned by a hash bucket of user_id.  foreachBatch
-    reduces the micro-batch to the latest row per user, reads only the
-    buckets those users fall in (partition pruning), merges, and replaces
-    just those buckets (dynamic partition overwrite).  The merge -- latest
-    by (ts, event_id) -- is idempotent, so a replayed batch, even after a
-    partial commit, writes the same rows.  Two runs with a restart between
-    exercise the merge against existing state."""
+    """Latest event per user, kept as an upserted Parquet table (see
+    ``UpsertTable``).  Two runs with a restart between exercise the merge
+    against existing state."""
     paths = new_paths(spark, "stream_sink_upsert")
     ev = Tables(spark, sf_dir).events
     mid = ev.agg(F.max("ts").alias("hi"), F.min("ts").alias("lo")).first()
     split_col = ntz_lit(mid["lo"] + (mid["hi"] - mid["lo"]) / 2)
-    table = f"{paths.sink}/table"
-    cols = list(UPSERT_COLS)
-
-    def upsert(batch: DataFrame, epoch_id: int) -> None:
-        upsert_latest(spark, table, batch)
-
+    table = UpsertTable(spark, f"{paths.sink}/table")
     for part in (F.col("ts") < split_col, F.col("ts") >= split_col):
         stage(ev.where(part), paths.source)
-        run_available_now(events_stream(spark, source_dir=paths.source).select(*cols),
-                          paths, "append", upsert)
-    return spark.read.parquet(table).select(*cols)
+        run_available_now(events_stream(spark, source_dir=paths.source).select(*UPSERT_COLS),
+                          paths, "append", table.upsert)
+    return table.read()
 
 
-# Hash buckets of the upsert table; a batch rewrites only the buckets it
-# touches.  On a cluster this is sized so a bucket is a few hundred MB.
-UPSERT_BUCKETS = 64
 UPSERT_COLS = ("user_id", "event_id", "ts", "event_type", "value")
+UPSERT_SCHEMA = ("user_id bigint, event_id bigint, ts timestamp_ntz, event_type string, "
+                 "value double, epoch bigint, bucket bigint")
 
 
-def _latest_per_user(df: DataFrame) -> DataFrame:
-    """One row per user: the latest by (ts, event_id); a partial aggregate."""
-    cols = UPSERT_COLS
-    s = df.groupBy("user_id").agg(
-        F.max_by(F.struct(*cols[1:]), F.struct("ts", "event_id")).alias("r"))
-    return s.select("user_id", *[F.col(f"r.{c}").alias(c) for c in cols[1:]],
-                    F.pmod(F.xxhash64("user_id"), F.lit(UPSERT_BUCKETS)).alias("bucket"))
-
-
-def upsert_latest(spark: SparkSession, table: str, batch: DataFrame) -> None:
-    """Merge a batch into the latest-per-user table, rewriting only the
-    hash buckets the batch touches.  Idempotent: replaying a batch, even
-    after a partial commit, leaves the same rows."""
-    fresh = _latest_per_user(batch.select(*UPSERT_COLS))
-    touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]  # <= buckets
-    if not touched:
-        return
-    current = _read_or_none(spark, table)
-    merged = fresh
-    if current is not None:
-        old = current.where(F.col("bucket").isin(touched)).select(*UPSERT_COLS)
-        merged = _latest_per_user(old.unionByName(fresh.select(*UPSERT_COLS)))
-    # one writer task per bucket: one file per touched bucket, not per task
-    (merged.repartition("bucket")
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("bucket").parquet(table))
-
-
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:          # nothing written yet
-        return None
+class UpsertTable:
+    """Latest event per user as Parquet, merged batch by batch, crash-safe.
+
+    The folder holds one version per epoch (``epoch=<id>/bucket=<b>``) with the
+    buckets of user_id that the epoch touched; a bucket's current rows are
+    those of the last epoch that wrote it.  An epoch reads versions before its
+    own and writes only its own, so nothing that is read is ever replaced: a
+    crash at any point leaves the earlier versions whole, and a repeated epoch
+    overwrites its own attempt.  The stream commits epochs in order, so every
+    version before an epoch is complete when it runs.  A table that does not
+    exist yet is empty; any other failure to read is raised.
+
+    ``buckets`` is a property of the table (a few hundred MB per bucket on a
+    cluster); ``writers`` tasks write each bucket.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, writers: int = 1):
+        self.spark, self.path, self.buckets, self.writers = spark, path, buckets, writers
+
+    def _latest(self, df: DataFrame) -> DataFrame:
+        """One row per user: the latest by (ts, event_id).  Spark limits each
+        user to one row per map task before the shuffle."""
+        w = Window.partitionBy("user_id").orderBy(F.col("ts").desc(), F.col("event_id").desc())
+        bucket = F.pmod(F.xxhash64("user_id"), F.lit(self.buckets))
+        return (df.select(*UPSERT_COLS).withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
+                  .drop("_rn").withColumn("bucket", bucket))
+
+    def _current(self, before: int | None = None) -> DataFrame | None:
+        """Current rows (with bucket) as of all epochs, or those before one."""
+        if not path_exists(self.spark, self.path):
+            return None
+        rows = self.spark.read.schema(UPSERT_SCHEMA).parquet(self.path)
+        if before is not None:
+            rows = rows.where(F.col("epoch") < before)
+        last = rows.groupBy("bucket").agg(F.max("epoch").alias("epoch"))    # at most one row per bucket
+        return rows.join(F.broadcast(last), ["bucket", "epoch"]).drop("epoch")
+
+    def upsert(self, batch: DataFrame, epoch_id: int) -> None:
+        """Merge a micro-batch (foreachBatch); repeating it is harmless."""
+        fresh = self._latest(batch).persist()
+        try:
+            touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]    # <= buckets
+            if not touched:
+                return
+            merged, current = fresh, self._current(before=epoch_id)
+            if current is not None:
+                old = current.where(F.col("bucket").isin(touched))
+                merged = self._latest(old.select(*UPSERT_COLS).unionByName(fresh.select(*UPSERT_COLS)))
+            salt = F.pmod(F.xxhash64("user_id", F.lit(1)), F.lit(self.writers))
+            (merged.repartition(F.col("bucket"), salt)
+                   .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/epoch={epoch_id}"))
+        finally:
+            fresh.unpersist()
+
+    def read(self) -> DataFrame:
+        rows = self._current()
+        if rows is None:
+            rows = self.spark.createDataFrame([], UPSERT_SCHEMA)
+        return rows.select(*UPSERT_COLS)

@@ -48,24 +48,20 @@ def new_paths(spark: SparkSession, name: str) -> StreamPaths:
     return StreamPaths(scratch_path(spark, "stream", name))
 
 
-def events_stream(spark: SparkSession, sf_dir: str | None = None, source_dir: str | None = None,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+def events_stream(spark: SparkSession, sf_dir: str | None = None, source_dir: str | None = None) -> DataFrame:
     """The events table as a stream, with a zoned ``event_time`` column.
 
-    Either the driver's events file (``sf_dir``) or a folder of staged
-    Parquet files (``source_dir``).  The schema is given, never inferred.
+    Either the driver's events table (``sf_dir``; one file or a folder of
+    files) or a folder of staged Parquet files (``source_dir``).  The schema
+    is given, never inferred.
     """
     reader = spark.readStream.schema(EVENTS_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if source_dir is None:
-        events_file = table_path(sf_dir, "events")
-        folder, name = events_file.rsplit("/", 1)
+    path = source_dir if source_dir is not None else table_path(sf_dir, "events")
+    if source_dir is None and not is_folder(spark, path):
+        # a file source wants a folder: the one around the file, and only it
+        path, name = path.rsplit("/", 1)
         reader = reader.option("pathGlobFilter", name)
-        df = reader.parquet(folder)
-    else:
-        df = reader.parquet(source_dir)
-    return df.withColumn(EVENT_TIME, ntz_to_instant("ts"))
+    return reader.parquet(path).withColumn(EVENT_TIME, ntz_to_instant("ts"))
 
 
 def stage(df: DataFrame, folder: str) -> None:
@@ -73,14 +69,6 @@ def stage(df: DataFrame, folder: str) -> None:
     df.write.mode("append").parquet(folder)
 
 
-def ensure_rocksdb(spark: SparkSession) -> None:
-    """State lives in RocksDB (off-heap, spills to local disk, checkpointed
-    incrementally) instead of executor heap."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
-        spark.conf.set(key, ROCKSDB_PROVIDER)
-
-
 def run_available_now(df: DataFrame, paths: StreamPaths, output_mode: str = "append",
                       foreach_batch: Callable[[DataFrame, int], None] | None = None,
                       name: str | None = None):
@@ -95,7 +83,7 @@ def run_available_now(df: DataFrame, paths: StreamPaths, output_mode: str = "app
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format("parquet").option("path", paths.sink)
-    q = _start_with_state_partitions(df.sparkSession, w)
+    q = _start(df.sparkSession, w)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"streaming query failed: {q.exception()}")
@@ -112,37 +100,73 @@ def stream_partitions(spark: SparkSession) -> int:
         return current
 
 
-def _start_with_state_partitions(spark: SparkSession, writer):
-    """Start a query with one state partition per core of the cluster.
+def _start(spark: SparkSession, writer):
+    """Start a query with the settings every stateful stream here wants; they
+    hold for the start call only (a query keeps its own copy of the conf).
 
-    Stateful operators keep one state store per shuffle partition, and the
-    count is fixed in the checkpoint at the first start.  A batch-sized
-    ``spark.sql.shuffle.partitions`` (hundreds locally, 10^5 at 100 TB) would
-    open that many stores per operator per micro-batch; the cluster's core
-    count is the useful parallelism for state.  The setting is scoped to the
-    start call (the query keeps its own copy of the conf); restarts keep the
-    value recorded in the checkpoint.
+    * State lives in RocksDB (off-heap, spills to local disk, checkpointed
+      incrementally) instead of executor heap.
+    * One state partition per core of the cluster.  Stateful operators keep
+      one state store per shuffle partition, and the count is fixed in the
+      checkpoint at the first start (restarts keep it).  A batch-sized
+      ``spark.sql.shuffle.partitions`` (hundreds locally, 10^5 at 100 TB)
+      would open that many stores per operator per micro-batch.
+    * Sessions are merged in each map task before the shuffle, so a busy user
+      sends sessions, not events, to the task that holds their state.
     """
-    key = "spark.sql.shuffle.partitions"
-    current = int(spark.conf.get(key))
-    parts = stream_partitions(spark)
-    if parts >= current:
-        return writer.start()
-    spark.conf.set(key, str(parts))
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        "spark.sql.shuffle.partitions": str(stream_partitions(spark)),
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
     try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
         return writer.start()
     finally:
-        spark.conf.set(key, str(current))
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def overwrite_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer for complete/update mode: each batch replaces the
-    table (idempotent: re-running a batch writes the same result)."""
+    """foreachBatch writer for complete mode: each batch is a full result in a
+    folder of its own, so a failed write never costs the result before it; a
+    repeated batch overwrites its own folder.  ``read_latest`` reads it."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
     return write
 
 
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The result of the last batch of ``overwrite_sink``."""
+    table = spark.read.parquet(path)
+    last = table.agg(F.max("epoch")).first()[0]
+    if last is None:                    # an empty result: any folder says as much
+        return table.drop("epoch")
+    return table.where(F.col("epoch") == last).drop("epoch")
+
+
+def _place(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its file system; other failures are raised."""
+    fs, where = _place(spark, path)
+    return fs.exists(where)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path, which must exist, is a folder."""
+    fs, where = _place(spark, path)
+    return fs.getFileStatus(where).isDirectory()
+
+
 def per_batch_sink(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer keeping each batch in its own ``batch_id=`` folder;
     a retried batch overwrites its own folder, so replays never duplicate."""

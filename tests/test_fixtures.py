@@ -132,20 +132,65 @@ def test_ntz_literal_from_datetime(spark):
     assert got == ts(61)
 
 
-def test_upsert_is_idempotent_and_bucket_local(spark):
-    from quarry.session import scratch_path
-    from quarry.streaming.queries import upsert_latest
-    table = scratch_path(spark, "test_upsert")
+def _upsert_batches(spark):
     schema = ("event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
     b1 = spark.createDataFrame([(1, ts(0), 1, "view", 1.0), (2, ts(5), 1, "buy", 2.0),
                                 (3, ts(1), 2, "view", 3.0)], schema)
     b2 = spark.createDataFrame([(4, ts(3), 1, "view", 4.0), (5, ts(9), 3, "view", 5.0)], schema)
-    upsert_latest(spark, table, b1)
-    upsert_latest(spark, table, b2)
-    first = sorted(tuple(r) for r in spark.read.parquet(table).select("user_id", "event_id").collect())
-    upsert_latest(spark, table, b2)            # replayed batch
-    again = sorted(tuple(r) for r in spark.read.parquet(table).select("user_id", "event_id").collect())
-    assert first == again == [(1, 2), (2, 3), (3, 5)]   # user 1 keeps ts(5), not the older ts(3)
+    return b1, b2
+
+
+def test_upsert_replay_is_harmless(spark):
+    from quarry.session import scratch_path
+    from quarry.streaming.queries import UpsertTable
+    b1, b2 = _upsert_batches(spark)
+    for buckets, writers in ((64, 1), (1, 3)):
+        table = UpsertTable(spark, scratch_path(spark, "test_upsert"), buckets, writers)
+        assert table.read().collect() == []                  # missing means empty
+        table.upsert(b1, 0)
+        table.upsert(b2, 1)
+        first = sorted(tuple(r) for r in table.read().select("user_id", "event_id").collect())
+        table.upsert(b2, 1)                                  # replayed epoch
+        again = sorted(tuple(r) for r in table.read().select("user_id", "event_id").collect())
+        assert first == again == [(1, 2), (2, 3), (3, 5)]   # user 1 keeps ts(5), not the older ts(3)
+
+
+def test_upsert_survives_a_lost_write(spark):
+    """A crash may leave an epoch without some or all of its files; the
+    versions before it are whole and the replay restores every row."""
+    import shutil
+    from pathlib import Path
+
+    from quarry.session import scratch_path
+    from quarry.streaming.queries import UpsertTable
+    b1, b2 = _upsert_batches(spark)
+    table = UpsertTable(spark, scratch_path(spark, "test_upsert"), buckets=2)
+    table.upsert(b1, 0)
+    table.upsert(b2, 1)
+    want = sorted(tuple(r) for r in table.read().select("user_id", "event_id").collect())
+    broken = sorted(Path(table.path.removeprefix("file:"), "epoch=1").glob("bucket=*"))
+    shutil.rmtree(broken[0])                                 # between delete and rename
+    assert {r.user_id for r in table.read().collect()} >= {1, 2}
+    table.upsert(b2, 1)
+    assert sorted(tuple(r) for r in table.read().select("user_id", "event_id").collect()) == want
+
+
+def test_upsert_raises_when_the_table_cannot_be_read(spark):
+    from pathlib import Path
+
+    from quarry.session import scratch_path
+    from quarry.streaming.queries import UpsertTable
+    b1, b2 = _upsert_batches(spark)
+    table = UpsertTable(spark, scratch_path(spark, "test_upsert"), buckets=1)
+    table.upsert(b1, 0)
+    part = next(Path(table.path.removeprefix("file:"), "epoch=0", "bucket=0").glob("part-*.parquet"))
+    part.write_bytes(b"not parquet")
+    crc = part.with_name(f".{part.name}.crc")
+    if crc.exists():
+        crc.unlink()
+    with pytest.raises(Exception):
+        table.upsert(b2, 1)
+    assert not Path(table.path.removeprefix("file:"), "epoch=1", "_SUCCESS").exists()
 
 
 def test_band_self_join_counts_nulls(spark):
