@@ -9,8 +9,8 @@ substring of least hash (the leftmost of equals), so equal windows have equal
 anchors at equal places.  Maximal runs of windows with one anchor are
 "pieces": strings of at most 2 * length - k bytes, the short documents whose
 collection is indexed.  Pieces whose anchor occurs once can hold no repeat and
-are left out; equal pieces are inserted once, with the first of their
-occurrences, since all later ones repeat it entirely.
+are left out; equal pieces (same anchor, same 64-bit digest) are inserted once,
+with the first of their occurrences, since all later ones repeat it entirely.
 
 *Construction.*  Pieces come to the tasks by anchor.  A task takes blocks of
 whole anchor groups, lays their pieces out as columns relative to the anchor
@@ -24,9 +24,9 @@ all but the earliest of them are repeats.  What the method keeps in sequential
 external files (columns in, segments out) are here Spark's tables and shuffle
 files; a task holds one block, of bounded size.
 
-*Hot anchors.*  An anchor with more than ``group_rows`` different pieces is
-not given to one task: its windows are exploded and grouped by their bytes,
-with partial aggregation.
+*Hot anchors.*  An anchor that occurs more than ``group_rows`` times is not
+given to one task: its windows are exploded and grouped by their bytes, with
+partial aggregation.  (Copies within a segment are collapsed before.)
 
 The filters sent to the tasks are bit maps of fixed size (``filter_bits``);
 a fuller one only prunes less.
@@ -54,7 +54,7 @@ ANCHOR = 32
 GROUP_ROWS = 50_000
 BLOCK_ROWS = 20_000
 FILTER_BITS = 27
-SEGMENT = 4 << 20
+SEGMENT = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _TABLE = np.random.default_rng(12).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -155,28 +155,34 @@ def _pieces(batches: Iterator[pa.RecordBatch], length: int, k: int):
             yield p, data, did[p.doc], h[p.doc]
 
 
-def bit_map(keys: DataFrame, bits: int) -> np.ndarray:
-    """Bit map of the top ``bits`` bits of the long column ``key``; built in
-    slices by Spark, of fixed size whatever the number of keys."""
+def bit_maps(keys: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bit maps over the top ``bits`` bits of the long column ``key``: all
+    keys, and those with ``hot``; built in slices by Spark, of fixed size
+    whatever the number of keys."""
     slices = 64
     width = (1 << bits) // slices
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps: dict[int, np.ndarray] = {}
         for b in batches:
-            pos = b.column(0).to_numpy()
+            pos, hot = b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False)
             part = pos // width
             for s in np.unique(part):
-                maps.setdefault(int(s), np.zeros(width, dtype=bool))[pos[part == s] - s * width] = True
-        yield pa.RecordBatch.from_arrays([pa.array(list(maps), pa.int32()), pa.array([np.packbits(m).tobytes() for m in maps.values()], pa.binary())],
-                                         names=["slice", "bits"])
-
-    pos = keys.select(F.shiftrightunsigned("key", 64 - bits).alias("pos")).distinct()
-    rows = pos.repartition(F.col("pos") - F.col("pos") % width).mapInArrow(fill, "slice int, bits binary").collect()
-    out = np.zeros((1 << bits) // 8, dtype=np.uint8)
+                m = maps.setdefault(int(s), np.zeros((2, width), dtype=bool))
+                m[0, pos[part == s] - s * width] = True
+                m[1, pos[(part == s) & hot] - s * width] = True
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(maps), pa.int32()), *[pa.array([np.packbits(m[k]).tobytes() for m in maps.values()], pa.binary()) for k in (0, 1)]],
+            names=["slice", "all", "hot"])
+
+    pos = (keys.groupBy(F.shiftrightunsigned("key", 64 - bits).alias("pos")).agg(F.max("hot").alias("hot")))
+    rows = (pos.repartition(F.col("pos") - F.col("pos") % width)
+            .mapInArrow(fill, "slice int, all binary, hot binary").collect())
+    out = np.zeros((2, (1 << bits) // 8), dtype=np.uint8)
     for r in rows:                      # 64 slices of fixed size
-        out[r.slice * width // 8:(r.slice + 1) * width // 8] = np.frombuffer(r.bits, dtype=np.uint8)
-    return out
+        at = slice(r.slice * width // 8, (r.slice + 1) * width // 8)
+        out[0, at], out[1, at] = np.frombuffer(r["all"], dtype=np.uint8), np.frombuffer(r.hot, dtype=np.uint8)
+    return out[0], out[1]
 
 
 def in_map(bits_of: np.ndarray, bits: int, key: np.ndarray) -> np.ndarray:
@@ -200,18 +206,36 @@ def anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
     return docs.mapInArrow(run, "anchor long, n long")
 
 
-def occurrences(docs: DataFrame, repeated, bits: int, length: int, k: int) -> DataFrame:
-    """Pieces with a repeated anchor: the first of each class per segment with
-    its anchor and digest, the others (anchor null) as spans to remove."""
+PIECE, HOT_PIECE, SPAN = 0, 1, 2
+ROW = "kind int, key long, digest long, did long, h long, start long, stop long"
+
+
+def _rows(kind: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), *[pa.array(c) for c in columns]],
+                                      names=[c.split()[0] for c in ROW.split(", ")])
+
+
+def _later(group: np.ndarray, did: np.ndarray, h: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted rows with class starts ``group``: the first of each class, and
+    the others that are not the very same place (a repeated row) again."""
+    first = np.flatnonzero(group)
+    lead = first[np.cumsum(group) - 1] if len(group) else first
+    return first, np.flatnonzero((did != did[lead]) | (h != h[lead]) | (start != start[lead]))
+
+
+def occurrences(docs: DataFrame, maps, bits: int, length: int, k: int) -> DataFrame:
+    """Pieces with a repeated anchor (key: the anchor): the first of each class
+    per segment; the others as spans to remove (key: spread evenly)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.frombuffer(repeated.value, dtype=np.uint8)
+        wanted, hot = (np.frombuffer(m, dtype=np.uint8) for m in maps.value)
         for p, _, did, h in _pieces(batches, length, k):
             at = np.flatnonzero(in_map(wanted, bits, p.anchor))
             at = at[np.lexsort((p.start[at], h[at], did[at], p.digest[at], p.anchor[at]))]
             new = np.ones(len(at), dtype=bool)
             new[1:] = (p.anchor[at][1:] != p.anchor[at][:-1]) | (p.digest[at][1:] != p.digest[at][:-1])
-            one, more = at[new], at[~new]
+            first, more = _later(new, did[at], h[at], p.start[at])
+            one, more = at[first], at[more]
             # spans of later copies, joined per document where they touch
             more = more[np.lexsort((p.start[more], h[more], did[more]))]
             begin, end = p.start[more], p.start[more] + p.n[more] + length - 1
@@ -219,35 +243,75 @@ def occurrences(docs: DataFrame, repeated, bits: int, length: int, k: int) -> Da
             cut[1:] = (did[more][1:] != did[more][:-1]) | (h[more][1:] != h[more][:-1]) | (begin[1:] > end[:-1])
             to = np.flatnonzero(cut)
             lead, stop = more[to], np.maximum.reduceat(end, to) if len(to) else end
-            anchor = np.concatenate([p.anchor[one].view(np.int64), np.zeros(len(lead), dtype=np.int64)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor, mask=np.arange(len(anchor)) >= len(one)),
-                 pa.array(np.concatenate([p.digest[one].view(np.int64), np.zeros(len(lead), dtype=np.int64)])),
-                 pa.array(np.concatenate([did[one], did[lead]])), pa.array(np.concatenate([h[one], h[lead]])),
-                 pa.array(np.concatenate([p.start[one], p.start[lead]])),
-                 pa.array(np.concatenate([p.start[one] + p.n[one] + length - 1, stop]))],
-                names=["anchor", "digest", "did", "h", "start", "stop"])
+            both = np.concatenate([one, lead])
+            kind = np.concatenate([np.where(in_map(hot, bits, p.anchor[one]), HOT_PIECE, PIECE), np.full(len(lead), SPAN)])
+            key = np.concatenate([p.anchor[one], p.digest[lead]]).view(np.int64)
+            yield _rows(kind, key, p.digest[both].view(np.int64), did[both], h[both], p.start[both],
+                        np.concatenate([p.start[one] + p.n[one] + length - 1, stop]))
+
+    return docs.mapInArrow(run, ROW)
+
+
+def settled(rows: DataFrame, block_rows: int) -> DataFrame:
+    """One pass over pieces sorted by anchor and class: later members of a
+    class become spans, the first members of anchors with several classes stay
+    pieces, and those of anchors with one class go.  An anchor that is not hot
+    has at most ``group_rows`` pieces, so a task holds whole groups."""
+    columns = [c.split()[0] for c in ROW.split(", ")]
+
+    def settle(t: dict[str, np.ndarray]) -> pa.RecordBatch:
+        key, digest = t["key"], t["digest"]
+        new_key = np.append(True, key[1:] != key[:-1])
+        new = new_key | np.append(True, digest[1:] != digest[:-1])
+        first, later = _later(new, t["did"], t["h"], t["start"])
+        group = np.cumsum(new_key) - 1
+        stay = first[np.bincount(group[first])[group[first]] > 1]
+        both = np.concatenate([stay, later])
+        kind = np.concatenate([np.full(len(stay), PIECE), np.full(len(later), SPAN)])
+        return _rows(kind, *[t[c][both] for c in columns[1:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in batches:
+            kind = b.column(0).to_numpy()
+            if (kind != PIECE).any():
+                yield b.filter(pa.array(kind != PIECE))
+            b = b.filter(pa.array(kind == PIECE))
+            if not b.num_rows:
+                continue
+            held.append({c: b.column(i).to_numpy() for i, c in enumerate(columns)})
+            n += b.num_rows
+            if n >= block_rows:
+                t = {c: np.concatenate([x[c] for x in held]) for c in columns}
+                cut = int(np.searchsorted(t["key"], t["key"][-1]))       # the last group may go on
+                if cut:
+                    yield settle({c: x[:cut] for c, x in t.items()})
+                held, n = [{c: x[cut:] for c, x in t.items()}], n - cut
+        if n:
+            yield settle({c: np.concatenate([x[c] for x in held]) for c in columns})
 
-    return docs.mapInArrow(run, "anchor long, digest long, did long, h long, start long, stop long")
+    order = ["key", "digest", "did", "h", "start"]
+    return rows.repartition("key").sortWithinPartitions(*order).mapInArrow(run, ROW)
 
 
-def piece_bytes(docs: DataFrame, places, bits: int, length: int, k: int) -> DataFrame:
-    """Pieces at the places of the bit map, with their bytes."""
+def piece_bytes(docs: DataFrame, maps, hot, bits: int, length: int, k: int) -> DataFrame:
+    """Pieces at the places of the bit map, with their bytes.  The few others
+    that the map lets through are occurrences like any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.frombuffer(places.value, dtype=np.uint8)
+        wanted, is_hot = np.frombuffer(maps.value, dtype=np.uint8), np.frombuffer(hot.value[1], dtype=np.uint8)
         for p, data, did, h in _pieces(batches, length, k):
             at = np.flatnonzero(in_map(wanted, bits, _place_key(p.digest, h, did, p.start)))
             raw = data.tobytes()
             for s in range(0, len(at), 50_000):
                 some = at[s:s + 50_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(p.anchor[some].view(np.int64)), pa.array(p.digest[some].view(np.int64)), pa.array(did[some]),
+                    [pa.array(in_map(is_hot, bits, p.anchor[some])), pa.array(p.anchor[some].view(np.int64)), pa.array(did[some]),
                      pa.array(h[some]), pa.array(p.start[some]), pa.array(p.off[some].astype(np.int32)),
                      pa.array([raw[a:b] for a, b in zip(p.at[some].tolist(), (p.at[some] + p.n[some] + length - 1).tolist())], pa.binary())],
-                    names=["anchor", "digest", "did", "h", "start", "off", "bytes"])
+                    names=["hot", "anchor", "did", "h", "start", "off", "bytes"])
 
-    return docs.mapInArrow(run, "anchor long, digest long, did long, h long, start long, off int, bytes binary")
+    return docs.mapInArrow(run, "hot boolean, anchor long, did long, h long, start long, off int, bytes binary")
 
 
 def repeated_windows(pieces: list[bytes], off: np.ndarray, rank: np.ndarray, length: int, k: int) -> np.ndarray:
@@ -308,15 +372,18 @@ def construct(rows: DataFrame, length: int, k: int, block_rows: int) -> DataFram
         t = pa.concat_tables(parts).combine_chunks()
         did, h, start, off = (t.column(c).to_numpy() for c in ("did", "h", "start", "off"))
         place = start + off
-        rank = np.empty(len(place), dtype=np.int64)
-        rank[np.lexsort((place, h, did))] = np.arange(len(place))
+        by = np.lexsort((place, h, did))
+        step = np.zeros(len(by), dtype=np.int64)        # the same place twice (a repeated row): the same rank
+        step[1:] = (did[by][1:] != did[by][:-1]) | (h[by][1:] != h[by][:-1]) | (place[by][1:] != place[by][:-1])
+        rank = np.empty(len(by), dtype=np.int64)
+        rank[by] = np.cumsum(step)
         flags = repeated_windows(t.column("bytes").to_pylist(), off.astype(np.int64), rank, length, k)
         p, c = np.nonzero(flags)
         begin = place[p] + c - (length - k)
         cut = np.ones(len(p), dtype=bool)
         cut[1:] = (p[1:] != p[:-1]) | (begin[1:] > begin[:-1] + length)
         at = np.flatnonzero(cut)
-        last = np.append(at[1:], len(p)) - 1
+        last = np.append(at[1:], len(p))[:len(at)] - 1
         return pa.RecordBatch.from_arrays(
             [pa.array(did[p[at]]), pa.array(h[p[at]]), pa.array(begin[at]), pa.array(begin[last] + length)], names=["did", "h", "start", "stop"])
 
@@ -354,30 +421,24 @@ def exploded(rows: DataFrame, length: int) -> DataFrame:
 
 def repeats(docs: DataFrame, length: int, k: int, group_rows: int, block_rows: int, filter_bits: int) -> DataFrame:
     """Spans (did, h, start, stop) to remove, for docs (did, h, text)."""
-    spark = docs.sparkSession
-    sc = spark.sparkContext
+    sc = docs.sparkSession.sparkContext
     often = anchors(docs, length, k).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
-    repeated = sc.broadcast(bit_map(often.select(F.col("anchor").alias("key")), filter_bits).tobytes())
-    found = written(occurrences(docs, repeated, filter_bits, length, k), "occurrences")
-    pieces = found.where("anchor is not null")
-    classes = written(pieces.groupBy("anchor", "digest")
-                      .agg(F.min(F.struct("did", "h", "start")).alias("first"), F.count("*").alias("c")), "classes")
-    later = (pieces.join(classes.where("c > 1").select("anchor", "digest", "first"), ["anchor", "digest"])
-             .where(F.struct("did", "h", "start") != F.col("first")).select("did", "h", "start", "stop"))
-    groups = classes.groupBy("anchor").agg(F.count("*").alias("members")).where("members > 1")
-    members = written(classes.join(groups, "anchor").select("anchor", "digest", "first.did", "first.h", "first.start", "members"), "members")
+    every, hot = bit_maps(often.select(F.col("anchor").alias("key"), (F.col("n") > group_rows).alias("hot")), filter_bits)
+    repeated = sc.broadcast((every.tobytes(), hot.tobytes()))
+    found = written(settled(occurrences(docs, repeated, filter_bits, length, k), block_rows), "settled")
     # the same mixing as _place_key
     key = (F.col("digest").bitwiseXOR(F.col("h")).bitwiseXOR(F.shiftleft("did", 37)).bitwiseXOR(F.shiftleft("start", 44)))
-    places = sc.broadcast(bit_map(members.select(key.alias("key")), filter_bits).tobytes())
-    full = written(piece_bytes(docs, places, filter_bits, length, k)
-                   .join(members, ["anchor", "digest", "did", "h", "start"])
-                   .dropDuplicates(["anchor", "digest"]), "pieces")
-    cold = (full.where(F.col("members") <= group_rows).select("anchor", "did", "h", "start", "off", "bytes")
-            .repartition("anchor").sortWithinPartitions("anchor"))
-    spans = construct(cold, length, k, block_rows)
-    hot = exploded(full.where(F.col("members") > group_rows), length)
-    copies = found.where("anchor is null").select("did", "h", "start", "stop")
-    return spans.unionByName(later).unionByName(copies).unionByName(hot)
+    wanted, _ = bit_maps(found.where(F.col("kind") != SPAN).select(key.alias("key"), F.lit(False).alias("hot")), filter_bits)
+    places = sc.broadcast(wanted.tobytes())
+    full = piece_bytes(docs, places, repeated, filter_bits, length, k)
+    if hot.any():
+        full = written(full, "pieces")
+    columns = ["anchor", "did", "h", "start", "off", "bytes"]
+    spans = construct(full.where("NOT hot").select(*columns).repartition("anchor").sortWithinPartitions("anchor"),
+                      length, k, block_rows)
+    if hot.any():
+        spans = spans.unionByName(exploded(full.where("hot"), length))
+    return spans.unionByName(found.where(F.col("kind") == SPAN).select("did", "h", "start", "stop"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, anchor: int = ANCHOR,
@@ -386,9 +447,11 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stop; disjoint and ordered) and the bytes that stay."""
     id_type = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    keyed = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
-                        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1)).alias("did"),
-                        F.xxhash64(text).alias("h"), text.alias("text"))
+    did = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1))
+    # documents are told apart by id; only if ids repeat also by a hash of the text
+    repeated = not docs.select(did.alias("did")).groupBy("did").count().where("count > 1").isEmpty()
+    keyed = docs.select(F.col(f"`{id_col}`").alias("doc_id"), did.alias("did"),
+                        (F.xxhash64(text) if repeated else F.lit(0).cast("long")).alias("h"), text.alias("text"))
     spans = (repeats(keyed.select("did", "h", "text"), length, anchor, group_rows, block_rows, filter_bits)
              .groupBy("did", "h").agg(F.collect_list(F.struct("start", "stop")).alias("spans")))     # one document's own
 

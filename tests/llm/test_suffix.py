@@ -65,6 +65,15 @@ def test_order_of_ids_and_null_ids(spark):
     assert got == {-5: 0, 2: n, 7: n, None: n}
 
 
+def test_repeated_rows_are_one_document(spark):
+    rng = random.Random(6)
+    t, u = prose(rng, 60), prose(rng, 60)
+    df = spark.createDataFrame([(1, t), (1, t), (2, u), (2, "x" + t), (3, t)], "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.n_bytes, sum(s.stop - s.start for s in r.spans)) for r in suffix_dedup.keep_first(df).collect())
+    n, m = len(t.encode()), len(u.encode())
+    assert got == sorted([(1, n, 0), (1, n, 0), (2, m, 0), (2, n + 1, n), (3, n, n)])
+
+
 def test_segments_overlap(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 150)
     rng = random.Random(2)
