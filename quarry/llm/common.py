@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quarry.session import scratch_path
 
 #: Rows of text handled at once inside a task.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def worker_cache(name: str) -> dict:
@@ -86,17 +86,23 @@ def stable_hash(s: str) -> int:
 
 
 class Memo(dict):
-    """``memo[key]`` computes a value once; forgets all beyond ``limit``
-    entries, so memory is bounded and results never depend on it."""
+    """``memo[key]`` computes a value once.  At ``limit`` entries it stops
+    taking in new ones (frequent keys came early) and starts afresh after
+    several times as many misses; memory is bounded, results never change."""
 
     def __init__(self, fn, limit: int = 400_000):
         super().__init__()
-        self.fn, self.limit = fn, limit
+        self.fn, self.limit, self.missed = fn, limit, 0
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.fn(key)
+        value = self.fn(key)
+        if len(self) < self.limit:
+            self[key] = value
+        else:
+            self.missed += 1
+            if self.missed > 4 * self.limit:
+                self.clear()
+                self.missed = 0
         return value
 
 

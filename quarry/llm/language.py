@@ -41,32 +41,40 @@ UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def word_grams(word: str) -> np.ndarray:
-    padded = f" {word} "
-    return np.asarray([stable_hash(padded[k:k + 3]) % DIMS for k in range(len(padded) - 2)], dtype=np.int64)
+def token_memo() -> Memo:
+    """Token -> hashed trigrams (16-bit) of its padded words, as bytes."""
+    gram = Memo(lambda g: (stable_hash(g) % DIMS).to_bytes(2, "little"))
 
+    def token_grams(token: str) -> bytes:
+        out = []
+        for word in _LETTERS.findall(token.lower()):
+            padded = f" {word} "
+            out += [gram[padded[k:k + 3]] for k in range(len(word))]
+        return b"".join(out)
 
-def gram_counts(text: str | None, memo: Memo) -> np.ndarray | None:
-    """Trigram counts of a text, None without letters."""
-    ws = _LETTERS.findall(text.lower()) if text else None
-    if not ws:
-        return None
-    return np.bincount(np.concatenate(list(map(memo.__getitem__, ws))), minlength=DIMS)
+    return Memo(token_grams)
+
+
+def grams(text: str | None, memo: Memo) -> np.ndarray | None:
+    """All trigrams of a text, None without letters.  Words never reach over
+    white space, so tokens are looked up whole."""
+    raw = b"".join(map(memo.__getitem__, text.split())) if text else b""
+    return np.frombuffer(raw, dtype="<u2") if raw else None
 
 
 def document_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
     """idf over all documents; one row per task is summed by Spark."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(word_grams, 200_000)
+        memo = token_memo()
         df = np.zeros(DIMS, dtype=np.int64)
         n = 0
         for _, texts in text_chunks(batches):
             for t in texts:
-                ws = _LETTERS.findall(t.lower()) if t else None
-                if ws:
+                g = grams(t, memo)
+                if g is not None:
                     n += 1
-                    df[np.concatenate([memo[w] for w in set(ws)])] += 1      # each dimension once
+                    df[g] += 1              # each dimension once
         yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([df.tolist()], pa.list_(pa.int64()))], names=["n", "df"])
 
     source = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -121,15 +129,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     sample = training_sample(docs, id_col, text_col, lang_col, rows_per_language, folds, held)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(word_grams, 200_000)
+        memo = token_memo()
         for (lang,), texts in text_chunks(batches):
             keep, got = [], []
             for r, t in enumerate(texts):
-                c = gram_counts(t, memo)
-                if c is not None:
+                g = grams(t, memo)
+                if g is not None:
                     keep.append(r)
-                    at = np.flatnonzero(c)
-                    got.append(np.stack([at, c[at]]).astype("<u4").tobytes())
+                    got.append(np.stack(np.unique(g, return_counts=True)).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([lang.take(pa.array(keep, pa.int64())), pa.array(got, pa.binary())], names=["lang", "v"])
 
     found = sample.mapInArrow(vectors, "lang string, v binary")
@@ -175,15 +182,16 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(word_grams, 200_000)
+        memo = token_memo()
         for (ids,), texts in text_chunks(batches, limit=2 << 20):
             lang, score, fine = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
             for start in range(0, len(texts), 256):
-                counts = [gram_counts(t, memo) if model else None for t in texts[start:start + 256]]
-                at = [k for k, c in enumerate(counts) if c is not None]
+                found = [grams(t, memo) if model else None for t in texts[start:start + 256]]
+                at = [k for k, g in enumerate(found) if g is not None]
                 if not at:
                     continue
-                x = np.log1p(np.stack([counts[k] for k in at]).astype(np.float32)) * model.idf
+                x = np.stack([np.bincount(found[k], minlength=DIMS) for k in at]).astype(np.float32)
+                x = np.log1p(x) * model.idf
                 x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
                 names, cos, ok = model.predict(x)
                 for k, name, c, o in zip(at, names, cos, ok):
