@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import scratch_path
@@ -19,6 +19,19 @@ from quarry.session import scratch_path
 CHUNK_BYTES = 4 << 20
 
 
+#: Rows per Arrow batch between Spark and the workers.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts are long: ten thousand of them in one Arrow batch (Spark's default)
+    would take hundreds of MB per task on both sides.  Lowers the session's
+    batch size unless it has been set to something else."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def worker_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker process.
 
@@ -80,6 +93,13 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def token_words(token: str) -> list[str]:
+    """``words`` of a token without white space, the usual case first: one
+    word between marks."""
+    plain = token.strip(".,;:!?\"'()").lower()
+    return [plain] if plain.isalnum() else words(token)
+
+
 def stable_hash(s: str) -> int:
     """A hash that is the same in every process (unlike ``hash``)."""
     return zlib.crc32(s.encode("utf-8", "surrogatepass"))

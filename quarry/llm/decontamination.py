@@ -40,7 +40,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Memo, pick, stable_hash, text_chunks, words, written
+from quarry.llm.common import bounded_batches, pick, text_chunks, words, written
+from quarry.llm.hashing import Powers, word_hashes
 from quarry.sources.tables import load
 
 DIMS = 1 << 15
@@ -66,9 +67,11 @@ def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(stable_hash)
-        for (ids,), texts in text_chunks(batches):
-            got = [np.fromiter(map(memo.__getitem__, words(t)), dtype="<u4").tobytes() if t else b"" for t in texts]
+        powers = Powers()
+        for (ids,), texts in text_chunks(batches, limit=1 << 20):
+            h, counts = word_hashes(texts, powers)
+            raw, ends = h.tobytes(), np.cumsum(counts) * 4
+            got = [raw[a:b] for a, b in zip((ends - counts * 4).tolist(), ends.tolist())]
             yield pa.RecordBatch.from_arrays([ids, pa.array(got, pa.binary())], names=["doc_id", "words"])
 
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, words binary")
@@ -201,7 +204,7 @@ class Item:
 
     def __init__(self, key, text: str, common: np.ndarray):
         self.key, self.common = key, common
-        self.words = [stable_hash(w) for w in words(text)]
+        self.words = word_hashes([text], Powers())[0].tolist()
         content = [w for w in self.words if not common[w % DIMS]]
         if len(content) < MIN_WORDS:
             content = self.words
@@ -210,7 +213,7 @@ class Item:
         for k, w in enumerate(content):
             self.masks[w] = self.masks.get(w, 0) | 1 << k
         chosen = set(content)
-        self.answer = {h for h in map(stable_hash, words(_answer(text))) if h in chosen}
+        self.answer = chosen.intersection(word_hashes([_answer(text)], Powers())[0].tolist())
 
     def passages(self) -> np.ndarray:
         """Content dimensions of the item's windows, filled up with DIMS."""
@@ -265,12 +268,14 @@ def search(table: DataFrame, items: list[Item], rows: np.ndarray, common: np.nda
                 for s in range(0, len(passage), 4096):
                     x = passage[s:s + 4096]
                     lo, n = x[0], x[-1] + 2 - x[0]
-                    per = rows[grid[lo:lo + n]].sum(axis=1)
+                    # a few rows at a time: what is gathered stays in the cache
+                    part = grid[lo:lo + n]
+                    per = np.concatenate([rows[part[c:c + 128]].sum(axis=1) for c in range(0, len(part), 128)])
                     v = per[x - lo]
                     v[follows[x]] += per[x[follows[x]] - lo + 1]
                     length = np.sqrt((v * v).sum(axis=1, keepdims=True))
                     cos = (v / np.where(length == 0, 1, length)) @ query
-                    i, j = np.nonzero(cos >= cosine)
+                    i, j = np.divmod(np.flatnonzero(cos.ravel() >= cosine), cos.shape[1] or 1)
                     y, k = x[i], owner[j]
                     shared = has[k[:, None], grid[y]].sum(axis=1)
                     shared += has[k[:, None], grid[np.minimum(y + 1, len(grid) - 1)]].sum(axis=1) * follows[y]
@@ -326,4 +331,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return leaks(pick(load(spark, sf_dir, "documents"), "doc_id", "text"), pick(load(spark, sf_dir, "benchmark"), "item_id", "text"))
