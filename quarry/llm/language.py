@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Memo, crc_mod, pick, stable_hash, text_chunks, written
+from quarry.llm.common import Memo, bounded_batches, crc_mod, pick, stable_hash, text_chunks, written
 from quarry.sources.tables import load
 
 DIMS = 1 << 13
@@ -48,6 +48,8 @@ def token_memo() -> Memo:
     def token_grams(token: str) -> bytes:
         out = []
         for word in _LETTERS.findall(token.lower()):
+            if not any(map(str.isalpha, word)):     # other numerals only
+                continue
             padded = f" {word} "
             out += [gram[padded[k:k + 3]] for k in range(len(word))]
         return b"".join(out)
@@ -205,6 +207,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     docs = pick(load(spark, sf_dir, "documents"), "doc_id", "text", "lang")
     found = predict(docs, train(docs), reject=False)        # the contract wants a learned value for any letters
     return found.withColumn("held_out", crc_mod("doc_id", 4) == 2).select("doc_id", "held_out", "lang_pred", "score", "accepted")

@@ -27,4 +27,25 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: every pair by brute force: for the small tables of the correctness check
+_OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e,
+         embedding IS NOT NULL AND len(embedding) > 0
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+  FROM embeddings),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.usable AND b.usable AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT vec_id, vec_id AS r FROM v
+  UNION SELECT reach.vec_id, pairs.b FROM reach JOIN pairs ON reach.r = pairs.a),
+least AS (SELECT vec_id, MIN(r) AS component_id FROM reach GROUP BY vec_id),
+links AS (SELECT a AS vec_id, COUNT(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, COALESCE(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN links USING (vec_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_embedding_dedup": _OP7_SQL}

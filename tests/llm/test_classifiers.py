@@ -159,10 +159,11 @@ def test_language_rejects_what_is_far(spark, tongues):
 
 def test_language_edges(spark, tongues):
     docs, _ = tongues
-    odd = documents(spark, ODD_TEXTS).drop("lang")
+    texts = [*ODD_TEXTS, "\u00b2 \u2167 \u00bd"]        # numerals, no letters
+    odd = documents(spark, texts).drop("lang")
     got = {r.doc_id: r for r in language.predict(odd, language.train(docs), reject=False).collect()}
-    assert len(got) == len(ODD_TEXTS) + 1
-    for i, t in enumerate(ODD_TEXTS):
+    assert len(got) == len(texts) + 1
+    for i, t in enumerate(texts):
         letters = any(ch.isalpha() for ch in t or "")
         assert (got[i].lang_pred != "und") == letters, (i, t)
         assert letters or got[i].score == 0

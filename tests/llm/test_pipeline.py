@@ -95,6 +95,15 @@ def test_registry_has_one_query_per_operator():
     assert numbers == list(range(1, 11))
 
 
+def test_embedding_query_equals_its_sql(spark, duck):
+    from quarry.catalog import Entry
+    from tests.conftest import SF01
+    from tools.oracle_check import compare
+    entry = Entry("op7", registry.QUERIES["op7_embedding_dedup"], registry.ORACLE_SQL["op7_embedding_dedup"], "batch")
+    problems, n, _ = compare(spark, duck, "op7", entry, SF01)
+    assert not problems and n == 500
+
+
 SCHEMAS = {
     "op1_quality": {"doc_id", "held_out", "score", "predicted"},
     "op4_simhash": {"doc_id", "fingerprint", "component_id"},

@@ -67,7 +67,7 @@ def test_count_tokens_table(spark, pieces):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="ab =\n\té漢🙂<|endoftext|>'s1  ​", max_size=50), max_size=4))
 def test_ids_equal_the_library(texts):
-    tok = packing._tokenizer(JSON)["tok"]
+    tok = packing._tokenizer(JSON)
     assert packing.encode(JSON, texts) == [
         np.asarray(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
 
