@@ -46,7 +46,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import pick, text_chunks, written
+from quarry.llm.common import bounded_batches, pick, text_chunks, written
+from quarry.llm.hashing import Powers, prefix_hashes, scramble
 from quarry.sources.tables import load
 
 LENGTH = 100
@@ -55,31 +56,6 @@ GROUP_ROWS = 50_000
 BLOCK_ROWS = 20_000
 FILTER_BITS = 27
 SEGMENT = 2 << 20
-_BASE = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
-_TABLE = np.random.default_rng(12).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-
-
-class Powers:
-    """Powers of the hash base and of its inverse modulo 2**64."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, dtype=np.uint64)
-
-    def upto(self, n: int):
-        while len(self.up) < n:
-            size = len(self.up)
-            self.up = np.append(self.up, self.up * np.uint64(pow(_BASE, size, 1 << 64)))
-            self.down = np.append(self.down, self.down * np.uint64(pow(_BASE, -size, 1 << 64)))
-        return self.up[:n], self.down[:n]
-
-
-def scramble(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(31))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(29))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
 
 
 class Pieces:
@@ -87,9 +63,8 @@ class Pieces:
 
     def __init__(self, data: np.ndarray, ends: np.ndarray, length: int, k: int, powers: Powers):
         n = len(data)
-        up, down = powers.upto(n + 1)
-        prefix = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_TABLE[data] * down[:n], out=prefix[1:])
+        up, _ = powers.upto(n + 1)
+        prefix = prefix_hashes(data, powers)
         grams = scramble((prefix[k:] - prefix[:-k]) * up[:n + 1 - k]) if n >= k else np.empty(0, dtype=np.uint64)
         # least hash of each window, position in the low bits: leftmost wins
         low = np.uint64((1 << 25) - 1)
@@ -156,7 +131,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], length: int, k: int):
 
 
 def bit_maps(keys: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two bit maps over the top ``bits`` bits of the long column ``key``: all
+    """Two bit maps over the low ``bits`` bits of the long column ``key`` (the
+    high ones of anchors, which are least hashes, are nearly all zero): all
     keys, and those with ``hot``; built in slices by Spark, of fixed size
     whatever the number of keys."""
     slices = 64
@@ -175,7 +151,7 @@ def bit_maps(keys: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
             [pa.array(list(maps), pa.int32()), *[pa.array([np.packbits(m[k]).tobytes() for m in maps.values()], pa.binary()) for k in (0, 1)]],
             names=["slice", "all", "hot"])
 
-    pos = (keys.groupBy(F.shiftrightunsigned("key", 64 - bits).alias("pos")).agg(F.max("hot").alias("hot")))
+    pos = (keys.groupBy(F.col("key").bitwiseAND(F.lit((1 << bits) - 1)).alias("pos")).agg(F.max("hot").alias("hot")))
     rows = (pos.repartition(F.col("pos") - F.col("pos") % width)
             .mapInArrow(fill, "slice int, all binary, hot binary").collect())
     out = np.zeros((2, (1 << bits) // 8), dtype=np.uint8)
@@ -186,13 +162,13 @@ def bit_maps(keys: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def in_map(bits_of: np.ndarray, bits: int, key: np.ndarray) -> np.ndarray:
-    pos = (key >> np.uint64(64 - bits)).astype(np.int64)
+    pos = (key & np.uint64((1 << bits) - 1)).astype(np.int64)
     return (bits_of[pos >> 3] >> (7 - (pos & 7)).astype(np.uint8)) & 1 == 1
 
 
 def _place_key(digest: np.ndarray, h: np.ndarray, did: np.ndarray, start: np.ndarray) -> np.ndarray:
     u = lambda x: x.astype(np.int64).view(np.uint64)
-    return digest ^ u(h) ^ (u(did) << np.uint64(37)) ^ (u(start) << np.uint64(44))
+    return digest ^ u(h) ^ u(did) ^ (u(start) << np.uint64(11))
 
 
 def anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
@@ -427,7 +403,7 @@ def repeats(docs: DataFrame, length: int, k: int, group_rows: int, block_rows: i
     repeated = sc.broadcast((every.tobytes(), hot.tobytes()))
     found = written(settled(occurrences(docs, repeated, filter_bits, length, k), block_rows), "settled")
     # the same mixing as _place_key
-    key = (F.col("digest").bitwiseXOR(F.col("h")).bitwiseXOR(F.shiftleft("did", 37)).bitwiseXOR(F.shiftleft("start", 44)))
+    key = F.col("digest").bitwiseXOR(F.col("h")).bitwiseXOR(F.col("did")).bitwiseXOR(F.shiftleft("start", 11))
     wanted, _ = bit_maps(found.where(F.col("kind") != SPAN).select(key.alias("key"), F.lit(False).alias("hot")), filter_bits)
     places = sc.broadcast(wanted.tobytes())
     full = piece_bytes(docs, places, repeated, filter_bits, length, k)
@@ -479,6 +455,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     found = keep_first(pick(load(spark, sf_dir, "documents"), "doc_id", "text"))
     return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
