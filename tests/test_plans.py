@@ -132,3 +132,13 @@ def test_stream_static_join_reuses_dimension_partitioning(spark, monkeypatch):
     assert "SortMergeJoin" in join_part
     assert join_part.count("Exchange hashpartitioning") == 1     # the events side only
     assert "InMemoryTableScan" in join_part
+
+
+@pytest.mark.parametrize("name", ["window_offset", "window_rows_frame", "window_rank"])
+def test_offsets_and_row_frames_shuffle_once(spark, name):
+    df = Q[name](spark, SF001)
+    assert plan_text(df, "simple").count("Exchange ") == 1
+
+
+def test_percentiles_read_the_table_once(spark):
+    assert plan_text(Q["exact_percentiles"](spark, SF001), "simple").count("FileScan parquet") == 1
