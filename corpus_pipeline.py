@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import decontamination, packing, pii, simhash, toxicity
-from quarry.llm.common import pick, written
+from quarry.llm.common import bounded_batches, pick, written
 from quarry.sources.tables import load
 
 TOXIC = 0.5
@@ -33,12 +33,14 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     model = toxicity.train(pick(docs, "doc_id", "text"), load(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model, out="__score", keep_text=True)
     return pick(scored.where(F.col("__score") < TOXIC), *docs.columns)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     found = written(simhash.near_duplicates(pick(docs, "doc_id", "text")), "groups").where("doc_id is not null")
     gone = written(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
     twice = written(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
@@ -48,12 +50,14 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     found = decontamination.leaks(pick(docs, "doc_id", "text"), pick(load(spark, sf_dir, "benchmark"), "item_id", "text"))
     gone = written(found.where("doc_id is not null").select("doc_id").distinct(), "leaks")
     return pick(_without(docs, gone), *docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     clean = pii.pseudonymise(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -61,6 +65,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return packing.digest(packing.pack(pick(docs, "doc_id", "text")))
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.buckets import Forest, pairs, split_buckets, whole_groups
-from quarry.llm.common import pick, written
+from quarry.llm.common import bounded_batches, pick, written
 from quarry.llm.components import components
 from quarry.sources.tables import load
 
@@ -202,4 +202,5 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "em
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return near_duplicates(pick(load(spark, sf_dir, "embeddings"), "vec_id", "embedding"))

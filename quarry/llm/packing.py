@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import pick, text_chunks, tokens_path, worker_cache
+from quarry.llm.common import bounded_batches, pick, text_chunks, tokens_path, worker_cache
 from quarry.sources.tables import load
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -43,26 +43,33 @@ SCHEMA = ("doc_id {id}, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long, cost double")
 
 
-def _tokenizer(path: str) -> dict:
-    """The tokenizer and, where its vocabulary allows, the same merges as byte
-    ranks: ids of a byte-level BPE are the same by both libraries, and the
-    rank form is about three times as fast."""
+def _tokenizer(path: str):
+    """The tokenizer itself, loaded once per worker where it is needed."""
     state = worker_cache("tokenizer:" + path)
     if "tok" not in state:
         from tokenizers import Tokenizer
         state["tok"] = Tokenizer.from_file(path)
-        state["ranks"] = _rank_form(path)
-        state["special"] = [t.content for t in state["tok"].get_added_tokens_decoder().values()]
-    return state
+    return state["tok"]
 
 
-def _rank_form(path: str):
+def _ranks(path: str):
+    """Where the vocabulary allows, the same merges as byte ranks: ids of a
+    byte-level BPE are the same by both libraries, and the rank form is about
+    three times as fast.  And the strings that only the tokenizer handles."""
+    state = worker_cache("ranks:" + path)
+    if "ranks" not in state:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        state["ranks"] = _rank_form(spec)
+        state["special"] = [t["content"] for t in spec["added_tokens"]]
+    return state["ranks"], state["special"]
+
+
+def _rank_form(spec: dict):
     """The vocabulary as a rank table, or None if merges do not run in the
     order of ids (then the tokenizer itself is used for every text)."""
     import public_tokenizers
     import tiktoken
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
     model = spec["model"]
     if model["type"] != "BPE" or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or spec.get("normalizer"):
         return None
@@ -80,14 +87,13 @@ def _rank_form(path: str):
 
 def encode(path: str, texts: list[str | None]) -> list[bytes]:
     """Little-endian 32-bit ids of every text, as the tokenizer gives them."""
-    state = _tokenizer(path)
-    tok, ranks, special = state["tok"], state["ranks"], state["special"]
+    ranks, special = _ranks(path)
     out = []
     for t in texts:
         if not t:
             out.append(b"")
         elif ranks is None or any(s in t for s in special):
-            out.append(np.asarray(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes())
+            out.append(np.asarray(_tokenizer(path).encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes())
         else:
             out.append(array("I", ranks.encode_ordinary(t)).tobytes())
     return out
@@ -193,4 +199,5 @@ def digest(pieces: DataFrame) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return digest(pack(pick(load(spark, sf_dir, "documents"), "doc_id", "text")))

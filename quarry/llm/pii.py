@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Memo, ddl, pick, text_chunks, text_last
+from quarry.llm.common import Memo, bounded_batches, ddl, pick, text_chunks, text_last
 from quarry.sources.tables import load
 
 #: default key of tests and of the query; a deployment passes its own secret
@@ -279,6 +279,7 @@ def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     found = pseudonymise(pick(load(spark, sf_dir, "documents"), "doc_id", "text"))
     total = F.aggregate(F.map_values("__pii"), F.lit(0), lambda a, b: a + b)
     return found.select("doc_id", "text", total.alias("n_replaced"), F.map_keys("__pii").alias("kinds"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import crc_mod, hash_sample, pick, text_chunks
+from quarry.llm.common import bounded_batches, crc_mod, hash_sample, pick, text_chunks
 from quarry.llm.labelled import FOLDS, labelled_sample
 from quarry.sources.tables import load
 
@@ -197,6 +197,7 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
 
 
 def op1_quality(spark: SparkSession, sf_dir: str, threshold: float = 0.3) -> DataFrame:
+    bounded_batches(spark)
     docs = pick(load(spark, sf_dir, "documents"), "doc_id", "text")
     model = train(docs, load(spark, sf_dir, "labels"))
     return (score(docs, model).withColumn("held_out", crc_mod("doc_id", FOLDS) == 0)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import pick, text_chunks, tokens_path, worker_cache
+from quarry.llm.common import bounded_batches, pick, text_chunks, tokens_path, worker_cache
 from quarry.sources.tables import load
 
 MODEL = "piece_bpe_32k.model"
@@ -261,5 +261,6 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str, limit: int = 4096) -> DataFrame:
+    bounded_batches(spark)
     counts = count_tokens(pick(load(spark, sf_dir, "documents"), "doc_id", "text"))
     return counts.withColumn("over_limit", F.col("n_tokens") > limit)
