@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Memo, crc_mod, ddl, pick, stable_hash, text_chunks, text_last, words
+from quarry.llm.common import Memo, bounded_batches, crc_mod, ddl, pick, stable_hash, text_chunks, text_last, token_words, words
 from quarry.llm.labelled import labelled_sample
 from quarry.sources.tables import load
 
@@ -96,7 +96,7 @@ def choose_features(sample: DataFrame, n_pos: int, n_neg: int, most: int, min_do
                 for f in text_features(words(t), memo):
                     key = (f, int(y == 1))
                     tally[key] = tally.get(key, 0) + 1
-                if len(tally) > 500_000:
+                if len(tally) > 200_000:
                     yield batch()
                     tally.clear()
         yield batch()
@@ -234,11 +234,11 @@ def score(docs: DataFrame, model: tuple[dict[int, float], float], text_col: str
     names = [f.name for f in others] + [text_col] * keep_text + [out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(lambda w: tuple(f for f in word_features(w) if f in weights))
+        memo = Memo(lambda token: tuple(f for w in token_words(token) for f in word_features(w) if f in weights))
         for cols, texts in text_chunks(batches):
             got = []
             for t in texts:
-                found = set().union(*filter(None, map(memo.__getitem__, words(t)))) if t else ()
+                found = set().union(*filter(None, map(memo.__getitem__, t.split()))) if t else ()
                 logit = bias + sum(weights[f] for f in sorted(found))
                 got.append(1 / (1 + math.exp(-max(-30.0, min(30.0, logit)))))
             text = [pa.array(texts, pa.string())] * keep_text
@@ -248,6 +248,7 @@ def score(docs: DataFrame, model: tuple[dict[int, float], float], text_col: str
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str, threshold: float = 0.5) -> DataFrame:
+    bounded_batches(spark)
     docs = pick(load(spark, sf_dir, "documents"), "doc_id", "text")
     model = train(docs, load(spark, sf_dir, "labels"))
     return (score(docs, model).withColumn("held_out", crc_mod("doc_id", 5) == 0)
