@@ -2,7 +2,7 @@
 
 Values are found by pattern and validated (Luhn numbers, mod-97 account
 numbers, calendar dates, octets, telephone and social security number rules,
-e-mail addresses, assigned secrets).  A validated value is replaced by another
+e-mail addresses, assigned secrets with their keyword in any case).  A validated value is replaced by another
 valid value of the same format: its digits (or characters, class by class) are
 read as a number below the format's size and permuted by a keyed, balanced
 Feistel network with cycle walking.  A permutation keeps different values
@@ -73,7 +73,7 @@ class Feistel:
 # Patterns of the formats, tried in this order at each place.
 PATTERN = re.compile(r"""
   (?P<email>(?<![\w.+%-])[A-Za-z0-9][\w.+%-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+)
-| (?P<secret>\b(?:api[_-]?key|apikey|access[_-]?key|secret|token|password|passwd|pwd|key)\b\s*[=:]\s*["']?)(?P<hidden>[A-Za-z0-9_\-+/]{12,})
+| (?P<secret>\b(?i:api[_-]?key|apikey|access[_-]?key|secret|token|password|passwd|pwd|key)\b\s*[=:]\s*["']?)(?P<hidden>[A-Za-z0-9_\-+/]{12,})
 | (?P<access>\b(?:AKIA|ASIA)[0-9A-Z]{16}\b)
 | (?P<iban>\b[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?\b)
 | (?P<iso>(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-]))
@@ -139,8 +139,8 @@ class Pseudonyms:
     def hidden(self, s: str) -> str | None:
         if not any(ch.isdigit() for ch in s):
             return None
-        if re.fullmatch(r"[0-9a-f]+", s):       # hexadecimal stays hexadecimal
-            return format(self.net.permute(int(s, 16), 16 ** len(s), "hex"), f"0{len(s)}x")
+        if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", s):       # hexadecimal stays hexadecimal, in its case
+            return format(self.net.permute(int(s, 16), 16 ** len(s), "hex"), f"0{len(s)}{'X' if s.isupper() else 'x'}")
         return self._classes(s, "secret")
 
     def access(self, s: str) -> str:

@@ -127,6 +127,19 @@ def test_values_keep_their_format_and_change(kind, value):
     assert replaced(text, b"other")[0] != got             # the key decides
 
 
+@pytest.mark.parametrize("keyword", ["TOKEN", "Token", "API_KEY", "Api-Key", "PASSWORD", "Secret", "ACCESS_KEY", "pwd"])
+@pytest.mark.parametrize("value", ["9233A8EC0D71B5F64E2A9C3B7D10586FE4A2329B", "e03422dad6b454724135a384f69ba12c7de6c8f4", "aB3dE6gH9jK2mN5p"])
+def test_secrets_by_keywords_in_any_case(keyword, value):
+    got, tally = replaced(f'{keyword} = "{value}"')
+    assert tally == {"hidden": 1} and value not in got
+    new = got.split('"')[1]
+    if value[0] in "9e":
+        assert re.fullmatch("[0-9A-F]{40}" if value.isupper() else "[0-9a-f]{40}", new)
+        other = value.lower() if value.isupper() else value.upper()
+        assert replaced(f"{keyword}={other}")[0].split("=")[1].lower() == new.lower()      # equal values stay linked
+    assert replaced(f'{keyword} = "{new}"')[1] == tally
+
+
 def test_links_across_spellings():
     got, _ = replaced("4785380592391139 / 4785-3805-9239-1139 / 4785 3805 9239 1139")
     assert len({re.sub(r"\D", "", p) for p in got.split(" / ")}) == 1
