@@ -13,8 +13,11 @@ same other day).  Check digits are recomputed, so pseudonyms validate again.
 One scan, no shuffle; whole texts.  Values are remembered per worker up to a
 bound.
 
+Card and account numbers that run into a following number or upper-case word
+are tried at their shorter ends, at the issuer's or country's length first.
+
 Edge cases: null text stays null, an empty text empty; numbers that fail
-their check stay as they are; repeated rows are treated alike; a value whose
+their check at every end stay as they are; repeated rows are treated alike; a value whose
 format has a single member stays the same.
 """
 
@@ -85,6 +88,19 @@ PATTERN = re.compile(r"""
 | (?P<world>(?<![\w+])\+\d{1,3}(?:[\ .-]?\(?\d{1,4}\)?){2,6}(?!\d))
 | (?P<card>(?<![\d-])\d(?:[\ -]?\d){12,18}(?![\d]|-\d))
 """, re.X)
+#: issuers' leading digits and the lengths of their card numbers, usual ones first
+SCHEMES = [(re.compile(lead), lengths) for lead, lengths in (
+    (r"4", (16, 13, 19)), (r"5[1-5]|222[1-9]|22[3-9]|2[3-6]|27[01]|2720", (16,)), (r"3[47]", (15,)),
+    (r"30[0-5]|3[689]", (14, 16, 19)), (r"35(?:2[89]|[3-8])", (16, 19)), (r"6(?:011|4[4-9]|[25])", (16, 19)),
+    (r"50|5[6-9]|6", (16, 19, 18, 17, 15, 14, 13)))]
+#: digits in one run, in fours, or grouped 4-6-5 or 4-6-4
+_GROUPED = re.compile(r"\d+|\d{4}(?:[ -]\d{4}){2,}(?:[ -]\d{1,4})?|\d{4}[ -]\d{6}[ -]\d{4,5}")
+#: characters of an account number by country (ISO 13616 registry)
+IBAN_LENGTHS = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in cs.split()}
 #: characters without which no pattern can match
 _ANY = re.compile(r"[0-9@=:]|A[KS]IA")
 
@@ -238,6 +254,58 @@ class Pseudonyms:
         return _refill(s, digits[:country] + self._digits(digits[country:], "world"))
 
 
+def _group_ends(s: str, sep: str) -> list[int]:
+    """Ends of the groups of ``s``, the whole first."""
+    return [len(s), *[k for k in range(len(s) - 1, 0, -1) if s[k] in sep]]
+
+
+def _issued(s: str) -> list[str]:
+    """Starts of ``s`` that end with a group and have an issuer's leading
+    digits and length, conventional groups and usual lengths first."""
+    lengths = next((n for lead, n in SCHEMES if lead.match(re.sub(r"\D", "", s[:7]))), ())
+    found = []
+    for end in _group_ends(s, " -"):
+        n = sum(map(str.isdigit, s[:end]))
+        if n in lengths:
+            found.append((not _GROUPED.fullmatch(s[:end]), lengths.index(n), s[:end]))
+    return [value for *_, value in sorted(found)]
+
+
+def card_ends(s: str) -> list[str]:
+    """What a match of the greedy card pattern may hold from its start on, in
+    order of preference: numbers of an issuer's length, the whole match, other
+    numbers of conventional groups."""
+    shorter = [s[:end] for end in _group_ends(s, " -")[1:]]
+    others = [v for v in shorter if _GROUPED.fullmatch(v) and sum(map(str.isdigit, v)) >= 13]
+    return list(dict.fromkeys([*_issued(s), s, *others]))
+
+
+def iban_ends(s: str) -> list[str]:
+    """The same for account numbers: the country's length, the whole match,
+    other ends of groups."""
+    ends = [(len(s[:end].replace(" ", "")), s[:end]) for end in _group_ends(s, " ")]
+    own = [v for n, v in ends if n == IBAN_LENGTHS.get(s[:2])]
+    return list(dict.fromkeys([*own, *[v for n, v in ends if n >= 15]])) or [s]
+
+
+ENDS = {"card": card_ends, "iban": iban_ends}
+
+
+def _plain_card(s: str) -> bool:
+    return _GROUPED.fullmatch(s) is not None and s in _issued(s)
+
+
+def _later_card(text: str, begin: int, end: int, new: Memo) -> bool:
+    """Whether a valid number of an issuer's length and conventional groups
+    starts at a later group of the match, so that one of other form would cut
+    it in two."""
+    for k in range(begin + 1, end):
+        if text[k - 1] == " " and (m := PATTERN.match(text, k)) and m.lastgroup == "card":
+            if any(new["card", v] is not None for v in _issued(m["card"]) if _plain_card(v)):
+                return True
+    return False
+
+
 def replace_text(text: str, new: Memo, tally: Counter) -> str:
     """The text with its validated values replaced; ``tally`` counts kinds."""
     if not _ANY.search(text):
@@ -246,12 +314,16 @@ def replace_text(text: str, new: Memo, tally: Counter) -> str:
     while m := PATTERN.search(text, start):
         kind = m.lastgroup
         value, begin = m[kind], m.start(kind)
+        if kind in ENDS:                # greedy: what follows may have been taken in
+            value = next((v for v in ENDS[kind](value) if new[kind, v] is not None), value)
         got = new[kind, value]
+        if got is not None and kind == "card" and not _plain_card(value) and _later_card(text, begin, m.end(), new):
+            got = None
         if got is None:                 # not valid: another format may start inside
             start = m.start() + 1 if m.end() - m.start() < 64 else m.end()
             continue
         out += [text[at:begin], got]
-        at = start = m.end()
+        at = start = begin + len(value)
         tally[kind] += 1
     return "".join(out) + text[at:] if out else text
 

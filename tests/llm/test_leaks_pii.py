@@ -127,6 +127,35 @@ def test_values_keep_their_format_and_change(kind, value):
     assert replaced(text, b"other")[0] != got             # the key decides
 
 
+@pytest.mark.parametrize("kind,value,after", [
+    ("card", "4111 1111 1111 1111", " 12/26"), ("card", "4111111111111111", " 123"), ("card", "4785-3805-9239-1139", "-123"),
+    ("card", "4111 1111 1111 1111", " 123 12/26"), ("card", "3782 822463 10005", " 1234"), ("card", "378282246310005", " 12/26"),
+    ("card", "4222222222222", " 123"), ("card", "9111111111111111", " 12"),
+    ("iban", "AT61 1904 3002 3457 3201", " BIC"), ("iban", "AT611904300234573201", " IN"), ("iban", "AT61 1904 3002 3457 3201", " BIC GIBAATWW"),
+    ("iban", "DE89 3704 0044 0532 0130 00", " BIC COBADEFF"), ("iban", "DE89370400440532013000", " BIC"), ("iban", "GB82WEST12345698765432", " 1234 USD")])
+def test_numbers_before_other_numbers_and_words(kind, value, after):
+    if value.startswith("9"):
+        value = next(value[:-1] + c for c in "0123456789" if pii.luhn_sum(value[:-1] + c) == 0)
+    alone, _ = replaced(f"pay {value}, now")
+    got, tally = replaced(f"pay {value}{after}, now")
+    assert tally == {kind: 1} and alone != f"pay {value}, now"
+    assert got == alone.replace(", now", f"{after}, now")       # the same pseudonym; what follows is kept
+
+
+def test_longer_run_valid_by_chance_keeps_its_neighbour():
+    card = "4111 1111 1111 1111"
+    tail = next(f"{k:02d}" for k in range(100) if pii.luhn_sum(re.sub(" ", "", card) + f"{k:02d}") == 0)
+    got, tally = replaced(f"{card} {tail}/26")
+    assert tally == {"card": 1} and got.endswith(f" {tail}/26") and got[:19] == replaced(card)[0]
+
+
+def test_number_before_a_card_does_not_cut_it():
+    card = "4111 1111 1111 1111"
+    for k in range(100):
+        got, tally = replaced(f"order {k:02d} {card} end")
+        assert tally == {"card": 1} and got == f"order {k:02d} {replaced(card)[0]} end"
+
+
 @pytest.mark.parametrize("keyword", ["TOKEN", "Token", "API_KEY", "Api-Key", "PASSWORD", "Secret", "ACCESS_KEY", "pwd"])
 @pytest.mark.parametrize("value", ["9233A8EC0D71B5F64E2A9C3B7D10586FE4A2329B", "e03422dad6b454724135a384f69ba12c7de6c8f4", "aB3dE6gH9jK2mN5p"])
 def test_secrets_by_keywords_in_any_case(keyword, value):
