@@ -6,12 +6,15 @@ written as Parquet and read again as the next one's input.  All stages but the
 last return the columns of ``documents``:
 
 1. toxicity: documents that the classifier rejects go;
-2. near_duplicates: one document of each SimHash group stays (the one with the
-   smallest id; of rows that repeat an id one stays, rows without id all do);
+2. near_duplicates: one row of each SimHash group stays (one with the smallest
+   id; rows without id come last);
 3. decontamination: documents with a benchmark passage go;
 4. pii: personal data become format-preserving pseudonyms (``n_chars`` follows
    the new text);
 5. packing: the documents as pieces of packed sequences.
+
+Ids may repeat or be null, so stage 2 decides by a row key of 128 hashed
+bits over all columns (but maps): only rows that are equal throughout share one.
 """
 
 from __future__ import annotations
@@ -26,10 +29,20 @@ from quarry.sources.tables import load
 TOXIC = 0.5
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id is not in the table ``ids`` (one written before, so
-    that Spark knows its size; null ids stay)."""
-    return docs.join(ids, "doc_id", "left_anti")
+KEY = ("__row_a", "__row_b")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns KEY, the same whenever they are computed."""
+    parts = [e for f in docs.schema.fields if "map<" not in f.dataType.simpleString()
+             for e in (F.col(f"`{f.name}`").isNull(), F.col(f"`{f.name}`"))]        # a null does not change a hash
+    return docs.select("*", *[F.xxhash64(F.lit(k), *parts).alias(k) for k in KEY])
+
+
+def _without(keyed: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose key is not in the table ``keys`` (one written before, so that
+    Spark knows its size)."""
+    return keyed.join(keys, list(KEY), "left_anti")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,19 +54,22 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
-    found = written(simhash.near_duplicates(pick(docs, "doc_id", "text")), "groups").where("doc_id is not null")
-    gone = written(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    twice = written(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
-    left = _without(docs, gone)
+    keyed = _keyed(docs)
+    row = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", *KEY)        # in the order of ids
+    found = written(simhash.near_duplicates(keyed.select(row.alias("doc_id"), "text")), "groups")
+    gone = written(found.where("doc_id <> component_id").select(*[f"doc_id.{k}" for k in KEY]).distinct(), "gone")
+    twice = written(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+                    .select(*[f"doc_id.{k}" for k in KEY]), "twice")
+    left = _without(keyed, gone)
     return pick(_without(left, twice).unionByName(
-        left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])), *docs.columns)
+        left.join(twice, list(KEY), "left_semi").dropDuplicates(list(KEY))), *docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     found = decontamination.leaks(pick(docs, "doc_id", "text"), pick(load(spark, sf_dir, "benchmark"), "item_id", "text"))
     gone = written(found.where("doc_id is not null").select("doc_id").distinct(), "leaks")
-    return pick(_without(docs, gone), *docs.columns)
+    return pick(docs.join(gone, "doc_id", "left_anti"), *docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,6 +84,18 @@ def test_stages(spark, tables):
     assert total == packed.agg(F.sum("length")).first()[0]
 
 
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(5)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    rows = [(5, a, 1), (5, b, 2), (3, b, 3), (None, c, 4), (None, c, 5), (None, c, 5), (7, d, 6), (7, d, 6), (7, d, 7), (None, d, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").repartition(3)
+    kept = [tuple(r) for r in corpus_pipeline.near_duplicates_stage(spark, docs, "").collect()]
+    assert sorted(r[1] for r in kept) == sorted([a, b, c, d])       # no group is lost, none keeps two
+    assert {(5, a, 1), (3, b, 3)} <= set(kept)
+    assert {r[0] for r in kept if r[1] == c} == {None} and {r[0] for r in kept if r[1] == d} == {7}
+    assert set(kept) <= set(rows)
+
+
 def test_stage_list():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_duplicates", "decontamination", "pii", "packing"]
