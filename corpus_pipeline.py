@@ -13,7 +13,7 @@ last return the columns of ``documents``:
    the new text);
 5. packing: the documents as pieces of packed sequences.
 
-Ids may repeat or be null, so stage 2 decides by a row key of 128 hashed
+Ids may repeat or be null, so stages 2 and 3 decide by a row key of 128 hashed
 bits over all columns (but maps): only rows that are equal throughout share one.
 """
 
@@ -67,9 +67,11 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
-    found = decontamination.leaks(pick(docs, "doc_id", "text"), pick(load(spark, sf_dir, "benchmark"), "item_id", "text"))
-    gone = written(found.where("doc_id is not null").select("doc_id").distinct(), "leaks")
-    return pick(docs.join(gone, "doc_id", "left_anti"), *docs.columns)
+    keyed = _keyed(docs)
+    found = decontamination.leaks(keyed.select(F.struct(*KEY).alias("doc_id"), "text"),
+                                  pick(load(spark, sf_dir, "benchmark"), "item_id", "text"))
+    gone = written(found.select(*[f"doc_id.{k}" for k in KEY]).distinct(), "leaks")
+    return pick(_without(keyed, gone), *docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

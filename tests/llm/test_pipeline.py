@@ -96,6 +96,18 @@ def test_one_row_of_each_group_stays(spark):
     assert set(kept) <= set(rows)
 
 
+def test_leaks_without_id_go(spark, tmp_path):
+    rng = random.Random(6)
+    items = [prose(rng, 30) + "." for _ in range(3)]
+    texts = [prose(rng, 80) for _ in range(40)]
+    rows = [(i if i % 4 else None, t) for i, t in enumerate(texts)]
+    rows += [(None, f"{prose(rng, 20)} {items[0]} {prose(rng, 20)}"), (1, f"{prose(rng, 20)} {items[1]}")]
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path)).collect()]
+    assert sorted(kept, key=str) == sorted(rows[:40], key=str)      # both leaks go; the clean rows without id or of id 1 stay
+
+
 def test_stage_list():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_duplicates", "decontamination", "pii", "packing"]
