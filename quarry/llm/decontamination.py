@@ -5,7 +5,9 @@
    dimensions, counted over the whole corpus.
 2. Passages are windows of 2 x 16 words with a stride of 16; words of more
    than a tenth of the documents carry no weight and a run of one repeated
-   word counts once.  A randomised SVD of the TF-IDF passage matrix A: every
+   word counts once.  Words inside three words in a row of a benchmark item do
+   not count for this (nor for idf): a passage that is in a third of the
+   documents does not make its own words common.  A randomised SVD of the TF-IDF passage matrix A: every
    task adds its passages with random signs to the rows of a small sketch
    S A, Spark sums the sketches, and the SVD of their fixed-size sum gives the
    leading right singular vectors and values.
@@ -13,7 +15,10 @@
    and whitened (divided by the singular values, so that the directions of
    whole languages do not hide single passages); passages whose cosine with an
    item's window reaches ``cosine`` and that share a few content words are
-   candidates.
+   candidates.  Whitening shrinks a passage that fills a direction of its own,
+   so items most of whose content words only the rule of step 2 keeps (hot
+   items) need no cosine: passages that share enough of their content words
+   are candidates whatever the cosine.
 4. A candidate is verified against the words around the passage: the longest
    common subsequence of the item's content words must cover ``lcs`` of them,
    or, for paraphrases, ``lcs_paraphrase`` of them while the answer (the item's
@@ -58,6 +63,8 @@ MIN_WORDS = 5
 ITEM_BLOCK = 500
 #: words in more than this share of documents are not content words
 COMMON = 0.10
+#: bits of the map of the benchmark's runs of three words (4 MB)
+RUN_BITS = 25
 PARTS = 64
 SEED = 77
 
@@ -83,26 +90,60 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), dtype="<u4"), np.asarray([len(r) // 4 for r in raw], dtype=np.int64)
 
 
-def frequencies(table: DataFrame) -> tuple[int, np.ndarray]:
-    """Number of documents with words; documents per dimension."""
+def _runs(h: np.ndarray) -> np.ndarray:
+    """Places in a map of RUN_BITS bits of all runs of three words."""
+    h = h.astype(np.uint64)
+    mixed = (h[:-2] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + (h[2:] * np.uint64(0x165667B19E3779F9) >> np.uint64(7)))
+    return (mixed * np.uint64(0xFF51AFD7ED558CCD)) >> np.uint64(64 - RUN_BITS)
+
+
+def run_map(texts: Iterator[str]) -> np.ndarray:
+    """A bit map of the runs of three words of benchmark items."""
+    bits, powers = np.zeros(1 << (RUN_BITS - 3), dtype=np.uint8), Powers()
+    for t in texts:
+        at = _runs(word_hashes([t], powers)[0])
+        np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+    return bits
+
+
+def _inside(h: np.ndarray, sizes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Words, of documents end to end, that are in a run of the map."""
+    out = np.zeros(len(h), dtype=bool)
+    if len(h) < 3:
+        return out
+    at = _runs(h)
+    hit = (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    hit &= doc[2:] == doc[:-2]
+    for k in range(3):
+        out[k:len(h) - 2 + k] |= hit
+    return out
+
+
+def frequencies(table: DataFrame, bits: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of documents with words; documents per dimension, counting words
+    outside the runs of the benchmark and counting all."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(DIMS, dtype=np.int64), 0
+        df, raw, n = np.zeros(DIMS, dtype=np.int64), np.zeros(DIMS, dtype=np.int64), 0
         for b in batches:
             h, sizes = _lists(b.column(0))
             n += int((sizes > 0).sum())
+            inside, dim = _inside(h, sizes, bits), h % DIMS
             start = 0
             for size in sizes:
-                df[h[start:start + size] % DIMS] += 1          # each dimension once
+                own, part = inside[start:start + size], dim[start:start + size]
+                raw[part] += 1          # each dimension once
+                df[part[~own] if own.any() else part] += 1
                 start += size
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(n, df).reshape(1, -1).tolist(), pa.list_(pa.int64()))], names=["c"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[n], df, raw]).reshape(1, -1).tolist(), pa.list_(pa.int64()))], names=["c"])
 
     counted = table.select("words").mapInArrow(count, "c array<long>")
     sums = counted.select(F.posexplode("c").alias("k", "c")).groupBy("k").agg(F.sum("c").alias("c")).collect()
-    total = np.zeros(DIMS + 1, dtype=np.int64)       # DIMS + 1 rows
+    total = np.zeros(2 * DIMS + 1, dtype=np.int64)       # 2 * DIMS + 1 rows
     for r in sums:
         total[r.k] = r.c
-    return int(total[0]), total[1:]
+    return int(total[0]), total[1:DIMS + 1], total[DIMS + 1:]
 
 
 def grid_of(h: np.ndarray, sizes: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,13 +243,17 @@ def _answer(text: str) -> str:
 class Item:
     """A benchmark item: content words as bit masks, answer words."""
 
-    def __init__(self, key, text: str, common: np.ndarray):
+    def __init__(self, key, text: str, common: np.ndarray, kept: np.ndarray):
         self.key, self.common = key, common
         self.words = word_hashes([text], Powers())[0].tolist()
         content = [w for w in self.words if not common[w % DIMS]]
         if len(content) < MIN_WORDS:
             content = self.words
         self.n = len(content)
+        # hot: most content words are common but for the item's own passages
+        self.hot = 2 * sum(bool(kept[w % DIMS]) for w in content) >= self.n > 0
+        # a matched half, spread over its own length, leaves this much in some window
+        self.need = max(MIN_SHARED, int(self.n * LCS_PARAPHRASE * min(1, 2 * BLOCK / len(self.words)) / 2)) if self.words else 0
         self.masks: dict[int, int] = {}
         for k, w in enumerate(content):
             self.masks[w] = self.masks.get(w, 0) | 1 << k
@@ -244,6 +289,26 @@ def search(table: DataFrame, items: list[Item], rows: np.ndarray, common: np.nda
     for k, p in enumerate(parts[:len(items)]):
         has[k, p.ravel()] = True
     has[:, DIMS] = False
+    hot = np.flatnonzero([i.hot for i in items])
+    need = np.asarray([items[k].need for k in hot], dtype=np.int64)
+    # the hot items of each dimension, end to end
+    hot_dim, hot_item = np.nonzero(has[hot].T) if len(hot) else (np.zeros(0, dtype=np.int64),) * 2
+    first = np.searchsorted(hot_dim, np.arange(DIMS + 2))
+
+    def hot_pairs(part: np.ndarray, at: np.ndarray, follows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number in ``at``, item) of passages, by their rows in ``part``, that
+        share enough cells with a hot item."""
+        cell = part.ravel()
+        many = first[cell + 1] - first[cell]
+        of = np.repeat(np.arange(len(cell)) // BLOCK, many)
+        post = np.arange(many.sum()) + np.repeat(first[cell] - (np.cumsum(many) - many), many)
+        rows_of = np.bincount(of * len(hot) + hot_item[post], minlength=len(part) * len(hot)).reshape(len(part), -1)
+        shared = rows_of[at]
+        shared[follows] += rows_of[at[follows] + 1]
+        i, k = np.nonzero(shared >= need)
+        return i, hot[k]
+
+    first_window = np.searchsorted(owner, np.arange(len(items)))
 
     def verify(item: Item, near: list[int]) -> tuple[float, float] | None:
         got = common_subsequence(item.masks, item.n, near) / item.n
@@ -280,7 +345,11 @@ def search(table: DataFrame, items: list[Item], rows: np.ndarray, common: np.nda
                     shared = has[k[:, None], grid[y]].sum(axis=1)
                     shared += has[k[:, None], grid[np.minimum(y + 1, len(grid) - 1)]].sum(axis=1) * follows[y]
                     near = shared >= MIN_SHARED
-                    for r, k, c in zip(y[near].tolist(), k[near].tolist(), cos[i, j][near].tolist()):
+                    tried = [(y[near], k[near], cos[i, j][near])]
+                    if len(hot):
+                        i, k = hot_pairs(part, x - lo, follows[x])
+                        tried.append((x[i], k, np.maximum.reduceat(cos, first_window, axis=1)[i, k]))
+                    for r, k, c in zip(*(np.concatenate(t).tolist() for t in zip(*tried))):
                         d, item = int(doc[r]), items[k]
                         old = best.get((d, k))
                         if old and old[2] == 1.0:
@@ -311,18 +380,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     ``passage`` is the first word of the matched passage."""
     spark = docs.sparkSession
     table = written(hashed(docs, id_col, text_col), "words")
-    n, df = frequencies(table)
+    queries = benchmark.select(F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text_col}`").cast("string").alias("t")).where("t is not null")
+    blocks = max(1, -(-queries.count() // item_block))
+
+    def block(k: int) -> list:
+        return queries.where(F.pmod(F.xxhash64("item_id", "t"), F.lit(blocks)) == k).orderBy("item_id", "t").collect()
+
+    n, df, raw = frequencies(table, run_map(r.t for k in range(blocks) for r in block(k)))
     idf = np.log((1 + n) / (1 + df)).astype(np.float32)
     common = df > max(COMMON * n, 2)
     idf[common] = 0
+    kept = (raw > max(COMMON * n, 2)) & ~common
     vectors, values = singular_vectors(table, idf, common, rank)
     rows = vectors / np.where(values == 0, 1, values) * idf[:, None]        # whitened: no topic outweighs the rest
-    queries = benchmark.select(F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text_col}`").cast("string").alias("t")).where("t is not null")
-    blocks = max(1, -(-queries.count() // item_block))
     found = None
     for k in range(blocks):
-        part = queries.where(F.pmod(F.xxhash64("item_id", "t"), F.lit(blocks)) == k).orderBy("item_id", "t").collect()
-        items = [i for i in (Item(r.item_id, r.t, common) for r in part) if len(i.words) >= MIN_WORDS]
+        items = [i for i in (Item(r.item_id, r.t, common, kept) for r in block(k)) if len(i.words) >= MIN_WORDS]
         names = spark.createDataFrame([(p, i.key) for p, i in enumerate(items)],
                                       f"item int, item_id {queries.schema['item_id'].dataType.simpleString()}")
         hits = search(table, items, rows, common, cosine, lcs, lcs_paraphrase, answer).join(F.broadcast(names), "item")

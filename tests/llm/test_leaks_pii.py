@@ -76,6 +76,26 @@ def test_every_reported_pair_passes_the_checks(leaked):
         assert lcs(a, words(texts[r.doc_id])) >= 0.5 * len(a)
 
 
+def test_items_in_a_third_of_the_documents(spark):
+    """Recall against the exhaustive longest common subsequence."""
+    rng = random.Random(31)
+    items = [prose(rng, n) + ". " + prose(rng, 8) + "." for n in (14, 22, 50, 90, 30, 30)]
+    texts = []
+    for d in range(300):
+        body = prose(rng, rng.randint(0, 120)).split()
+        for k in [k for k in range(3) if d % 3 == k] + ([3] if d % 8 == 0 else []) + ([4] if d == 17 else []):
+            body += [prose(rng, 1) if rng.random() < 0.1 else w for w in items[k].split()] + prose(rng, rng.randint(0, 40)).split()
+        texts.append(" ".join(body))
+    texts += [f"{items[0]}"] * 20
+    a = [words(i) for i in items]
+    expected = {(d, k) for d, t in enumerate(texts) for k in range(6) if lcs(a[k], words(t)) >= 0.8 * len(a[k])}
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.leaks(documents(spark, texts, extra=False), bench).collect()}
+    assert {k for _, k in expected} == {0, 1, 2, 3, 4}
+    assert not expected - got, f"{len(expected & got)} of {len(expected)}"         # recall 1
+    assert got <= {(d, k) for d, t in enumerate(texts) for k in range(6) if lcs(a[k], words(t)) >= 0.5 * len(a[k])}
+
+
 def test_leaks_empty(spark, leaked):
     docs, bench, *_ = leaked
     assert decontamination.leaks(empty(spark), bench).collect() == []
