@@ -6,6 +6,7 @@ from __future__ import annotations
 from quarry.llm.decontamination import op2_decontamination
 from quarry.llm.embedding_dedup import op7_embedding_dedup
 from quarry.llm.language import op9_language
+from quarry.llm.mixing import OP11_SQL, op11_mixing
 from quarry.llm.packing import op8_packing
 from quarry.llm.pii import op3_pii
 from quarry.llm.quality import op1_quality
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
+    "op11_mixing": op11_mixing,
 }
 
 #: every pair by brute force: for the small tables of the correctness check
@@ -48,4 +50,4 @@ SELECT vec_id, COALESCE(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM least LEFT JOIN links USING (vec_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_embedding_dedup": _OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_embedding_dedup": _OP7_SQL, "op11_mixing": OP11_SQL}
