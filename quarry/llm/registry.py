@@ -9,6 +9,7 @@ from quarry.llm.language import op9_language
 from quarry.llm.mixing import OP11_SQL, op11_mixing
 from quarry.llm.packing import op8_packing
 from quarry.llm.pii import op3_pii
+from quarry.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from quarry.llm.quality import op1_quality
 from quarry.llm.simhash import op4_simhash
 from quarry.llm.suffix_dedup import op5_suffix_dedup
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
     "op11_mixing": op11_mixing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 #: every pair by brute force: for the small tables of the correctness check
@@ -50,4 +52,5 @@ SELECT vec_id, COALESCE(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM least LEFT JOIN links USING (vec_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_embedding_dedup": _OP7_SQL, "op11_mixing": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_embedding_dedup": _OP7_SQL, "op11_mixing": OP11_SQL,
+                              "op13_prefix_trie": OP13_SQL}
