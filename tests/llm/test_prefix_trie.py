@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -30,7 +31,7 @@ def plain(rows) -> Counter:
     members = defaultdict(list)
     for c in own:
         h = zlib.crc32(str(c).encode()) % 9
-        seq = own.get(c - c % 5, [])[:h] + own[c][h:]
+        seq = own.get(c - int(math.fmod(c, 5)), [])[:h] + own[c][h:]  # % as in SQL
         for d in range(len(seq) + 1):
             members[tuple(seq[:d])].append((c, len(seq) == d))
     out = Counter()
