@@ -3,6 +3,7 @@ can express.  ``__spark_entry__`` adds them when the subpackage is present."""
 
 from __future__ import annotations
 
+from quarry.llm.collocations import OP12_SQL, op12_collocations
 from quarry.llm.decontamination import op2_decontamination
 from quarry.llm.embedding_dedup import op7_embedding_dedup
 from quarry.llm.language import op9_language
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
     "op11_mixing": op11_mixing,
+    "op12_collocations": op12_collocations,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
@@ -53,4 +55,5 @@ FROM least LEFT JOIN links USING (vec_id)
 """
 
 ORACLE_SQL: dict[str, str] = {"op7_embedding_dedup": _OP7_SQL, "op11_mixing": OP11_SQL,
+                              "op12_collocations": OP12_SQL,
                               "op13_prefix_trie": OP13_SQL}
