@@ -224,7 +224,7 @@ def suffix_depths(good: np.ndarray, piece: np.ndarray, most: int) -> np.ndarray:
     """How many words from each one on are good and of its piece, up to ``most``."""
     depth = good.astype(np.int8)
     run = good.copy()
-    for k in range(1, most):
+    for k in range(1, min(most, len(good))):
         step = np.zeros(len(good), dtype=bool)
         step[:len(good) - k] = good[k:] & (piece[k:] == piece[:len(good) - k])
         run &= step
@@ -321,7 +321,7 @@ def suffix_lists(docs: DataFrame, shared, pack, most: int) -> DataFrame:
             depth = p.depths(t, most)
             keep = (depth > 1) | np.append(False, depth[:-1] > 1)           # words of suffixes of two words and more
             for k in range(2, most):
-                keep[k:] |= depth[:-k or None][:len(keep) - k] > k
+                keep[k:] |= depth[:-k] > k
             held.append((t.hash[keep], depth[keep]))
             size += int(keep.sum())
             if size >= RUN_WORDS:
