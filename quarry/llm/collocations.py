@@ -3,8 +3,9 @@
 All phrases of up to ``MOST_WORDS`` words are prefixes of the word suffixes of
 the pieces, truncated at that depth.  The suffixes are never sorted as a whole:
 
-1. Words are counted.  A phrase is at most as frequent as its rarest word, so
-   a suffix ends before the first word below ``min_count``.
+1. Words are counted, then pairs of frequent neighbours by hashed slots.  A
+   phrase is at most as frequent as its rarest word or pair, so a suffix ends
+   before the first of them below ``min_count``.
 2. Word prefixes are grouped by memory budget: prefixes are the frequent words;
    one with more suffixes than ``budget`` is replaced by its extensions by one
    word, counted in a scan of their own, and so on.  Prefixes fall into hashed
@@ -190,17 +191,88 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "lang string, word string, hash long, n long")
 
 
+def neighbours(frequent: np.ndarray, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """Words that the filter takes in, and which of these have such a word
+    after them in their piece."""
+    good = in_map(frequent, FILTER_BITS, t.hash)
+    linked = good.copy()
+    linked[-1:] = False
+    linked[:-1] &= good[1:] & (t.piece[1:] == t.piece[:-1])
+    return good, linked
+
+
+PAIR_SLICES = 64
+
+
+def pair_filter(docs: DataFrame, shared, min_count: int) -> np.ndarray:
+    """Bit map of the slots (hashed pairs of frequent neighbours) with at least
+    ``min_count`` pairs.  Runs send the slots of each slice as differences,
+    byte plane by byte plane, which the shuffle compresses to a byte or two."""
+    width = (1 << FILTER_BITS) // PAIR_SLICES
+    planes = lambda x: x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    plain = lambda b: np.frombuffer(b, dtype=np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = shared.value
+        held, size = [], 0
+
+        def out():
+            slot, n = np.unique(np.concatenate(held), return_counts=True)
+            ends = np.searchsorted(slot, np.arange(PAIR_SLICES + 1) * width)
+            rows = [(k, planes(np.diff(slot[a:b], prepend=k * width)), planes(n[a:b]))
+                    for k, (a, b) in enumerate(zip(ends[:-1], ends[1:])) if a < b]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[
+                pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2)]], names=["slice", "slots", "counts"])
+
+        for t in tokens(batches, []):
+            _, linked = neighbours(frequent, t)
+            at = np.flatnonzero(linked)
+            held.append((longer(t.hash[at], t.hash[at + 1]) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64))
+            size += len(at)
+            if size >= RUN_WORDS:
+                yield out()
+                held, size = [], 0
+        if size:
+            yield out()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sums = None, np.zeros(width, dtype=np.int64)
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([np.packbits(sums >= min_count).tobytes()], pa.binary())],
+                                              names=["slice", "bits"])
+
+        for b in batches:
+            for k, slots, n in zip(*(b.column(i).to_pylist() for i in range(3))):
+                if k != at:
+                    if at is not None:
+                        yield out()
+                    at, sums[:] = k, 0
+                sums[np.cumsum(plain(slots))] += plain(n)                   # slots of one run differ
+        if at is not None:
+            yield out()
+
+    rows = (docs.mapInArrow(run, "slice int, slots binary, counts binary").repartition("slice").sortWithinPartitions("slice")
+            .mapInArrow(add, "slice int, bits binary").collect())           # a bit map of fixed size
+    out = np.zeros((PAIR_SLICES, width // 8), dtype=np.uint8)
+    for r in rows:
+        out[r["slice"]] = np.frombuffer(r.bits, dtype=np.uint8)
+    return out.reshape(-1)
+
+
 class Prefixes:
     """The prefix of a suffix: its first word, one word more as long as the
     prefix is over the budget (``over[k]``: filter of prefixes of k + 1 words)."""
 
-    def __init__(self, frequent: np.ndarray, over: list[np.ndarray]):
-        self.frequent, self.over = frequent, over
+    def __init__(self, frequent: np.ndarray, pairs: np.ndarray, over: list[np.ndarray]):
+        self.frequent, self.pairs, self.over = frequent, pairs, over
 
     def depths(self, t: Tokens, most: int) -> np.ndarray:
-        """Words of the suffix at every word, up to the first rare one."""
-        good = in_map(self.frequent, FILTER_BITS, t.hash)
-        return suffix_depths(good, t.piece, most)
+        """Words of the suffix at every word, up to the first rare word or pair."""
+        good, linked = neighbours(self.frequent, t)
+        at = np.flatnonzero(linked)
+        linked[at] = in_map(self.pairs, FILTER_BITS, longer(t.hash[at], t.hash[at + 1]))
+        return suffix_depths(good, linked, most)
 
     def keys(self, word, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Key and length of each prefix; ``word(k, rows)``: hash of the k-th
@@ -220,14 +292,13 @@ def longer(key: np.ndarray, word: np.ndarray) -> np.ndarray:
     return scramble(key * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
-def suffix_depths(good: np.ndarray, piece: np.ndarray, most: int) -> np.ndarray:
-    """How many words from each one on are good and of its piece, up to ``most``."""
+def suffix_depths(good: np.ndarray, linked: np.ndarray, most: int) -> np.ndarray:
+    """How many words from each good one on are linked, up to ``most``."""
     depth = good.astype(np.int8)
     run = good.copy()
-    for k in range(1, min(most, len(good))):
-        step = np.zeros(len(good), dtype=bool)
-        step[:len(good) - k] = good[k:] & (piece[k:] == piece[:len(good) - k])
-        run &= step
+    for k in range(min(most - 1, len(good))):
+        run[:len(good) - k] &= linked[k:]
+        run[len(good) - k:] = False
         depth += run
     return depth
 
@@ -403,7 +474,7 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, most: int = MOST_
     weights = np.zeros(1 << bits, dtype=np.int64)
     level = words.select(F.col("hash").alias("key"), "n")
     over: list[np.ndarray] = []
-    frequent = None
+    frequent = None                                                         # filters come with the first level
     while True:
         last = len(over) == most - 1
         fits = level if last else level.where(F.col("n") <= budget)
@@ -411,16 +482,17 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, most: int = MOST_
             weights[r.b] += r.n                                             # a row per bucket
         if frequent is None:
             frequent, hot = bit_maps(level.select("key", (F.col("n") > budget).alias("hot")), FILTER_BITS)
+            pairs = pair_filter(docs, spark.sparkContext.broadcast(frequent), min_count)
         elif not last:
             _, hot = bit_maps(level.select("key", (F.col("n") > budget).alias("hot")), FILTER_BITS)
         if last or not hot.any():
             break
         over.append(hot)
-        shared = spark.sparkContext.broadcast((frequent, over))
+        shared = spark.sparkContext.broadcast((frequent, pairs, over))
         level = written(extensions(docs, shared, most).groupBy("key").agg(F.sum("n").alias("n")), "prefixes")
     groups = max(1, -(-int(weights.sum()) // budget), min(2 * spark.sparkContext.defaultParallelism, int(weights.sum()) // 10_000))
     pack = spark.sparkContext.broadcast(packed(weights, min(groups, len(weights))).tobytes())
-    shared = spark.sparkContext.broadcast((frequent, over))
+    shared = spark.sparkContext.broadcast((frequent, pairs, over))
     parts = subtree_counts(suffix_lists(docs, shared, pack, most), shared, min_count, most)
     phrases = written(parts.groupBy("words").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count), "phrases")
     return words, phrases, totals

@@ -111,12 +111,22 @@ def test_query_equals_sql_on_odd_tables(spark, tmp_path):
         assert (len(got) > 20) == (name == "odd")
 
 
+def test_pair_filter_keeps_frequent_pairs(spark, monkeypatch):
+    monkeypatch.setattr(co, "RUN_WORDS", 500)                               # sums over many runs
+    rows = corpus(random.Random(11), 50)
+    every = np.full(1 << (co.FILTER_BITS - 3), 255, dtype=np.uint8)
+    bits = co.pair_filter(_df(spark, rows).select("lang", "text"), spark.sparkContext.broadcast(every), 8)
+    f, _ = plain_counts(rows, 2)
+    frequent = sum(a >= 8 for x, a in f.items() if len(x[1]) == 2)
+    assert frequent * 0.99 <= np.unpackbits(bits).sum() <= frequent        # fewer only by shared slots
+
+
 def test_lists_come_back_as_sent(spark):
     rng = random.Random(10)
     rows = corpus(rng, 40)
     frequent = np.full(1 << (co.FILTER_BITS - 3), 255, dtype=np.uint8)
     sc = spark.sparkContext
-    shared, pack = sc.broadcast((frequent, [])), sc.broadcast(np.zeros(4096, dtype=np.int32).tobytes())
+    shared, pack = sc.broadcast((frequent, frequent, [])), sc.broadcast(np.zeros(4096, dtype=np.int32).tobytes())
     lists = co.suffix_lists(_df(spark, rows).select("lang", "text"), shared, pack, 5)
     cols, depth, n = co.decoded(lists.toArrow(), 5)
     f, _ = plain_counts(rows)
