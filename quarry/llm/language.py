@@ -2,7 +2,7 @@
 
 A text is a vector of hashed character trigrams of its padded words, weighted
 log(1 + tf) * idf and scaled to unit length; document frequencies are counted
-over all documents.  Spherical k-means splits every learned language's sample
+over the learning rows.  Spherical k-means splits every learned language's sample
 vectors into several centroids; a text gets the language of the centroid of
 greatest cosine.  Each centroid remembers the distance within which nearly all
 its own training texts lie: a text farther from its nearest centroid is
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import Memo, bounded_batches, crc_mod, pick, stable_hash, text_chunks, written
+from quarry.plans.broadcast import bounded_broadcast
 from quarry.sources.tables import load
 
 DIMS = 1 << 13
@@ -65,7 +66,7 @@ def grams(text: str | None, memo: Memo) -> np.ndarray | None:
 
 
 def document_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
-    """idf over all documents; one row per task is summed by Spark."""
+    """idf over ``docs``; one row per task is summed by Spark."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = token_memo()
@@ -102,15 +103,23 @@ def spherical_kmeans(x: np.ndarray, k: int, seed: int = 5, rounds: int = 20) ->
     return c
 
 
-def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int, folds: int, held: int) -> DataFrame:
-    """(lang, text): about ``most`` learning rows of every language."""
+def learning_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int, held: int) -> DataFrame:
+    """(id, lang, text) of the rows that may be learned from."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("lang"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull()
+    return rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull()
                       & (crc_mod("id", folds) != held))
-    share = rows.groupBy("lang").agg((F.lit(float(most)) / F.count("*")).alias("share"))
-    dice = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 31)) / F.lit(float(1 << 31))
-    return written(rows.join(share, "lang").where(dice < F.col("share")).select("lang", "text"), "languages")
+
+
+def training_sample(rows: DataFrame, most: int) -> DataFrame:
+    """(lang, text): about ``most`` of the learning rows of every language.
+    Rows are diced by id and text, repeated ones count once; the shares, a row
+    per language, are broadcast behind a check of their number, so that no text
+    is shuffled by language."""
+    share = written(rows.groupBy("lang").agg((F.lit(float(most)) / F.count("*")).alias("share")), "shares")
+    dice = F.pmod(F.xxhash64("id", "text", F.lit(3)), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    return written(rows.join(bounded_broadcast(share), "lang").where(dice < F.col("share"))
+                   .select("lang", "text").distinct(), "languages")
 
 
 class Model:
@@ -127,8 +136,9 @@ class Model:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           rows_per_language: int = TRAIN_ROWS, centroids: int = CENTROIDS, folds: int = 4, held: int = 2) -> Model | None:
     """None if there is nothing to learn from."""
-    idf = document_frequencies(docs, text_col)
-    sample = training_sample(docs, id_col, text_col, lang_col, rows_per_language, folds, held)
+    rows = learning_rows(docs, id_col, text_col, lang_col, folds, held)
+    idf = document_frequencies(rows, "text")
+    sample = training_sample(rows, rows_per_language)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = token_memo()

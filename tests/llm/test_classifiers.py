@@ -170,3 +170,22 @@ def test_language_edges(spark, tongues):
     assert language.predict(empty(spark), language.train(docs)).collect() == []
     assert language.train(empty(spark)) is None
     assert {r.lang_pred for r in language.predict(odd, None).collect()} == {"und"}
+
+
+def test_language_does_not_learn_from_other_rows(spark, tongues):
+    """Neither held-out texts nor those without language change the model."""
+    docs = tongues[0] if isinstance(tongues, tuple) else tongues
+    from pyspark.sql import functions as F
+    held = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2) | F.col("lang").isNull()
+    other = docs.withColumn("text", F.when(held, F.lit("wholly other words zzz qqq")).otherwise(F.col("text")))
+    a, b = language.train(docs), language.train(other)
+    assert a.langs == b.langs and np.array_equal(a.idf, b.idf) and np.allclose(a.centroids, b.centroids)
+
+
+def test_language_row_bound_holds_for_one_id(spark):
+    """One id with very many rows of one text counts once in the fit."""
+    rng = random.Random(3)
+    rows = [(1, "aaa bbb ccc", "xx")] * 500 + [(i, prose(rng, 20), "yy") for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learning = language.learning_rows(docs, "doc_id", "text", "lang", 4, 2)
+    assert language.training_sample(learning, 1000).where("lang = 'xx'").count() <= 1
