@@ -15,6 +15,12 @@ last return the columns of ``documents``:
 
 Ids may repeat or be null, so stages 2 and 3 decide by a row key of 128 hashed
 bits over all columns (but maps): only rows that are equal throughout share one.
+The rows that go are sought by a bit map of their keys, so the texts that stay
+are not shuffled.
+
+A null or empty text is a document like any other: no toxic words, fingerprint
+zero (one of them stays), no leak, nothing private, the end id alone when
+packed.  Empty tables pass through every stage as no rows.
 """
 
 from __future__ import annotations
@@ -24,6 +30,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import decontamination, packing, pii, simhash, toxicity
 from quarry.llm.common import bounded_batches, pick, written
+from quarry.llm.keep import divided
 from quarry.sources.tables import load
 
 TOXIC = 0.5
@@ -39,12 +46,6 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("*", *[F.xxhash64(F.lit(k), *parts).alias(k) for k in KEY])
 
 
-def _without(keyed: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose key is not in the table ``keys`` (one written before, so that
-    Spark knows its size)."""
-    return keyed.join(keys, list(KEY), "left_anti")
-
-
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     model = toxicity.train(pick(docs, "doc_id", "text"), load(spark, sf_dir, "labels"))
@@ -60,8 +61,9 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     gone = written(found.where("doc_id <> component_id").select(*[f"doc_id.{k}" for k in KEY]).distinct(), "gone")
     twice = written(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
                     .select(*[f"doc_id.{k}" for k in KEY]), "twice")
-    left = _without(keyed, gone)
-    return pick(_without(left, twice).unionByName(
+    sure, doubtful = divided(keyed, gone.unionByName(twice), KEY[0])
+    left = doubtful.join(gone, list(KEY), "left_anti")
+    return pick(sure.unionByName(left.join(twice, list(KEY), "left_anti")).unionByName(
         left.join(twice, list(KEY), "left_semi").dropDuplicates(list(KEY))), *docs.columns)
 
 
@@ -71,7 +73,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     found = decontamination.leaks(keyed.select(F.struct(*KEY).alias("doc_id"), "text"),
                                   pick(load(spark, sf_dir, "benchmark"), "item_id", "text"))
     gone = written(found.select(*[f"doc_id.{k}" for k in KEY]).distinct(), "leaks")
-    return pick(_without(keyed, gone), *docs.columns)
+    sure, doubtful = divided(keyed, gone, KEY[0])
+    return pick(sure.unionByName(doubtful.join(gone, list(KEY), "left_anti")), *docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
