@@ -7,6 +7,8 @@ the rows inside (those that go, and a few others) are for an exact join.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,6 +19,15 @@ from quarry.llm.suffix_dedup import bit_maps, in_map
 BITS = 27
 
 
+def give_back() -> None:
+    """Return freed memory of this worker to the system.  Workers are used
+    again by the next stage, beside what the last one has left behind."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)                  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def divided(rows: DataFrame, keys: DataFrame, column: str, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
     """``rows`` whose long (hash) ``column`` is surely not among ``keys``, and
     the others.  However many keys there are, the map has 2 ** ``bits`` bits; a
@@ -27,6 +38,7 @@ def divided(rows: DataFrame, keys: DataFrame, column: str, bits: int = BITS) ->
 
     @F.arrow_udf("boolean")
     def inside(key: pa.Array) -> pa.Array:
+        give_back()
         return pa.array(in_map(np.frombuffer(shared.value, dtype=np.uint8), bits, key.to_numpy(zero_copy_only=False).view(np.uint64)))
 
     marked = rows.withColumn("__inside", inside(column))
