@@ -34,6 +34,15 @@ from quarry.llm.keep import divided
 from quarry.sources.tables import load
 
 TOXIC = 0.5
+#: bytes of one Arrow batch: a batch is held several times over, in the
+#: executor and in the worker, by every task
+BATCH_BYTES = 2 << 20
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Small Arrow batches, by rows (unless set otherwise) and by bytes."""
+    bounded_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 KEY = ("__row_a", "__row_b")
@@ -47,14 +56,14 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    bounded_batches(spark)
+    _bounded(spark)
     model = toxicity.train(pick(docs, "doc_id", "text"), load(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model, out="__score", keep_text=True)
     return pick(scored.where(F.col("__score") < TOXIC), *docs.columns)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    bounded_batches(spark)
+    _bounded(spark)
     keyed = _keyed(docs)
     row = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", *KEY)        # in the order of ids
     found = written(simhash.near_duplicates(keyed.select(row.alias("doc_id"), "text")), "groups")
@@ -68,7 +77,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    bounded_batches(spark)
+    _bounded(spark)
     keyed = _keyed(docs)
     found = decontamination.leaks(keyed.select(F.struct(*KEY).alias("doc_id"), "text"),
                                   pick(load(spark, sf_dir, "benchmark"), "item_id", "text"))
@@ -78,7 +87,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    bounded_batches(spark)
+    _bounded(spark)
     clean = pii.pseudonymise(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -86,7 +95,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    bounded_batches(spark)
+    _bounded(spark)
     return packing.digest(packing.pack(pick(docs, "doc_id", "text")))
 
 
