@@ -37,6 +37,7 @@ _MODULES = (
     "quarry.functions.udfs",
     "quarry.sources.sinks",
     "quarry.streaming.queries",
+    "quarry.search.knn",
 )
 
 
