@@ -38,6 +38,7 @@ _MODULES = (
     "quarry.sources.sinks",
     "quarry.streaming.queries",
     "quarry.search.knn",
+    "quarry.search.containment",
 )
 
 
