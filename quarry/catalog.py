@@ -35,6 +35,8 @@ _MODULES = (
     "quarry.operators.subqueries",
     "quarry.functions.scalar",
     "quarry.functions.udfs",
+    "quarry.functions.variant",
+    "quarry.operators.sketches",
     "quarry.sources.sinks",
     "quarry.streaming.queries",
     "quarry.search.knn",

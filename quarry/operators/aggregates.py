@@ -82,6 +82,18 @@ def _orders_by_status_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
                        sum_units(cents("o_totalprice")).alias("total")))
 
 
+def _with_grand_total(fine: DataFrame) -> DataFrame:
+    """``fine`` (keys, n, sum) and one row that counts nothing: the empty set of
+    a grouping has a row even where there is no input.  What else the row makes
+    has no count (``_counted``)."""
+    nothing = [F.lit(0 if f.name == "n" else None).cast(f.dataType).alias(f.name) for f in fine.schema.fields]
+    return fine.unionByName(fine.sparkSession.range(1).select(*nothing))
+
+
+def _counted(rows: DataFrame, n: str, total) -> DataFrame:
+    return rows.where((F.col(n) > 0) | total)
+
+
 @query("grouping_sets_query", oracle="""
 SELECT o_orderstatus, o_orderpriority,
        CAST(GROUPING(o_orderstatus) AS INTEGER) AS g_status,
@@ -92,13 +104,14 @@ FROM orders
 GROUP BY GROUPING SETS ((o_orderstatus), (o_orderpriority), ())
 """)
 def grouping_sets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fine = _orders_by_status_priority(spark, sf_dir)
+    fine = _with_grand_total(_orders_by_status_priority(spark, sf_dir))
     s, p = F.col("o_orderstatus"), F.col("o_orderpriority")
-    return (fine.groupingSets([[s], [p], []], s, p)
+    sets = (fine.groupingSets([[s], [p], []], s, p)
                 .agg(F.grouping(s).cast("int").alias("g_status"),
                      F.grouping(p).cast("int").alias("g_priority"),
                      F.sum("n").cast("bigint").alias("n_orders"),
                      scale_back(F.sum("total"), 2).alias("total_price")))
+    return _counted(sets, "n_orders", (F.col("g_status") == 1) & (F.col("g_priority") == 1))
 
 
 @query("rollup_query", oracle="""
@@ -121,10 +134,12 @@ def rollup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = bounded_broadcast(t.region)
     named = (per_nation.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
                        .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
-    return (named.rollup("r_name", "n_name")
+    named = _with_grand_total(named.select("r_name", "n_name", "n", "bal"))
+    sets = (named.rollup("r_name", "n_name")
                  .agg(F.grouping_id("r_name", "n_name").cast("int").alias("gid"),
                       F.sum("n").cast("bigint").alias("n_customers"),
                       scale_back(F.sum("bal"), 2).alias("total_balance")))
+    return _counted(sets, "n_customers", F.col("gid") == 3)
 
 
 @query("cube_query", oracle="""
@@ -136,11 +151,12 @@ FROM orders
 GROUP BY CUBE (o_orderstatus, o_orderpriority)
 """)
 def cube_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fine = _orders_by_status_priority(spark, sf_dir)
-    return (fine.cube("o_orderstatus", "o_orderpriority")
+    fine = _with_grand_total(_orders_by_status_priority(spark, sf_dir))
+    sets = (fine.cube("o_orderstatus", "o_orderpriority")
                 .agg(F.grouping_id("o_orderstatus", "o_orderpriority").cast("int").alias("gid"),
                      F.sum("n").cast("bigint").alias("n_orders"),
                      scale_back(F.sum("total"), 2).alias("total_price")))
+    return _counted(sets, "n_orders", F.col("gid") == 3)
 
 
 # The order status codes of the orders table; any other status,

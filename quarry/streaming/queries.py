@@ -13,7 +13,7 @@ state is bounded by days x event types.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from datetime import time as dtime
 
 from pyspark import StorageLevel
@@ -26,9 +26,11 @@ from quarry.functions.time import instant_to_ntz, ntz_lit, ntz_micros
 from quarry.plans.broadcast import bounded_broadcast
 from quarry.sources.tables import Tables
 from quarry.streaming.runner import (EVENT_TIME, events_stream, new_paths, overwrite_sink,
-                                     path_exists, per_batch_sink, read_latest, run_available_now,
-                                     stage, stream_partitions, window_cols)
+                                     children, path_exists, per_batch_sink, read_latest, remove,
+                                     run_available_now, stage, stream_partitions, window_cols)
 from quarry.streaming.stateful import running_user_stats
+from quarry.streaming.visits import OUTPUT as VISITS
+from quarry.streaming.visits import visits
 
 WATERMARK = "1 hour"
 SESSION_GAP = "12 hours"
@@ -44,6 +46,7 @@ SELECT date_trunc('day', ts) AS window_start,
        event_type, COUNT(*) AS n,
        CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total_value
 FROM events
+WHERE ts IS NOT NULL                        -- a row without time is in no window
 GROUP BY 1, 2, 3
 """
 
@@ -68,6 +71,7 @@ SELECT window_start, window_start + INTERVAL 2 DAY AS window_end, COUNT(*) AS n
 FROM (SELECT date_trunc('day', ts) AS window_start FROM events
       UNION ALL
       SELECT date_trunc('day', ts) - INTERVAL 1 DAY FROM events) t
+WHERE window_start IS NOT NULL
 GROUP BY window_start
 """)
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +91,7 @@ WITH g AS (
          CASE WHEN LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
                 OR ts > LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 12 HOUR
               THEN 1 ELSE 0 END AS brk
-  FROM events),
+  FROM events WHERE ts IS NOT NULL),
 s AS (SELECT user_id, ts,
              SUM(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid
       FROM g)
@@ -154,8 +158,8 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = new_paths(spark, "stream_late_data")
     ev = Tables(spark, sf_dir).events
     ends = ev.agg(F.min(F.to_date("ts")).alias("d"), F.max("ts").alias("hi")).first()   # one row
-    first_day_end = datetime.combine(ends["d"] + timedelta(days=1), dtime())
-    step = (ends["hi"] - first_day_end) / ON_TIME_SLICES
+    first_day_end = datetime.combine((ends["d"] or date(1970, 1, 1)) + timedelta(days=1), dtime())
+    step = ((ends["hi"] or first_day_end) - first_day_end) / ON_TIME_SLICES
     on_time = ev.where(F.col("ts") >= ntz_lit(first_day_end))
     late = ev.where(F.col("ts") < ntz_lit(first_day_end))
 
@@ -177,6 +181,45 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(paths.sink)
 
 
+RATE_SLICES = 4
+ROWS_PER_FILE = 2_000_000
+
+
+@query("stream_rate_limited", tier="stream", oracle="""
+WITH b AS (SELECT date_trunc('day', MIN(ts)) + INTERVAL 1 DAY AS day1_end, MAX(ts) - INTERVAL 1 HOUR AS wm FROM events)
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, COUNT(*) AS n
+FROM events, b WHERE ts >= b.day1_end
+GROUP BY 1, 2 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= MAX(b.wm)
+""")
+def stream_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows are dropped between the micro-batches of one run: the days
+    after the first in ``RATE_SLICES`` slices of time order, then the first day.
+    The source is rate-limited (``maxFilesPerTrigger``) to the files of a slice,
+    so that each is a micro-batch of its own."""
+    paths = new_paths(spark, "stream_rate_limited")
+    ev = Tables(spark, sf_dir).events
+    rate_limited(spark, ev, paths, -(-ev.count() // (RATE_SLICES * ROWS_PER_FILE)) or 1)
+    return spark.read.schema("window_start timestamp_ntz, window_end timestamp_ntz, n long").parquet(paths.sink)
+
+
+def rate_limited(spark: SparkSession, ev: DataFrame, paths, files: int = 1):
+    """Stages the slices in ``files`` files each (as many as a slice needs), and
+    runs over all; the finished query."""
+    ends = ev.agg(F.min(F.to_date("ts")).alias("d"), F.max("ts").alias("hi")).first()
+    first_day_end = datetime.combine((ends["d"] or date(1970, 1, 1)) + timedelta(days=1), dtime())
+    step = max(((ends["hi"] or first_day_end) - first_day_end) / RATE_SLICES, timedelta(microseconds=1))
+    on_time = ev.where(F.col("ts") >= ntz_lit(first_day_end))
+    for k in range(RATE_SLICES):
+        part = on_time.where(F.col("ts") >= ntz_lit(first_day_end + k * step))
+        stage(part.where(F.col("ts") < ntz_lit(first_day_end + (k + 1) * step)).repartition(files) if k + 1 < RATE_SLICES
+              else part.repartition(files), paths.source)
+    stage(ev.where(F.col("ts") < ntz_lit(first_day_end)).repartition(files), paths.source)
+    daily = (events_stream(spark, source_dir=paths.source, files_per_trigger=files)
+             .withWatermark(EVENT_TIME, WATERMARK).groupBy(F.window(EVENT_TIME, "1 day"))
+             .agg(F.count(F.lit(1)).alias("n")).select(*window_cols(), "n"))
+    return run_available_now(daily, paths, "append")
+
+
 @query("stream_dedup", tier="stream", oracle="""
 SELECT DISTINCT event_id, user_id, ts, event_type, value FROM events
 """)
@@ -266,8 +309,18 @@ def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(paths.sink)
 
 
+def _halves(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events up to the middle of their time range, and those after it or
+    without time."""
+    mid = ev.agg(F.max("ts").alias("hi"), F.min("ts").alias("lo")).first()
+    lo = mid["lo"] or datetime(1970, 1, 1)
+    split = ntz_lit(lo + ((mid["hi"] or lo) - lo) / 2)
+    return ev.where(F.col("ts") < split), ev.where((F.col("ts") >= split) | F.col("ts").isNull())
+
+
 @query("stream_stateful", tier="stream", oracle="""
-SELECT user_id, COUNT(*) AS n_events, ARG_MAX(value, ts) AS last_value, MAX(ts) AS last_ts
+SELECT user_id, COUNT(*) AS n_events, ARG_MAX(value, ts) AS last_value,
+       MAX(ts) FILTER (value IS NOT NULL) AS last_ts
 FROM events
 GROUP BY user_id
 """)
@@ -278,26 +331,50 @@ def stream_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each batch emits the updated users; the result is each user's last
     emitted state."""
     paths = new_paths(spark, "stream_stateful")
-    ev = Tables(spark, sf_dir).events
-    mid = ev.agg(F.max("ts").alias("hi"), F.min("ts").alias("lo")).first()
-    split = mid["lo"] + (mid["hi"] - mid["lo"]) / 2
-    split_col = ntz_lit(split)
     sink = f"{paths.sink}/batches"
-    stage(ev.where(F.col("ts") < split_col), paths.source)
-    run_available_now(running_user_stats(events_stream(spark, source_dir=paths.source)),
-                      paths, "update", per_batch_sink(sink))
-    stage(ev.where(F.col("ts") >= split_col), paths.source)
-    run_available_now(running_user_stats(events_stream(spark, source_dir=paths.source)),
-                      paths, "update", per_batch_sink(sink))
+    for part in _halves(Tables(spark, sf_dir).events):
+        stage(part, paths.source)
+        run_available_now(running_user_stats(events_stream(spark, source_dir=paths.source)),
+                          paths, "update", per_batch_sink(sink))
+    if not path_exists(spark, sink):                    # no event, so no batch
+        return spark.createDataFrame([], "user_id long, n_events long, last_value double, last_ts timestamp_ntz")
     emitted = spark.read.parquet(sink)
     latest = emitted.groupBy("user_id").agg(
         F.max_by(F.struct("n_events", "last_value", "last_ts"), "batch_id").alias("s"))
     return latest.select("user_id", "s.n_events", "s.last_value", "s.last_ts")
 
 
+IDLE_HOURS = 24
+
+
+@query("stream_visits", tier="stream", oracle=f"""
+WITH e AS (SELECT * FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+g AS (SELECT *, CASE WHEN ts <= LAG(ts) OVER w + INTERVAL {IDLE_HOURS} HOUR THEN 0 ELSE 1 END AS fresh
+      FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+v AS (SELECT *, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS visit FROM g),
+s AS (SELECT user_id, visit, MIN(ts) AS first_ts, MAX(ts) AS last_ts, COUNT(*) AS n_events,
+             LAST(value ORDER BY ts, event_id) AS last_value
+      FROM v GROUP BY user_id, visit)
+SELECT user_id, first_ts, last_ts, n_events, last_value FROM s
+QUALIFY LEAD(visit) OVER (PARTITION BY user_id ORDER BY visit) IS NOT NULL
+     OR last_ts + INTERVAL {IDLE_HOURS} HOUR <= (SELECT MAX(ts) FROM e) - INTERVAL 1 HOUR
+""")
+def stream_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits that ended, by event-time timers on keyed state, over two runs
+    with a restart between: timers set in the first run fire in the second.
+    Visits still open at the end stay in the state."""
+    paths = new_paths(spark, "stream_visits")
+    for part in _halves(Tables(spark, sf_dir).events):
+        stage(part, paths.source)
+        run_available_now(visits(events_stream(spark, source_dir=paths.source), IDLE_HOURS, WATERMARK), paths, "append")
+    time = lambda c: F.timestamp_add("MICROSECOND", F.col(c), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return spark.read.schema(VISITS).parquet(paths.sink).select(
+        "user_id", time("first_us").alias("first_ts"), time("last_us").alias("last_ts"), F.col("n").alias("n_events"), "last_value")
+
+
 @query("stream_sink_upsert", tier="stream", oracle="""
 SELECT user_id, event_id, ts, event_type, value
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
       FROM events) t
 WHERE rn = 1
 """)
@@ -306,12 +383,9 @@ def stream_sink_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``UpsertTable``).  Two runs with a restart between exercise the merge
     against existing state."""
     paths = new_paths(spark, "stream_sink_upsert")
-    ev = Tables(spark, sf_dir).events
-    mid = ev.agg(F.max("ts").alias("hi"), F.min("ts").alias("lo")).first()
-    split_col = ntz_lit(mid["lo"] + (mid["hi"] - mid["lo"]) / 2)
     table = UpsertTable(spark, f"{paths.sink}/table")
-    for part in (F.col("ts") < split_col, F.col("ts") >= split_col):
-        stage(ev.where(part), paths.source)
+    for part in _halves(Tables(spark, sf_dir).events):
+        stage(part, paths.source)
         run_available_now(events_stream(spark, source_dir=paths.source).select(*UPSERT_COLS),
                           paths, "append", table.upsert)
     return table.read()
@@ -331,8 +405,11 @@ class UpsertTable:
     own and writes only its own, so nothing that is read is ever replaced: a
     crash at any point leaves the earlier versions whole, and a repeated epoch
     overwrites its own attempt.  The stream commits epochs in order, so every
-    version before an epoch is complete when it runs.  A table that does not
-    exist yet is empty; any other failure to read is raised.
+    version before an epoch is complete when it runs, and of each bucket only
+    the last one is needed: older ones are removed, so the table stays at most
+    two versions large and an epoch costs the same however many came before.
+    A table that does not exist yet is empty; any other failure to read is
+    raised.
 
     ``buckets`` is a property of the table (a few hundred MB per bucket on a
     cluster); ``writers`` tasks write each bucket.
@@ -359,8 +436,24 @@ class UpsertTable:
         last = rows.groupBy("bucket").agg(F.max("epoch").alias("epoch"))    # at most one row per bucket
         return rows.join(F.broadcast(last), ["bucket", "epoch"]).drop("epoch")
 
+    def _remove_superseded(self, epoch_id: int) -> None:
+        """Of the versions before an epoch, keep each bucket's last one."""
+        epochs = {int(p.rsplit("=", 1)[1]): p for p in children(self.spark, self.path) if "/epoch=" in p}
+        newer: set[str] = set()
+        for epoch in sorted((e for e in epochs if e < epoch_id), reverse=True):
+            held = {p.rsplit("/", 1)[1]: p for p in children(self.spark, epochs[epoch]) if "/bucket=" in p}
+            old = newer & set(held)
+            if held and old == set(held):
+                remove(self.spark, epochs[epoch])
+            else:
+                for b in old:
+                    remove(self.spark, held[b])
+            newer |= set(held)
+
     def upsert(self, batch: DataFrame, epoch_id: int) -> None:
         """Merge a micro-batch (foreachBatch); repeating it is harmless."""
+        if path_exists(self.spark, self.path):
+            self._remove_superseded(epoch_id)
         fresh = self._latest(batch).persist()
         try:
             touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]    # <= buckets

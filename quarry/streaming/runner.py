@@ -48,7 +48,8 @@ def new_paths(spark: SparkSession, name: str) -> StreamPaths:
     return StreamPaths(scratch_path(spark, "stream", name))
 
 
-def events_stream(spark: SparkSession, sf_dir: str | None = None, source_dir: str | None = None) -> DataFrame:
+def events_stream(spark: SparkSession, sf_dir: str | None = None, source_dir: str | None = None,
+                  files_per_trigger: int | None = None) -> DataFrame:
     """The events table as a stream, with a zoned ``event_time`` column.
 
     Either the driver's events table (``sf_dir``; one file or a folder of
@@ -56,6 +57,8 @@ def events_stream(spark: SparkSession, sf_dir: str | None = None, source_dir: st
     is given, never inferred.
     """
     reader = spark.readStream.schema(EVENTS_SCHEMA)
+    if files_per_trigger is not None:               # oldest files first
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     path = source_dir if source_dir is not None else table_path(sf_dir, "events")
     if source_dir is None and not is_folder(spark, path):
         # a file source wants a folder: the one around the file, and only it
@@ -161,6 +164,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The paths in a folder."""
+    fs, where = _place(spark, path)
+    return [str(f.getPath()) for f in fs.listStatus(where)]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path with all below it."""
+    fs, where = _place(spark, path)
+    fs.delete(where, True)
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     """Whether a path, which must exist, is a folder."""
     fs, where = _place(spark, path)

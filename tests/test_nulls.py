@@ -21,7 +21,6 @@ NULLS = {
     "supplier": {"s_nationkey": 4},
 }
 BATCH = [n for n, e in entries().items() if e.oracle and e.tier == "batch"]
-#: streams read event time: a NULL time belongs to no window, so it stays
 STREAMS = [n for n, e in entries().items() if e.oracle and e.tier == "stream"]
 
 
@@ -81,6 +80,31 @@ def test_streams_over_folders_with_a_hot_user(spark, folders, name):
     assert not problems, problems
 
 
+@pytest.mark.parametrize("name", STREAMS)
+def test_streams_with_nulls(spark, nulled, name):
+    """Users, values, types and times may be NULL in a stream as well."""
+    root, con = nulled
+    problems, _, _ = compare(spark, con, name, entries()[name], root)
+    assert not problems, problems
+
+
+@pytest.fixture(scope="module")
+def emptied(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("empty"))
+    con = duckdb.connect()
+    for t in TABLES:
+        spark.read.parquet(f"{SF001}/{t}.parquet").limit(0).write.parquet(f"{root}/{t}.parquet")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{root}/{t}.parquet/*.parquet')")
+    return root, con
+
+
+@pytest.mark.parametrize("name", [n for n, e in entries().items() if e.oracle])
+def test_empty_tables(spark, emptied, name):
+    root, con = emptied
+    problems, _, _ = compare(spark, con, name, entries()[name], root)
+    assert not problems, problems
+
+
 def test_only_the_null_user_is_above_the_budget(spark, nulled):
     counts = spark.read.parquet(f"{nulled[0]}/events.parquet").groupBy("user_id").count()
     assert [r.user_id for r in counts.where("count > 90").collect()] == [None]
