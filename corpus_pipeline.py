@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import decontamination, packing, pii, simhash, toxicity
 from quarry.llm.common import bounded_batches, pick, written
-from quarry.llm.keep import divided
+from quarry.llm.keep import divided, give_back
 from quarry.sources.tables import load
 
 TOXIC = 0.5
@@ -40,7 +40,9 @@ BATCH_BYTES = 2 << 20
 
 
 def _bounded(spark: SparkSession) -> None:
-    """Small Arrow batches, by rows (unless set otherwise) and by bytes."""
+    """Small Arrow batches, by rows (unless set otherwise) and by bytes; what the
+    stage before has freed in the driver goes back."""
+    give_back()
     bounded_batches(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
