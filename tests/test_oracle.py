@@ -15,7 +15,7 @@ ORACLE = {k: e for k, e in entries().items() if e.oracle}
 
 def test_every_query_has_an_oracle():
     missing = [k for k, e in entries().items() if not e.oracle]
-    assert missing == []
+    assert missing == ["knn_vectors"]         # approximate: its recall is tested in test_knn.py
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
