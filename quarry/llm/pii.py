@@ -10,6 +10,12 @@ apart and equal values linked, in whatever document or spelling they occur
 (separators stay where they are; the same day in two date formats becomes the
 same other day).  Check digits are recomputed, so pseudonyms validate again.
 
+Formats are chosen so that a pseudonym reads back as the same kind of value: a
+day is permuted among the days whose month and day have the same number of
+digits and whose day could be a month as well or not, so widths are kept and no
+pseudonym can stand for two days; secrets of digits alone keep to digits, those
+of hexadecimal digits have a letter before and after.
+
 One scan, no shuffle; whole texts.  Values are remembered per worker up to a
 bound.
 
@@ -18,14 +24,17 @@ are tried at their shorter ends, at the issuer's or country's length first.
 
 Edge cases: null text stays null, an empty text empty; numbers that fail
 their check at every end stay as they are; repeated rows are treated alike; a value whose
-format has a single member stays the same.
+format has a single member stays the same.  Left as they are by choice: days
+outside FIRST_YEAR to LAST_YEAR, and after a keyword words without a digit
+("token: internationalisation") or of under 12 characters.
 """
 
 from __future__ import annotations
 
-import datetime
 import hashlib
 import re
+from bisect import bisect_right
+from calendar import monthrange
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,8 +48,10 @@ from quarry.sources.tables import load
 #: default key of tests and of the query; a deployment passes its own secret
 KEY = b"quarry-pseudonym-key"
 ROUNDS = 10
-FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
-LAST_DAY = datetime.date(2099, 12, 31).toordinal()
+FIRST_YEAR, LAST_YEAR = 1900, 2099
+#: months of one and of two digits; days of one, of two that may be a month, others
+MONTHS = ((1, 9), (10, 12))
+DAYS = ((1, 9), (10, 12), (13, 31))
 
 
 class Feistel:
@@ -101,10 +112,33 @@ IBAN_LENGTHS = {c: n for n, cs in {
     22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
     25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
     29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in cs.split()}
+_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 #: characters without which no pattern can match
 _ANY = re.compile(r"[0-9@=:]|A[KS]IA")
 
 
+class Days:
+    """The days of FIRST_YEAR to LAST_YEAR in one class of MONTHS and DAYS,
+    numbered from 0."""
+
+    def __init__(self, months: tuple[int, int], days: tuple[int, int]):
+        self.low = days[0]
+        self.months, self.starts, self.size = [], [], 0
+        for year in range(FIRST_YEAR, LAST_YEAR + 1):
+            for month in range(months[0], months[1] + 1):
+                self.months.append((year, month))
+                self.starts.append(self.size)
+                self.size += min(days[1], monthrange(year, month)[1]) - days[0] + 1
+        self.place = {m: k for k, m in enumerate(self.months)}
+
+    def number(self, year: int, month: int, day: int) -> int:
+        return self.starts[self.place[year, month]] + day - self.low
+
+    def day(self, number: int) -> tuple[int, int, int]:
+        k = bisect_right(self.starts, number) - 1
+        return *self.months[k], number - self.starts[k] + self.low
+
+
 def luhn_sum(digits: str) -> int:
     total = 0
     for k, ch in enumerate(reversed(digits)):
@@ -124,6 +158,7 @@ class Pseudonyms:
 
     def __init__(self, key: bytes):
         self.net = Feistel(key)
+        self.days = {(m, d): Days(m, d) for m in MONTHS for d in DAYS}
 
     def _digits(self, digits: str, name: str) -> str:
         return str(self.net.permute(int(digits), 10 ** len(digits), name)).zfill(len(digits)) if digits else ""
@@ -155,9 +190,18 @@ class Pseudonyms:
     def hidden(self, s: str) -> str | None:
         if not any(ch.isdigit() for ch in s):
             return None
-        if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", s):       # hexadecimal stays hexadecimal, in its case
-            return format(self.net.permute(int(s, 16), 16 ** len(s), "hex"), f"0{len(s)}{'X' if s.isupper() else 'x'}")
-        return self._classes(s, "secret")
+        if s.isdigit():
+            return self._digits(s, "digits")
+        if _HEX.fullmatch(s):           # hexadecimal stays hexadecimal with a letter, in its case
+            value = int(s, 16)
+            while True:
+                value = self.net.permute(value, 16 ** len(s), "hex")
+                got = format(value, f"0{len(s)}{'X' if s.isupper() else 'x'}")
+                if not got.isdigit():
+                    return got
+        while _HEX.fullmatch(s := self._classes(s, "secret")):
+            pass
+        return s
 
     def access(self, s: str) -> str:
         return s[:4] + self._classes(s[4:], "access")
@@ -183,35 +227,33 @@ class Pseudonyms:
     def _mod97(s: str) -> int:
         return int("".join(str(int(ch, 36)) for ch in s)) % 97
 
-    def _day(self, day: datetime.date) -> datetime.date | None:
-        n = day.toordinal()
-        if not FIRST_DAY <= n <= LAST_DAY:
-            return None
-        return datetime.date.fromordinal(FIRST_DAY + self.net.permute(n - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "day"))
-
-    def _date(self, y: str, m: str, d: str) -> datetime.date | None:
-        try:
-            return self._day(datetime.date(int(y), int(m), int(d)))
-        except ValueError:
+    def _date(self, y: str, m: str, d: str) -> tuple[str, str, str] | None:
+        """Another day, its parts as wide as those given."""
+        year, month, day = int(y), int(m), int(d)
+        if not (FIRST_YEAR <= year <= LAST_YEAR and 1 <= month <= 12 and 1 <= day <= monthrange(year, month)[1]):
             return None
+        among = self.days[next(r for r in MONTHS if month <= r[1]), next(r for r in DAYS if day <= r[1])]
+        name = f"day {len(str(month))} {among.low}"
+        new = among.day(self.net.permute(among.number(year, month, day), among.size, name))
+        return tuple(str(n).zfill(len(old)) for n, old in zip(new, (y, m, d)))
 
     def iso(self, s: str) -> str | None:
         new = self._date(*s.split("-"))
-        return new and new.strftime("%Y-%m-%d")
+        return new and "-".join(new)
 
     def dot(self, s: str) -> str | None:
         d, m, y = s.split(".")
         new = self._date(y, m, d)
-        return new and f"{new.day:02d}.{new.month:02d}.{new.year}"
+        return new and ".".join(reversed(new))
 
     def slash(self, s: str) -> str | None:
         """Month first; day first where only that is a date."""
         a, b, y = s.split("/")
         if int(a) <= 12:
             new = self._date(y, a, b)
-            return new and f"{new.month:02d}/{new.day:02d}/{new.year}"
+            return new and f"{new[1]}/{new[2]}/{new[0]}"
         new = self._date(y, b, a)
-        return new and f"{new.day:02d}/{new.month:02d}/{new.year}"
+        return new and f"{new[2]}/{new[1]}/{new[0]}"
 
     def ip(self, s: str) -> str | None:
         parts = [int(x) for x in s.split(".")]
