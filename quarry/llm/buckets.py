@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import written
+
 
 def split_buckets(rows: DataFrame, member: str, size: int) -> DataFrame:
     """``rows`` (column ``key``, unique per (key, member)) of buckets with at
@@ -19,8 +21,11 @@ def split_buckets(rows: DataFrame, member: str, size: int) -> DataFrame:
 
     A bucket of n rows has ceil(n / size) pieces; a row goes to the groups
     (lo, hi) of its piece with every other.  Two rows of different pieces meet
-    in one group, two rows of one piece in the group (piece, piece)."""
-    counts = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    in one group, two rows of one piece in the group (piece, piece).
+
+    The counts are a table of their own: a join with an aggregate below it is
+    one that Spark does not split, so a hot key would reach one task whole."""
+    counts = written(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     n = F.expr(f"cast(ceil(n / {size}) as int)")
     piece = F.pmod(F.xxhash64(member), F.col("pieces")).cast("int")
     others = [c for c in rows.columns if c != "key"]

@@ -2,8 +2,8 @@
 
 Every distinct vector is scaled to unit length and turned by seeded random
 rotations.  The signs of the turned components are its binary code; with the
-code goes a correction factor f = <code, vector>, so that <code_x, y> / f_x is
-an unbiased estimate of <x, y> whose error is of the order
+code a correction factor f = <code, vector> is stored once per vector, so that
+<code_x, y> / f_x is an unbiased estimate of <x, y> whose error is of the order
 sqrt(1 / f^2 - 1) / sqrt(dimensions - 1).  Runs of code bits are also the keys
 of the bucket tables in which pairs meet.  The number of bits grows with the
 logarithm of the number of vectors (buckets stay of bounded mean size) and the
@@ -74,6 +74,11 @@ class Codes:
         signs = np.concatenate([unit @ t.T for t in self.turns], axis=1)[:, :self.bits * self.tables] > 0
         return signs.reshape(len(unit), self.tables, self.bits) @ (1 << np.arange(self.bits, dtype=np.int64))
 
+    def signs(self, packed: pa.ChunkedArray) -> np.ndarray:
+        """Stored codes as rows of +-1/sqrt(dim)."""
+        bits = np.frombuffer(b"".join(packed.to_pylist()), dtype=np.uint8).reshape(len(packed), -1)
+        return (np.unpackbits(bits, axis=1, count=self.dim) * 2.0 - 1) / math.sqrt(self.dim)
+
     def factors(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First rotation: turned vectors, codes (+-1/sqrt(dim)), factors."""
         turned = unit @ self.turns[0].T
@@ -96,14 +101,19 @@ def clean_vectors(table: DataFrame, id_col: str, vec_col: str) -> tuple[DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for v in b.column(1):
-                got = None
-                if v.is_valid and len(v.values) and not v.values.null_count:
-                    x = v.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                    if np.isfinite(x).all() and x.any():
-                        got = (x + 0.0).astype(kind).tobytes()      # -0.0 equals 0.0
-                out.append(got)
+            column = b.column(1)
+            size = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)       # a null component is a NaN
+            ends = np.cumsum(size)
+            starts = ends - size
+
+            def number(which: np.ndarray) -> np.ndarray:
+                total = np.append(0, np.cumsum(which))
+                return total[ends] - total[starts]
+
+            usable = (number(~np.isfinite(x)) == 0) & (number(x != 0) > 0)
+            raw, wide = (x + 0.0).astype(kind).tobytes(), np.dtype(kind).itemsize        # -0.0 equals 0.0
+            out = [raw[a:z] if ok else None for a, z, ok in zip((starts * wide).tolist(), (ends * wide).tolist(), usable.tolist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["vec_id", "vec"])
 
     return source.mapInArrow(run, f"vec_id {source.schema['vec_id'].dataType.simpleString()}, vec binary"), kind
@@ -114,18 +124,43 @@ def _matrix(column: pa.ChunkedArray | pa.Array, kind: str) -> np.ndarray:
     return np.frombuffer(joined, dtype=kind).reshape(len(column), -1).astype(np.float64)
 
 
+def by_dimension(batch: pa.RecordBatch, kind: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """The rows of every length of ``vec``, and their vectors."""
+    sizes = pa.compute.binary_length(batch.column("vec")).to_numpy(zero_copy_only=False)
+    for size in np.unique(sizes):
+        b = batch.filter(pa.array(sizes == size))
+        yield b, _matrix(b.column("vec"), kind)
+
+
+def coded(distinct: DataFrame, kind: str) -> DataFrame:
+    """``distinct`` with the code of every vector (the signs of the first
+    rotation, packed) and its correction factor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes: dict[int, Codes] = {}
+        for batch in batches:
+            for b, raw in by_dimension(batch, kind):
+                dim = raw.shape[1]
+                turned, _, f = codes.setdefault(dim, Codes(dim, 1, 1)).factors(unit_rows(raw))
+                signs = [row.tobytes() for row in np.packbits(turned > 0, axis=1)]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(signs, pa.binary()), pa.array(f)],
+                                                 names=[*b.schema.names, "code", "factor"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in distinct.schema.fields)
+    return distinct.mapInArrow(run, fields + ", code binary, factor double")
+
+
 def links(distinct: DataFrame, kind: str, n: int, threshold: float, recall: float,
           bucket_rows: int) -> DataFrame:
-    """Rows (a, b, w): a spanning forest (b set) and link counts (b null)."""
+    """Rows (a, b, w): a spanning forest (b set) and link counts (b null), of
+    the vectors of ``coded``."""
     bits, tables = plan(n, threshold, recall)
+    carried = ["uid", "copies", "vec", "code", "factor"]
 
     def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[int, Codes] = {}
         for batch in batches:
-            sizes = np.asarray([len(v) for v in batch.column(2).to_pylist()])
-            for size in np.unique(sizes):
-                b = batch.filter(pa.array(sizes == size))
-                raw = _matrix(b.column(2), kind)
+            for b, raw in by_dimension(batch, kind):
                 dim = raw.shape[1]
                 code = codes.setdefault(dim, Codes(dim, bits, tables))
                 keys = code.keys(unit_rows(raw))
@@ -133,19 +168,20 @@ def links(distinct: DataFrame, kind: str, n: int, threshold: float, recall: floa
                 keys |= (np.arange(tables, dtype=np.int64) << 30) | (np.int64(dim) << 44)
                 for t in range(tables):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[:, t]), *[b.column(c) for c in range(3)]], names=["key", "uid", "copies", "vec"])
+                        [pa.array(keys[:, t]), *[b.column(c) for c in carried]], names=["key", *carried])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[int, Codes] = {}
         for t, group in whole_groups(batches, 20_000):
-            key, lo, hi, piece, uid, copies = (t.column(c).to_numpy() for c in
-                                               ("key", "lo", "hi", "piece", "uid", "copies"))
+            key, lo, hi, piece, uid, copies, factor = (t.column(c).to_numpy() for c in
+                                                       ("key", "lo", "hi", "piece", "uid", "copies", "factor"))
             dims = key >> 44
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
                 code = codes.setdefault(int(dim), Codes(int(dim), bits, tables))
                 unit = unit_rows(_matrix(t.column("vec").take(pa.array(at)), kind))
-                turned, signs, f = code.factors(unit)
+                turned = unit @ code.turns[0].T
+                signs, f = code.signs(t.column("code").take(pa.array(at))), factor[at]
                 keys = code.keys(unit)
                 table = ((key[at] >> 30) & 0x3FFF).astype(np.int64)
                 spread = CONFIDENCE * np.sqrt(np.maximum(1 / f ** 2 - 1, 0)) / math.sqrt(max(dim - 1, 1))
@@ -175,7 +211,8 @@ def links(distinct: DataFrame, kind: str, n: int, threshold: float, recall: floa
                      pa.array([*own[b].tolist(), *[None] * len(some)], pa.int64()),
                      pa.array(np.concatenate([np.zeros(len(a), dtype=np.int64), weight[some]]))], names=["a", "b", "w"])
 
-    rows = distinct.select("uid", "copies", "vec").mapInArrow(key_rows, "key long, uid long, copies long, vec binary")
+    rows = distinct.select(*carried).mapInArrow(
+        key_rows, "key long, uid long, copies long, vec binary, code binary, factor double")
     return split_buckets(rows, "uid", bucket_rows).mapInArrow(search, "a long, b long, w long")
 
 
@@ -184,9 +221,9 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     """(vec_id, n_links, component_id, kept) for every row."""
     clean, kind = clean_vectors(table, id_col, vec_col)
     rows = written(clean, "vectors")
-    distinct = written(rows.where("vec is not null").groupBy("vec")
-                       .agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"))
-                       .withColumn("uid", F.monotonically_increasing_id()), "distinct")
+    classes = (rows.where("vec is not null").groupBy("vec").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"))
+               .withColumn("uid", F.monotonically_increasing_id()))
+    distinct = written(coded(classes, kind), "distinct")
     found = written(links(distinct, kind, distinct.count(), threshold, recall, bucket_rows), "links")
     label = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "uid")
     count = found.where("b is null").groupBy(F.col("a").alias("uid")).agg(F.sum("w").alias("others"))

@@ -6,8 +6,10 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quarry.llm import buckets, embedding_dedup, simhash
 from quarry.llm.components import components
@@ -158,6 +160,54 @@ def test_unbiased_estimate_and_bound():
     assert np.concatenate(inside).mean() > 0.999
 
 
+def test_stored_codes_and_factors(spark):
+    """What is stored with a vector is what its rotation gives."""
+    vecs = _vectors(4, 20, 3, 10) + [[1.0, -2.0, 0.5]]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(vecs)], "vec_id long, embedding array<float>")
+    clean, kind = embedding_dedup.clean_vectors(df, "vec_id", "embedding")
+    got = embedding_dedup.coded(clean, kind).collect()
+    assert len(got) == len(vecs)
+    for r in got:
+        dim = len(vecs[r.vec_id])
+        codes = embedding_dedup.Codes(dim, 8, 8)
+        x = embedding_dedup.unit_rows(np.asarray([vecs[r.vec_id]], dtype=np.float32).astype(float))
+        _, signs, f = codes.factors(x)
+        assert r.factor == pytest.approx(f[0])
+        assert (codes.signs(pa.chunked_array([pa.array([bytes(r.code)])])) == signs).all()
+
+
+def test_null_and_repeated_vector_ids(spark):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    df = spark.createDataFrame([(5, a), (5, a), (None, a), (7, b), (None, None)], "vec_id long, embedding array<float>")
+    got = sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in embedding_dedup.near_duplicates(df).collect())
+    assert got == [("5", 2, "5", True), ("5", 2, "5", True), ("7", 0, "7", True), ("None", 0, "None", False), ("None", 2, "5", False)]
+
+
+def test_hot_bucket_is_split_before_it_reaches_a_task(spark):
+    """One key with two thirds of the rows, joins never broadcast."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        rows = spark.range(n, numPartitions=8).select(
+            F.expr(f"if(id < {2 * n // 3}, -1, id % 5000)").cast("long").alias("key"), F.xxhash64("id").alias("fp"))
+        out = buckets.split_buckets(rows, "fp", 2_000)
+        got = out.groupBy("key", "lo", "hi").count().collect()
+        plan = out._jdf.queryExecution().executedPlan()
+        out.collect()
+        assert "skew=true" in plan.toString()
+        assert max(r["count"] for r in got) < 5_000
+        assert sum(r["count"] for r in got if r.key == -1 and r.lo == r.hi) == 2 * n // 3
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_embeddings_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.near_duplicates(df).collect() == []
