@@ -23,15 +23,19 @@
    common subsequence of the item's content words must cover ``lcs`` of them,
    or, for paraphrases, ``lcs_paraphrase`` of them while the answer (the item's
    last sentence) has most of its content words there too.
+5. Items shorter than a window fill too little of it for a sure cosine, so
+   they are also sought word for word: runs of as many words as the item has,
+   by a rolling hash, compared word by word.  Such finds carry 1.0 as cosine,
+   lcs and answer.  Items under MIN_WORDS words are sought in this way only.
 
 Items are a stated query set; they are worked on in blocks of ``item_block``
 items against all passages, so their number is not limited and what a block
 sends to the tasks is bounded.
 
 Edge cases: null and empty texts and items have no words and never match;
-repeated rows are matched each; very short items (fewer than ``min_words``
-words) are ignored, since nothing tells a leak from chance; an empty benchmark
-or corpus gives an empty result.
+repeated documents are matched each, repeated items count once; an item of one
+word is in every document that has the word (``min_words`` leaves out items
+under that many words); an empty benchmark or corpus gives an empty result.
 """
 
 from __future__ import annotations
@@ -59,6 +63,7 @@ MIN_SHARED = 3
 LCS = 0.7
 LCS_PARAPHRASE = 0.5
 ANSWER = 0.5
+#: items of fewer words are sought word for word only
 MIN_WORDS = 5
 ITEM_BLOCK = 500
 #: words in more than this share of documents are not content words
@@ -120,6 +125,57 @@ def _inside(h: np.ndarray, sizes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return out
 
 
+class WordRuns:
+    """Finds whole items, given as word hashes, in documents end to end."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, items: list[list[int]]):
+        self.items = items
+        self.powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+        self.steps = [np.uint64(self.BASE), np.uint64(pow(self.BASE, -1, 1 << 64))]
+        self.first = np.unique(np.asarray([w[0] for w in items], dtype=np.uint32))
+        self.marks = np.zeros(1 << 16, dtype=bool)
+        self.marks[self.first & 0xFFFF] = True
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in sorted({len(w) for w in items}):
+            own = np.asarray([k for k, w in enumerate(items) if len(w) == size])
+            codes = np.asarray([self._sums(np.asarray(items[k], dtype=np.uint64))[-1] for k in own], dtype=np.uint64)
+            order = np.argsort(codes, kind="stable")
+            self.by_size[size] = codes[order], own[order]
+
+    def _power(self, side: int, n: int) -> np.ndarray:
+        """Powers 0 .. n-1 of the base, or of its inverse, modulo 2^64."""
+        if len(self.powers[side]) < n:
+            steps = np.full(max(n, 2 * len(self.powers[side])), self.steps[side])
+            steps[0] = 1
+            self.powers[side] = np.cumprod(steps)
+        return self.powers[side][:n]
+
+    def _sums(self, h: np.ndarray) -> np.ndarray:
+        return np.append(np.uint64(0), np.cumsum(h.astype(np.uint64) * self._power(0, len(h))))
+
+    def find(self, h: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(document, place in it, item) of every run that is an item."""
+        at = np.flatnonzero(self.marks[h & np.uint32(0xFFFF)]) if self.items else np.zeros(0, dtype=np.int64)
+        at = at[np.isin(h[at], self.first)]
+        if not len(at):
+            return
+        ends = np.cumsum(sizes)
+        doc = np.searchsorted(ends, at, side="right")
+        sums, back = self._sums(h), self._power(1, len(h))
+        for size, (codes, own) in self.by_size.items():
+            inside = at + size <= ends[doc]
+            place, d = at[inside], doc[inside]
+            code = (sums[place + size] - sums[place]) * back[place]
+            lo, hi = np.searchsorted(codes, code), np.searchsorted(codes, code, side="right")
+            for k in np.flatnonzero(hi > lo).tolist():
+                run = h[place[k]:place[k] + size].tolist()
+                for i in own[lo[k]:hi[k]].tolist():
+                    if self.items[i] == run:
+                        yield int(d[k]), int(place[k] - ends[d[k]] + sizes[d[k]]), i
+
+
 def frequencies(table: DataFrame, bits: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
     """Number of documents with words; documents per dimension, counting words
     outside the runs of the benchmark and counting all."""
@@ -246,12 +302,13 @@ class Item:
     def __init__(self, key, text: str, common: np.ndarray, kept: np.ndarray):
         self.key, self.common = key, common
         self.words = word_hashes([text], Powers())[0].tolist()
+        self.latent = len(self.words) >= MIN_WORDS
         content = [w for w in self.words if not common[w % DIMS]]
         if len(content) < MIN_WORDS:
             content = self.words
         self.n = len(content)
         # hot: most content words are common but for the item's own passages
-        self.hot = 2 * sum(bool(kept[w % DIMS]) for w in content) >= self.n > 0
+        self.hot = self.latent and 2 * sum(bool(kept[w % DIMS]) for w in content) >= self.n > 0
         # a matched half, spread over its own length, leaves this much in some window
         self.need = max(MIN_SHARED, int(self.n * LCS_PARAPHRASE * min(1, 2 * BLOCK / len(self.words)) / 2)) if self.words else 0
         self.masks: dict[int, int] = {}
@@ -261,7 +318,10 @@ class Item:
         self.answer = chosen.intersection(word_hashes([_answer(text)], Powers())[0].tolist())
 
     def passages(self) -> np.ndarray:
-        """Content dimensions of the item's windows, filled up with DIMS."""
+        """Content dimensions of the item's windows, filled up with DIMS (none
+        of an item that is sought word for word only)."""
+        if not self.latent:
+            return np.full((1, 2 * BLOCK), DIMS, dtype=np.int64)
         h = np.asarray(self.words, dtype=np.int64)
         size = 2 * BLOCK
         starts = sorted({*range(0, max(1, len(h) - size + 1), BLOCK), max(0, len(h) - size)})
@@ -309,6 +369,7 @@ def search(table: DataFrame, items: list[Item], rows: np.ndarray, common: np.nda
         return i, hot[k]
 
     first_window = np.searchsorted(owner, np.arange(len(items)))
+    short = [k for k, i in enumerate(items) if len(i.words) < 2 * BLOCK]
 
     def verify(item: Item, near: list[int]) -> tuple[float, float] | None:
         got = common_subsequence(item.masks, item.n, near) / item.n
@@ -318,6 +379,7 @@ def search(table: DataFrame, items: list[Item], rows: np.ndarray, common: np.nda
         return (got, there) if got >= lcs or there >= answer else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        exact = WordRuns([items[k].words for k in short])
         for b in batches:
             at_row, found = [], []
             for at in range(0, b.num_rows if items else 0, 500):
@@ -330,6 +392,8 @@ def search(table: DataFrame, items: list[Item], rows: np.ndarray, common: np.nda
                 follows = np.append(doc[1:] == doc[:-1], False)
                 passage = np.flatnonzero(follows | (number == 0))
                 best: dict[tuple[int, int], tuple] = {}
+                for d, w, k in exact.find(h, sizes):
+                    best.setdefault((int(np.searchsorted(who, d)), short[k]), (w, 1.0, 1.0, 1.0))
                 for s in range(0, len(passage), 4096):
                     x = passage[s:s + 4096]
                     lo, n = x[0], x[-1] + 2 - x[0]
@@ -375,12 +439,13 @@ def search(table: DataFrame, items: list[Item], rows: np.ndarray, common: np.nda
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", rank: int = RANK, cosine: float = COSINE, lcs: float = LCS,
-          lcs_paraphrase: float = LCS_PARAPHRASE, answer: float = ANSWER, item_block: int = ITEM_BLOCK) -> DataFrame:
+          lcs_paraphrase: float = LCS_PARAPHRASE, answer: float = ANSWER, item_block: int = ITEM_BLOCK,
+          min_words: int = 1) -> DataFrame:
     """(doc_id, item_id, passage, cosine, lcs, answer) of contaminated pairs;
     ``passage`` is the first word of the matched passage."""
     spark = docs.sparkSession
     table = written(hashed(docs, id_col, text_col), "words")
-    queries = benchmark.select(F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text_col}`").cast("string").alias("t")).where("t is not null")
+    queries = benchmark.select(F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text_col}`").cast("string").alias("t")).where("t is not null").distinct()
     blocks = max(1, -(-queries.count() // item_block))
 
     def block(k: int) -> list:
@@ -395,7 +460,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     rows = vectors / np.where(values == 0, 1, values) * idf[:, None]        # whitened: no topic outweighs the rest
     found = None
     for k in range(blocks):
-        items = [i for i in (Item(r.item_id, r.t, common, kept) for r in block(k)) if len(i.words) >= MIN_WORDS]
+        items = [i for i in (Item(r.item_id, r.t, common, kept) for r in block(k)) if len(i.words) >= max(1, min_words)]
         names = spark.createDataFrame([(p, i.key) for p, i in enumerate(items)],
                                       f"item int, item_id {queries.schema['item_id'].dataType.simpleString()}")
         hits = search(table, items, rows, common, cosine, lcs, lcs_paraphrase, answer).join(F.broadcast(names), "item")

@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -96,6 +97,54 @@ def test_items_in_a_third_of_the_documents(spark):
     assert got <= {(d, k) for d, t in enumerate(texts) for k in range(6) if lcs(a[k], words(t)) >= 0.5 * len(a[k])}
 
 
+def _plain_runs(texts: list, items: list[str]) -> set[tuple[int, int]]:
+    found = set()
+    for d, t in enumerate(texts):
+        ws = words(t or "")
+        for k, item in enumerate(items):
+            want = words(item)
+            if want and any(ws[s:s + len(want)] == want for s in range(len(ws) - len(want) + 1)):
+                found.add((d, k))
+    return found
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), min_size=1, max_size=6), max_size=6), st.lists(st.lists(st.integers(0, 4), max_size=20), min_size=1, max_size=6))
+def test_word_runs_against_plain_search(items, docs):
+    runs = decontamination.WordRuns(items)
+    h = np.asarray([w for d in docs for w in d], dtype=np.uint32)
+    got = sorted(runs.find(h, np.asarray([len(d) for d in docs], dtype=np.int64))) if len(h) else []
+    want = sorted((d, s, k) for d, ws in enumerate(docs) for k, item in enumerate(items)
+                  for s in range(len(ws) - len(item) + 1) if ws[s:s + len(item)] == item)
+    assert got == want
+
+
+def test_items_of_one_to_forty_words_are_found_word_for_word(spark):
+    """Recall 1 at every length against a plain search; repeated items count once."""
+    rng = random.Random(41)
+    mark = lambda k, n: " ".join([f"q{k}x{j}" if j % 2 == 0 else prose(rng, 1) for j in range(n)])
+    items = [mark(n, n) for n in range(1, 16)] + [mark(n, n) for n in (20, 31, 32, 40)] + [mark(1, 3)]
+    texts = list(ODD_TEXTS) + [prose(rng, rng.randint(0, 80)) for _ in range(60)]
+    for k, item in enumerate(items):
+        for _ in range(8):
+            body = prose(rng, rng.randint(0, 90)).split()
+            at = rng.randint(0, len(body))
+            body[at:at] = item.upper().split()
+            texts.append(" ".join(body))
+    bench = spark.createDataFrame([*enumerate(items), (0, items[0]), (19, items[19]), (50, "never anywhere")], "item_id long, text string")
+    rows = decontamination.leaks(documents(spark, texts, extra=False), bench).collect()
+    got = [(r.doc_id, r.item_id) for r in rows]
+    want = _plain_runs(texts, items)
+    assert len(got) == len(set(got)) and want <= set(got)
+    assert {p for p in got if p[1] < 4} == {p for p in want if p[1] < 4}        # under five words: word for word only
+    for r in rows:
+        if r.item_id < 4:
+            n = len(words(items[r.item_id]))
+            assert words(texts[r.doc_id])[r.passage:r.passage + n] == words(items[r.item_id])
+    few = decontamination.leaks(documents(spark, texts, extra=False), bench, min_words=3).collect()
+    assert {(r.doc_id, r.item_id) for r in few} == {p for p in got if p[1] not in (0, 1)}
+
+
 def test_leaks_empty(spark, leaked):
     docs, bench, *_ = leaked
     assert decontamination.leaks(empty(spark), bench).collect() == []
