@@ -131,14 +131,15 @@ def crc_mod(column: str, mod: int):
     return F.coalesce(F.crc32(F.col(f"`{column}`").cast("string").cast("binary")) % mod, F.lit(0))
 
 
-def hash_sample(df: DataFrame, column: str, most: int, seed: int) -> DataFrame:
-    """About ``most`` rows chosen by a hash of ``column`` (all, if fewer):
-    the same rows whatever the partitioning."""
+def hash_sample(df: DataFrame, columns: list[str], most: int, seed: int) -> DataFrame:
+    """About ``most`` rows chosen by a hash of ``columns`` (all, if fewer): the
+    same rows whatever the partitioning.  Rows that are equal in ``columns``
+    stay or go together, so they should count once afterwards."""
     n = df.count()
     if n <= most:
         return df
     keep = int(most / n * (1 << 31))
-    return df.where(F.pmod(F.xxhash64(F.col(f"`{column}`"), F.lit(seed)), F.lit(1 << 31)) < keep)
+    return df.where(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns], F.lit(seed)), F.lit(1 << 31)) < keep)
 
 
 def text_last(docs: DataFrame, text_col: str) -> tuple[DataFrame, list]:

@@ -13,6 +13,9 @@ the unlabelled to the positive share above a score, with a confidence margin
 with the logistic loss; where the second part turns negative, its gradient is
 reversed, which keeps the fit from explaining unlabelled positives away.
 
+Both samples are bounded in rows: a labelled id counts once, and unlabelled
+rows are diced by id and text, equal ones counting once.
+
 The weights (a few hundred numbers) go to the tasks that score; scoring is one
 scan of whole texts without a shuffle.
 
@@ -161,9 +164,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", positive_r
     """(binner, weights, bias, class prior), or a constant score (float)."""
     positive = labelled_sample(docs, labels, label, positive_rows, only=1, id_col=id_col, text_col=text_col)
     learning = docs.where(F.col(f"`{id_col}`").isNotNull() & (crc_mod(id_col, FOLDS) != 0))
-    web = hash_sample(learning, id_col, unlabelled_rows, 11)
-    get = lambda df: np.asarray(describe(df, None, text_col).toArrow().column("x").to_pylist(), dtype=np.float32)
-    xp, xu = get(positive.select(F.col("text").alias(text_col))), get(web)
+    web = describe(hash_sample(learning, [id_col, text_col], unlabelled_rows, 11), id_col, text_col).distinct()
+    get = lambda df: np.asarray(df.select("x").toArrow().column("x").to_pylist(), dtype=np.float32)
+    xp, xu = get(describe(positive, None, "text")), get(web.orderBy("doc_id", "x"))
     if not len(xp):
         return 0.0
     if not len(xu):

@@ -28,7 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Memo, bounded_batches, crc_mod, ddl, pick, stable_hash, text_chunks, text_last, token_words, words
+from quarry.llm.common import (
+    Memo, bounded_batches, crc_mod, ddl, hash_sample, pick, stable_hash, text_chunks, text_last, token_words, words, written,
+)
 from quarry.llm.labelled import labelled_sample
 from quarry.sources.tables import load
 
@@ -39,6 +41,8 @@ MIN_DOCS = 3
 L1 = 2e-4
 L2 = 1e-5
 COUNTERFACTUAL = 1.0
+#: bound on the different counterfactual changes of the fit
+COUNTERFACTUAL_ROWS = 200_000
 STEPS = 400
 #: one in this many sentences without an identity term gets a mention inserted
 INSERT_EVERY = 16
@@ -149,7 +153,7 @@ def training_rows(sample: DataFrame, chosen: list[int]) -> DataFrame:
                 feats.append([place[f] for f in text_features(words(t), memo) if f in place])
                 for a, b in counterfactuals(t):
                     fa, fb = text_features(a, memo), text_features(b, memo)
-                    diff = ([place[f] + 1 for f in fb - fa if f in place] + [-place[f] - 1 for f in fa - fb if f in place])
+                    diff = sorted([place[f] + 1 for f in fb - fa if f in place] + [-place[f] - 1 for f in fa - fb if f in place])
                     if diff:
                         kinds.append(2)
                         feats.append(diff)
@@ -158,11 +162,21 @@ def training_rows(sample: DataFrame, chosen: list[int]) -> DataFrame:
     return sample.mapInArrow(rows, "kind int, f array<int>")
 
 
+def fit_rows(sample: DataFrame, chosen: list[int], most: int) -> DataFrame:
+    """``training_rows`` with equal counterfactual changes as one row (``n`` of
+    them), of which about ``most`` are chosen by hash if there are more."""
+    rows = written(training_rows(sample, chosen), "fit_rows")
+    changes = written(rows.where("kind = 2").groupBy("f").agg(F.count("*").alias("n")), "changes")
+    return rows.where("kind < 2").select("kind", "f", F.lit(1).cast("long").alias("n")).unionByName(
+        hash_sample(changes, ["f"], most, 5).select(F.lit(2).alias("kind"), "f", "n").orderBy("f"))
+
+
 class Sparse:
-    """Rows of (feature, value) lists as flat arrays."""
+    """Rows of (feature, value) lists as flat arrays; ``mass`` rows in all."""
 
-    def __init__(self, lists: list[np.ndarray], values: list[np.ndarray] | None, width: int):
+    def __init__(self, lists: list[np.ndarray], values: list[np.ndarray] | None, width: int, mass: int | None = None):
         self.n, self.width = len(lists), width
+        self.mass = self.n if mass is None else mass
         sizes = np.asarray([len(x) for x in lists], dtype=np.int64)
         self.row = np.repeat(np.arange(self.n), sizes)
         self.col = np.concatenate(lists).astype(np.int64) if len(lists) else np.empty(0, dtype=np.int64)
@@ -184,7 +198,7 @@ def fit(x: Sparse, y: np.ndarray, cf: Sparse, l1: float, l2: float, counterfactu
     sizes = np.bincount(x.row, minlength=x.n) + 1
     lip = 0.25 * float((weight * sizes).sum()) + 2 * l2
     if cf.n:
-        lip += 2 * counterfactual * float((np.bincount(cf.row, weights=cf.val ** 2, minlength=cf.n)).mean())
+        lip += 2 * counterfactual * float((np.bincount(cf.row, weights=cf.val ** 2, minlength=cf.n)).sum() / cf.mass)
     step = 1 / lip
     w, b = np.zeros(x.width), 0.0
     vw, vb, t = w, b, 1.0
@@ -193,7 +207,7 @@ def fit(x: Sparse, y: np.ndarray, cf: Sparse, l1: float, l2: float, counterfactu
         r = weight * (p - y)
         gw, gb = x.t_dot(r) + 2 * l2 * vw, r.sum()
         if cf.n:
-            gw = gw + 2 * counterfactual / cf.n * cf.t_dot(cf.dot(vw))
+            gw = gw + 2 * counterfactual / cf.mass * cf.t_dot(cf.dot(vw))
         nw = vw - step * gw
         nw = np.sign(nw) * np.maximum(np.abs(nw) - step * l1, 0)
         nb = vb - step * gb
@@ -205,7 +219,8 @@ def fit(x: Sparse, y: np.ndarray, cf: Sparse, l1: float, l2: float, counterfactu
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_rows: int = TRAIN_ROWS,
           features: int = FEATURES, min_docs: int = MIN_DOCS, l1: float = L1, l2: float = L2,
-          counterfactual: float = COUNTERFACTUAL, steps: int = STEPS) -> tuple[dict[int, float], float]:
+          counterfactual: float = COUNTERFACTUAL, steps: int = STEPS,
+          counterfactual_rows: int = COUNTERFACTUAL_ROWS) -> tuple[dict[int, float], float]:
     """Weights by feature hash (non-zero ones) and the bias."""
     sample = labelled_sample(docs, labels, label, train_rows)
     size = {r.label: r.n for r in sample.groupBy((F.col("label") == 1).cast("int").alias("label")).agg(F.count("*").alias("n")).collect()}
@@ -214,13 +229,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_rows:
         share = n_pos / max(n_pos + n_neg, 1)
         return {}, math.log((share + 1e-3) / (1 - share + 1e-3))
     chosen = choose_features(sample, n_pos, n_neg, features, min_docs)
-    got = training_rows(sample, chosen).toArrow()
+    got = fit_rows(sample, chosen, counterfactual_rows).toArrow()
     kind = got.column("kind").to_numpy()
     lists = [np.asarray(v, dtype=np.int64) for v in got.column("f").to_pylist()]
     rows = [v for k, v in zip(kind, lists) if k < 2]
     swaps = [v for k, v in zip(kind, lists) if k == 2]
+    times = got.column("n").to_numpy()[kind == 2]
     x = Sparse(rows, None, len(chosen))
-    cf = Sparse([np.abs(v) - 1 for v in swaps], [np.sign(v) for v in swaps], len(chosen))
+    cf = Sparse([np.abs(v) - 1 for v in swaps], [np.sign(v) * root for v, root in zip(swaps, np.sqrt(times))], len(chosen), int(times.sum()))
     w, b = fit(x, (kind[kind < 2] == 1).astype(float), cf, l1, l2, counterfactual, steps)
     return {chosen[k]: float(w[k]) for k in np.flatnonzero(w)}, b
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -9,6 +10,8 @@ import numpy as np
 import pytest
 
 from quarry.llm import language, quality, toxicity
+from quarry.llm.common import Memo
+from quarry.llm.labelled import labelled_sample
 from tests.llm.helpers import ODD_TEXTS, documents, empty, prose
 
 INSULTS = ["grubnik", "grubnikal", "vorplax", "vorplaxo", "zimtook"]
@@ -189,3 +192,48 @@ def test_language_row_bound_holds_for_one_id(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     learning = language.learning_rows(docs, "doc_id", "text", "lang", 4, 2)
     assert language.training_sample(learning, 1000).where("lang = 'xx'").count() <= 1
+
+
+def test_labelled_row_bound_holds_for_one_id(spark):
+    """An id that most rows share counts once, with the same one of its texts
+    however the rows are dealt."""
+    own = next(i for i in range(100) if fold(i, 5))
+    rows = [(own, f"text number {k} of {k % 700}") for k in range(3000)] + [(i, f"own text of {i}") for i in range(100, 160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in {r[0] for r in rows}], "doc_id long, quality int")
+    got = [sorted(tuple(r) for r in labelled_sample(docs.repartition(n), labels, "quality", 1000).collect()) for n in (1, 7)]
+    assert got[0] == got[1] and len(got[0]) == 1 + sum(1 for i in range(100, 160) if fold(i, 5))
+    assert sum("text number" in t for _, t in got[0]) == 1
+
+
+def test_quality_unlabelled_rows_of_one_id_are_bounded(spark, monkeypatch):
+    own = next(i for i in range(100) if fold(i, 5))
+    rng = random.Random(3)
+    rows = [(own, prose(rng, 30)) for _ in range(2000)] + [(own, "one text that is repeated")] * 2000
+    docs = spark.createDataFrame(rows + [(i, prose(rng, 40)) for i in range(200, 240)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, 1) for i in range(200, 240)], "doc_id long, quality int")
+    seen = []
+    real = quality.fit_nnpu
+    monkeypatch.setattr(quality, "fit_nnpu", lambda pos, unl, *a: seen.append(len(unl)) or real(pos, unl, *a))
+    quality.train(docs, labels, unlabelled_rows=100)
+    assert 20 <= max(seen) <= 200
+
+
+def test_counterfactual_rows_are_summed_and_bounded(spark, corpus):
+    sample = spark.createDataFrame([(k % 2, "women like grubnik apples. men like pears") for k in range(50)]
+                                   + [(0, f"women like {w}") for w in prose(random.Random(5), 300).split()], "label int, text string")
+    chosen = sorted({f for r in sample.collect() for f in toxicity.text_features(toxicity.words(r.text), Memo(toxicity.word_features))})
+    plain = toxicity.training_rows(sample, chosen).where("kind = 2").collect()
+    rows = toxicity.fit_rows(sample, chosen, 10_000).where("kind = 2").collect()
+    assert sum(r.n for r in rows) == len(plain) and len(rows) == len({tuple(r.f) for r in plain})
+    assert toxicity.fit_rows(sample, chosen, 1).where("kind = 2").count() < len(rows)
+    assert toxicity.fit_rows(sample, chosen, 1).where("kind < 2").count() == sample.count()
+
+    def sparse(got, times):
+        fs = [np.asarray(r.f, dtype=np.int64) for r in got]
+        return toxicity.Sparse([np.abs(f) - 1 for f in fs], [np.sign(f) * math.sqrt(n) for f, n in zip(fs, times)], len(chosen), sum(times))
+    y = np.asarray([0.0, 1.0, 0.0, 1.0])
+    x = toxicity.Sparse([np.asarray([0, 1]), np.asarray([2]), np.asarray([0, 3]), np.asarray([1, 2])], None, len(chosen))
+    one, _ = toxicity.fit(x, y, sparse(plain, [1] * len(plain)), 1e-4, 1e-5, 1.0, 50)
+    two, _ = toxicity.fit(x, y, sparse(rows, [r.n for r in rows]), 1e-4, 1e-5, 1.0, 50)
+    assert np.allclose(one, two)
