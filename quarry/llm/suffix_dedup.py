@@ -9,24 +9,27 @@ substring of least hash (the leftmost of equals), so equal windows have equal
 anchors at equal places.  Maximal runs of windows with one anchor are
 "pieces": strings of at most 2 * length - k bytes, the short documents whose
 collection is indexed.  Pieces whose anchor occurs once can hold no repeat and
-are left out; equal pieces (same anchor, same 64-bit digest) are inserted once,
-with the first of their occurrences, since all later ones repeat it entirely.
-
-*Construction.*  Pieces come to the tasks by anchor.  A task takes blocks of
-whole anchor groups, lays their pieces out as columns relative to the anchor
-and goes through the columns from right to left: each round inserts one symbol
-of every piece.  The symbols in the order of the suffixes so far are the
-round's segment of the Burrows-Wheeler transform; its stable sort by symbol
-gives the order of the extended suffixes, and the common prefix of neighbours
-grows by one or falls to zero, by range minima over the previous round's
-array.  Runs of common prefixes of at least ``length`` are equal windows, and
-all but the earliest of them are repeats.  What the method keeps in sequential
-external files (columns in, segments out) are here Spark's tables and shuffle
-files; a task holds one block, of bounded size.
-
-*Hot anchors.*  An anchor that occurs more than ``group_rows`` times is not
-given to one task: its windows are exploded and grouped by their bytes, with
-partial aggregation.  (Copies within a segment are collapsed before.)
+are left out; every other piece is inserted, copies too.
+
+*Construction.*  Pieces come to the tasks by anchor, with their bytes.  A task
+takes blocks of whole anchor groups, lays their pieces out as columns relative
+to the anchor and goes through the columns from right to left: each round
+inserts one symbol of every piece.  The symbols in the order of the suffixes so
+far are the round's segment of the Burrows-Wheeler transform; its stable sort by
+symbol gives the order of the extended suffixes, and the common prefix of
+neighbours grows by one or falls to zero, by range minima over the previous
+round's array.  Runs of common prefixes of at least ``length`` are equal
+windows, and all but the earliest of them are repeats: no hash decides what is
+equal.  What the method keeps in sequential external files (columns in, segments
+out) are here Spark's shuffle files, sorted by anchor and read through once; a
+task holds one block, of bounded size, in memory.
+
+*Hot anchors.*  The pieces of an anchor that occurs more than ``group_rows``
+times are first collapsed by their bytes, with partial aggregation: the first
+piece of each class stands for all, later ones repeat it entirely.  What is left
+is inserted like any piece; only an anchor with more than ``group_rows``
+different pieces is not given to one task, and its windows are exploded and
+grouped by their bytes.
 
 The filters sent to the tasks are bit maps of fixed size (``filter_bits``);
 a fuller one only prunes less.
@@ -56,6 +59,7 @@ GROUP_ROWS = 50_000
 BLOCK_ROWS = 20_000
 FILTER_BITS = 27
 SEGMENT = 2 << 20
+PIECE = ["anchor", "did", "h", "start", "off", "bytes"]
 
 
 class Pieces:
@@ -87,8 +91,6 @@ class Pieces:
         self.n = np.diff(np.append(first, len(starts)))             # windows
         self.off = anchor_at[first] - self.at
         self.anchor = grams[anchor_at[first]]
-        stop = self.at + self.n + length - 1
-        self.digest = scramble((prefix[stop] - prefix[self.at]) * up[self.at]) + self.n.astype(np.uint64)
 
 
 def segments(texts: list[str | None], length: int):
@@ -166,11 +168,6 @@ def in_map(bits_of: np.ndarray, bits: int, key: np.ndarray) -> np.ndarray:
     return (bits_of[pos >> 3] >> (7 - (pos & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _place_key(digest: np.ndarray, h: np.ndarray, did: np.ndarray, start: np.ndarray) -> np.ndarray:
-    u = lambda x: x.astype(np.int64).view(np.uint64)
-    return digest ^ u(h) ^ u(did) ^ (u(start) << np.uint64(11))
-
-
 def anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
     """(anchor, n): occurrences of anchors, summed per segment already."""
 
@@ -182,112 +179,39 @@ def anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
     return docs.mapInArrow(run, "anchor long, n long")
 
 
-PIECE, HOT_PIECE, SPAN = 0, 1, 2
-ROW = "kind int, key long, digest long, did long, h long, start long, stop long"
-
-
-def _rows(kind: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), *[pa.array(c) for c in columns]],
-                                      names=[c.split()[0] for c in ROW.split(", ")])
-
-
-def _later(group: np.ndarray, did: np.ndarray, h: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of sorted rows with class starts ``group``: the first of each class, and
-    the others that are not the very same place (a repeated row) again."""
-    first = np.flatnonzero(group)
-    lead = first[np.cumsum(group) - 1] if len(group) else first
-    return first, np.flatnonzero((did != did[lead]) | (h != h[lead]) | (start != start[lead]))
-
-
-def occurrences(docs: DataFrame, maps, bits: int, length: int, k: int) -> DataFrame:
-    """Pieces with a repeated anchor (key: the anchor): the first of each class
-    per segment; the others as spans to remove (key: spread evenly)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, hot = (np.frombuffer(m, dtype=np.uint8) for m in maps.value)
-        for p, _, did, h in _pieces(batches, length, k):
-            at = np.flatnonzero(in_map(wanted, bits, p.anchor))
-            at = at[np.lexsort((p.start[at], h[at], did[at], p.digest[at], p.anchor[at]))]
-            new = np.ones(len(at), dtype=bool)
-            new[1:] = (p.anchor[at][1:] != p.anchor[at][:-1]) | (p.digest[at][1:] != p.digest[at][:-1])
-            first, more = _later(new, did[at], h[at], p.start[at])
-            one, more = at[first], at[more]
-            # spans of later copies, joined per document where they touch
-            more = more[np.lexsort((p.start[more], h[more], did[more]))]
-            begin, end = p.start[more], p.start[more] + p.n[more] + length - 1
-            cut = np.ones(len(more), dtype=bool)
-            cut[1:] = (did[more][1:] != did[more][:-1]) | (h[more][1:] != h[more][:-1]) | (begin[1:] > end[:-1])
-            to = np.flatnonzero(cut)
-            lead, stop = more[to], np.maximum.reduceat(end, to) if len(to) else end
-            both = np.concatenate([one, lead])
-            kind = np.concatenate([np.where(in_map(hot, bits, p.anchor[one]), HOT_PIECE, PIECE), np.full(len(lead), SPAN)])
-            key = np.concatenate([p.anchor[one], p.digest[lead]]).view(np.int64)
-            yield _rows(kind, key, p.digest[both].view(np.int64), did[both], h[both], p.start[both],
-                        np.concatenate([p.start[one] + p.n[one] + length - 1, stop]))
-
-    return docs.mapInArrow(run, ROW)
-
-
-def settled(rows: DataFrame, block_rows: int) -> DataFrame:
-    """One pass over pieces sorted by anchor and class: later members of a
-    class become spans, the first members of anchors with several classes stay
-    pieces, and those of anchors with one class go.  An anchor that is not hot
-    has at most ``group_rows`` pieces, so a task holds whole groups."""
-    columns = [c.split()[0] for c in ROW.split(", ")]
-
-    def settle(t: dict[str, np.ndarray]) -> pa.RecordBatch:
-        key, digest = t["key"], t["digest"]
-        new_key = np.append(True, key[1:] != key[:-1])
-        new = new_key | np.append(True, digest[1:] != digest[:-1])
-        first, later = _later(new, t["did"], t["h"], t["start"])
-        group = np.cumsum(new_key) - 1
-        stay = first[np.bincount(group[first])[group[first]] > 1]
-        both = np.concatenate([stay, later])
-        kind = np.concatenate([np.full(len(stay), PIECE), np.full(len(later), SPAN)])
-        return _rows(kind, *[t[c][both] for c in columns[1:]])
+def pieces(docs: DataFrame, maps, bits: int, length: int, k: int, hot: bool) -> DataFrame:
+    """Pieces with a repeated anchor, hot or not, with their bytes.  The few
+    others that the maps let through are pieces like any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for b in batches:
-            kind = b.column(0).to_numpy()
-            if (kind != PIECE).any():
-                yield b.filter(pa.array(kind != PIECE))
-            b = b.filter(pa.array(kind == PIECE))
-            if not b.num_rows:
-                continue
-            held.append({c: b.column(i).to_numpy() for i, c in enumerate(columns)})
-            n += b.num_rows
-            if n >= block_rows:
-                t = {c: np.concatenate([x[c] for x in held]) for c in columns}
-                cut = int(np.searchsorted(t["key"], t["key"][-1]))       # the last group may go on
-                if cut:
-                    yield settle({c: x[:cut] for c, x in t.items()})
-                held, n = [{c: x[cut:] for c, x in t.items()}], n - cut
-        if n:
-            yield settle({c: np.concatenate([x[c] for x in held]) for c in columns})
-
-    order = ["key", "digest", "did", "h", "start"]
-    return rows.repartition("key").sortWithinPartitions(*order).mapInArrow(run, ROW)
-
-
-def piece_bytes(docs: DataFrame, maps, hot, bits: int, length: int, k: int) -> DataFrame:
-    """Pieces at the places of the bit map, with their bytes.  The few others
-    that the map lets through are occurrences like any."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, is_hot = np.frombuffer(maps.value, dtype=np.uint8), np.frombuffer(hot.value[1], dtype=np.uint8)
+        repeated, often = (np.frombuffer(m, dtype=np.uint8) for m in maps.value)
         for p, data, did, h in _pieces(batches, length, k):
-            at = np.flatnonzero(in_map(wanted, bits, _place_key(p.digest, h, did, p.start)))
+            at = np.flatnonzero(in_map(often, bits, p.anchor) if hot else
+                                in_map(repeated, bits, p.anchor) & ~in_map(often, bits, p.anchor))
             raw = data.tobytes()
-            for s in range(0, len(at), 50_000):
-                some = at[s:s + 50_000]
+            for s in range(0, len(at), 20_000):
+                some = at[s:s + 20_000]
+                begin = p.at[some]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(in_map(is_hot, bits, p.anchor[some])), pa.array(p.anchor[some].view(np.int64)), pa.array(did[some]),
-                     pa.array(h[some]), pa.array(p.start[some]), pa.array(p.off[some].astype(np.int32)),
-                     pa.array([raw[a:b] for a, b in zip(p.at[some].tolist(), (p.at[some] + p.n[some] + length - 1).tolist())], pa.binary())],
-                    names=["hot", "anchor", "did", "h", "start", "off", "bytes"])
+                    [pa.array(p.anchor[some].view(np.int64)), pa.array(did[some]), pa.array(h[some]), pa.array(p.start[some]),
+                     pa.array(p.off[some].astype(np.int32)),
+                     pa.array([raw[a:b] for a, b in zip(begin.tolist(), (begin + p.n[some] + length - 1).tolist())], pa.binary())],
+                    names=PIECE)
 
-    return docs.mapInArrow(run, "hot boolean, anchor long, did long, h long, start long, off int, bytes binary")
+    return docs.mapInArrow(run, "anchor long, did long, h long, start long, off int, bytes binary")
+
+
+def collapsed(hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of (written) pieces: the first of every class of equal bytes, and the
+    spans of the later ones."""
+    place = F.struct("did", "h", "start")
+    classes = written(hot.groupBy("anchor", "off", "bytes").agg(F.min(place).alias("first"), F.count("*").alias("n")), "classes")
+    # the class of a piece by 256 bits of its bytes: its bytes are not sent again
+    several = classes.where("n > 1").select(F.unhex(F.sha2("bytes", 256)).alias("class"), "first")
+    later = (hot.select("did", "h", "start", F.length("bytes").alias("size"), F.unhex(F.sha2("bytes", 256)).alias("class"))
+             .join(several, "class").where(place != F.col("first"))
+             .select("did", "h", "start", (F.col("start") + F.col("size")).alias("stop")))
+    return classes.select("anchor", "first.*", "off", "bytes").select(*PIECE), later
 
 
 def repeated_windows(pieces: list[bytes], off: np.ndarray, rank: np.ndarray, length: int, k: int) -> np.ndarray:
@@ -300,22 +224,18 @@ def repeated_windows(pieces: list[bytes], off: np.ndarray, rank: np.ndarray, len
     m = len(pieces)
     left = length - k
     sizes = np.asarray([len(p) for p in pieces])
-    columns = np.zeros((left + length, m), dtype=np.uint8)          # one row per round
-    present = np.zeros((left + length, m), dtype=bool)
+    columns = np.zeros((left + length, m), dtype=np.uint16)         # one row per round; 0: outside the piece
     flat = np.frombuffer(b"".join(pieces), dtype=np.uint8)
     piece = np.repeat(np.arange(m), sizes)
     column = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + left - np.repeat(off, sizes)
-    columns[column, piece] = flat
-    present[column, piece] = True
+    columns[column, piece] = flat.astype(np.uint16) + np.uint16(1)
     order = np.arange(m)
     common = np.zeros(m, dtype=np.int16)
     out = np.zeros((m, left + 1), dtype=bool)
     big = np.iinfo(np.int64).max
     for c in range(left + length - 1, -1, -1):
         # the segment of the transform: symbols before the sorted suffixes
-        # (absent ones, outside a piece, sort apart from all bytes)
-        segment = columns[c][order].astype(np.uint16) + present[c][order]
-        segment[~present[c][order]] = 0
+        segment = columns[c][order]
         by = np.argsort(segment, kind="stable")
         order = order[by]
         symbol = segment[by]
@@ -400,21 +320,18 @@ def repeats(docs: DataFrame, length: int, k: int, group_rows: int, block_rows: i
     sc = docs.sparkSession.sparkContext
     often = anchors(docs, length, k).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
     every, hot = bit_maps(often.select(F.col("anchor").alias("key"), (F.col("n") > group_rows).alias("hot")), filter_bits)
-    repeated = sc.broadcast((every.tobytes(), hot.tobytes()))
-    found = written(settled(occurrences(docs, repeated, filter_bits, length, k), block_rows), "settled")
-    # the same mixing as _place_key
-    key = F.col("digest").bitwiseXOR(F.col("h")).bitwiseXOR(F.col("did")).bitwiseXOR(F.shiftleft("start", 11))
-    wanted, _ = bit_maps(found.where(F.col("kind") != SPAN).select(key.alias("key"), F.lit(False).alias("hot")), filter_bits)
-    places = sc.broadcast(wanted.tobytes())
-    full = piece_bytes(docs, places, repeated, filter_bits, length, k)
-    if hot.any():
-        full = written(full, "pieces")
-    columns = ["anchor", "did", "h", "start", "off", "bytes"]
-    spans = construct(full.where("NOT hot").select(*columns).repartition("anchor").sortWithinPartitions("anchor"),
-                      length, k, block_rows)
+    maps = sc.broadcast((every.tobytes(), hot.tobytes()))
+    rows = pieces(docs, maps, filter_bits, length, k, hot=False)
+    others = []
     if hot.any():
-        spans = spans.unionByName(exploded(full.where("hot"), length))
-    return spans.unionByName(found.where(F.col("kind") == SPAN).select("did", "h", "start", "stop"))
+        first, later = collapsed(written(pieces(docs, maps, filter_bits, length, k, hot=True), "hot"))
+        crowd = written(first.groupBy("anchor").count().where(F.col("count") > group_rows).select("anchor"), "crowd")
+        rows = rows.unionByName(first.join(crowd, "anchor", "left_anti"))
+        others = [later, exploded(first.join(crowd, "anchor", "left_semi"), length)]
+    spans = construct(rows.repartition("anchor").sortWithinPartitions("anchor"), length, k, block_rows)
+    for more in others:
+        spans = spans.unionByName(more)
+    return spans
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, anchor: int = ANCHOR,

@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quarry.llm import suffix_dedup
 from tests.llm.helpers import ODD_TEXTS, documents, empty, prose
@@ -126,6 +127,43 @@ def test_construction_against_sorted_windows():
             assert got[i, c + length - k] == want
 
 
+def _decided(spark, docs: list, group_rows: int) -> tuple[set, set]:
+    """Bytes (document, place) removed by the construction alone, and by all."""
+    df = documents(spark, docs, extra=False).selectExpr("doc_id AS did", "0L AS h", "coalesce(text, '') AS text")
+    often = suffix_dedup.anchors(df, 100, 32).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
+    every, hot = suffix_dedup.bit_maps(often.select(F.col("anchor").alias("key"), (F.col("n") > group_rows).alias("hot")), 27)
+    maps = spark.sparkContext.broadcast((every.tobytes(), hot.tobytes()))
+    rows = suffix_dedup.pieces(df, maps, 27, 100, 32, hot=False)
+    got = suffix_dedup.construct(rows.repartition("anchor").sortWithinPartitions("anchor"), 100, 32, 20_000)
+    both = [suffix_dedup.repeats(df, 100, 32, group_rows, 20_000, 27), got]
+    every_byte, constructed = ({(r.did, b) for r in x.collect() for b in range(r.start, r.stop)} for x in both)
+    return constructed, every_byte
+
+
+def test_the_construction_decides_every_repeat(spark):
+    """No digest and no other path removes a byte where no anchor is hot."""
+    docs = texts(12)
+    constructed, all_of_them = _decided(spark, docs, 50_000)
+    assert constructed == all_of_them
+    assert len(all_of_them) == sum(b - a for spans, _ in brute([(t or "").encode() for t in docs], 100) for a, b in spans)
+
+
+def test_hot_anchors_are_collapsed_by_their_bytes(spark):
+    """Copies and near copies of one text: the first piece of a class stands
+    for all, differing pieces still meet in the construction."""
+    rng = random.Random(8)
+    base = prose(rng, 80)
+    docs = [base] * 30
+    for _ in range(12):
+        ws = base.split()
+        ws[rng.randrange(len(ws))] = prose(rng, 1)
+        docs.append(" ".join(ws))
+    rng.shuffle(docs)
+    constructed, all_of_them = _decided(spark, docs, 15)
+    assert len(constructed) < len(all_of_them) == sum(
+        b - a for spans, _ in brute([t.encode() for t in docs], 100) for a, b in spans)
+
+
 def test_empty(spark):
     assert suffix_dedup.keep_first(empty(spark)).collect() == []
 
