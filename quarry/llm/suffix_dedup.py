@@ -55,7 +55,7 @@ from quarry.sources.tables import load
 
 LENGTH = 100
 ANCHOR = 32
-GROUP_ROWS = 50_000
+GROUP_ROWS = 10_000
 BLOCK_ROWS = 20_000
 FILTER_BITS = 27
 SEGMENT = 2 << 20
