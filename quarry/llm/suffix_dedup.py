@@ -201,17 +201,24 @@ def pieces(docs: DataFrame, maps, bits: int, length: int, k: int, hot: bool) ->
     return docs.mapInArrow(run, "anchor long, did long, h long, start long, off int, bytes binary")
 
 
-def collapsed(hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+def collapsed(hot: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
     """Of (written) pieces: the first of every class of equal bytes, and the
-    spans of the later ones."""
-    place = F.struct("did", "h", "start")
-    classes = written(hot.groupBy("anchor", "off", "bytes").agg(F.min(place).alias("first"), F.count("*").alias("n")), "classes")
-    # the class of a piece by 256 bits of its bytes: its bytes are not sent again
-    several = classes.where("n > 1").select(F.unhex(F.sha2("bytes", 256)).alias("class"), "first")
-    later = (hot.select("did", "h", "start", F.length("bytes").alias("size"), F.unhex(F.sha2("bytes", 256)).alias("class"))
-             .join(several, "class").where(place != F.col("first"))
-             .select("did", "h", "start", (F.col("start") + F.col("size")).alias("stop")))
-    return classes.select("anchor", "first.*", "off", "bytes").select(*PIECE), later
+    spans of the later ones.  The places of the first ones are a bit map: what
+    lies outside it is a later copy, the few later copies that it lets through
+    are inserted like any piece."""
+    place = ["did", "h", "start"]
+    first = hot.groupBy("anchor", "off", "bytes").agg(F.min(F.struct(*place)).alias("first")).select("first.*")
+    taken, _ = bit_maps(first.select(F.xxhash64(*place).alias("key"), F.lit(False).alias("hot")), bits)
+    shared = hot.sparkSession.sparkContext.broadcast(taken.tobytes())
+
+    @F.arrow_udf("boolean")
+    def inside(key: pa.Array) -> pa.Array:
+        return pa.array(in_map(np.frombuffer(shared.value, dtype=np.uint8), bits, key.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    marked = hot.withColumn("first", inside(F.xxhash64(*place)))
+    later = marked.where("NOT first").select(*place, (F.col("start") + F.length("bytes")).alias("stop"))
+    # a repeated row has its pieces at the same places: they count once
+    return marked.where("first").dropDuplicates(place).select(*PIECE), later
 
 
 def repeated_windows(pieces: list[bytes], off: np.ndarray, rank: np.ndarray, length: int, k: int) -> np.ndarray:
@@ -324,7 +331,8 @@ def repeats(docs: DataFrame, length: int, k: int, group_rows: int, block_rows: i
     rows = pieces(docs, maps, filter_bits, length, k, hot=False)
     others = []
     if hot.any():
-        first, later = collapsed(written(pieces(docs, maps, filter_bits, length, k, hot=True), "hot"))
+        first, later = collapsed(written(pieces(docs, maps, filter_bits, length, k, hot=True), "hot"), filter_bits)
+        first = written(first, "first")
         crowd = written(first.groupBy("anchor").count().where(F.col("count") > group_rows).select("anchor"), "crowd")
         rows = rows.unionByName(first.join(crowd, "anchor", "left_anti"))
         others = [later, exploded(first.join(crowd, "anchor", "left_semi"), length)]
