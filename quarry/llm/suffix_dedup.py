@@ -55,7 +55,7 @@ from quarry.sources.tables import load
 
 LENGTH = 100
 ANCHOR = 32
-GROUP_ROWS = 10_000
+GROUP_ROWS = 50_000
 BLOCK_ROWS = 20_000
 FILTER_BITS = 27
 SEGMENT = 2 << 20
@@ -211,14 +211,20 @@ def collapsed(hot: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
     taken, _ = bit_maps(first.select(F.xxhash64(*place).alias("key"), F.lit(False).alias("hot")), bits)
     shared = hot.sparkSession.sparkContext.broadcast(taken.tobytes())
 
-    @F.arrow_udf("boolean")
-    def inside(key: pa.Array) -> pa.Array:
-        return pa.array(in_map(np.frombuffer(shared.value, dtype=np.uint8), bits, key.to_numpy(zero_copy_only=False).view(np.uint64)))
-
-    marked = hot.withColumn("first", inside(F.xxhash64(*place)))
-    later = marked.where("NOT first").select(*place, (F.col("start") + F.length("bytes")).alias("stop"))
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits_of = np.frombuffer(shared.value, dtype=np.uint8)
+        for b in batches:
+            *fields, raw, key = b.columns
+            inside = pa.array(in_map(bits_of, bits, key.to_numpy().view(np.uint64)))
+            stop = pa.compute.add(b.column("start"), pa.compute.binary_length(raw).cast(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*fields, pa.compute.if_else(inside, raw, pa.scalar(None, pa.binary())), stop],
+                                             names=[*PIECE, "stop"])
+
+    told = written(hot.select(*PIECE, F.xxhash64(*place).alias("key")).mapInArrow(
+        tell, "anchor long, did long, h long, start long, off int, bytes binary, stop long"), "told")
     # a repeated row has its pieces at the same places: they count once
-    return marked.where("first").dropDuplicates(place).select(*PIECE), later
+    return (told.where("bytes IS NOT NULL").dropDuplicates(place).select(*PIECE),
+            told.where("bytes IS NULL").select(*place, "stop"))
 
 
 def repeated_windows(pieces: list[bytes], off: np.ndarray, rank: np.ndarray, length: int, k: int) -> np.ndarray:

@@ -42,7 +42,7 @@ def texts(seed: int) -> list:
     return out
 
 
-@pytest.mark.parametrize("group_rows,block_rows,filter_bits", [(10_000, 20_000, 27), (3, 4, 10)])
+@pytest.mark.parametrize("group_rows,block_rows,filter_bits", [(50_000, 20_000, 27), (3, 4, 10)])
 def test_against_brute_force(spark, group_rows, block_rows, filter_bits):
     """The second setting sends most groups down the path for hot anchors,
     cuts tiny blocks and overfills the filters."""
@@ -143,7 +143,7 @@ def _decided(spark, docs: list, group_rows: int) -> tuple[set, set]:
 def test_the_construction_decides_every_repeat(spark):
     """No digest and no other path removes a byte where no anchor is hot."""
     docs = texts(12)
-    constructed, all_of_them = _decided(spark, docs, 10_000)
+    constructed, all_of_them = _decided(spark, docs, 50_000)
     assert constructed == all_of_them
     assert len(all_of_them) == sum(b - a for spans, _ in brute([(t or "").encode() for t in docs], 100) for a, b in spans)
 
@@ -164,6 +164,15 @@ def test_hot_anchors_are_collapsed_by_their_bytes(spark):
         b - a for spans, _ in brute([t.encode() for t in docs], 100) for a, b in spans)
 
 
+def test_repeated_rows_of_a_hot_text(spark):
+    """Many rows of one document are one document on the path for hot anchors, too."""
+    rng = random.Random(9)
+    t = prose(rng, 60)
+    df = spark.createDataFrame([(1, t)] * 20 + [(2, t)] * 20, "doc_id long, text string").repartition(3)
+    got = suffix_dedup.keep_first(df, group_rows=5).collect()
+    assert sorted((r.doc_id, len(r.kept)) for r in got) == [(1, len(t.encode()))] * 20 + [(2, 0)] * 20
+
+
 def test_empty(spark):
     assert suffix_dedup.keep_first(empty(spark)).collect() == []
 
