@@ -16,6 +16,7 @@ expression.  Memory per task is one batch, whatever the group sizes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -121,6 +122,42 @@ def grouped_udaf(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOKEN_SEPARATOR = r"[ \t\n\r]+"
 
 
+# Text bytes split at once inside a task: the tokens of a text, their
+# positions and their texts' keys take some twenty times its bytes.
+TOKEN_CHUNK_BYTES = 1 << 20
+
+
+def text_runs(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` with about ``limit`` bytes of text, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def text_pieces(text: pa.Array, limit: int) -> Iterator[pa.Array]:
+    """A run's texts as they are, but a single text above ``limit`` bytes in
+    pieces of about ``limit``, each ending behind a separator (so that no
+    token is cut) or with the text."""
+    whole = text[0].as_buffer() if len(text) == 1 else None
+    if whole is None or whole.size <= limit:
+        yield text
+        return
+    separator = re.compile(TOKEN_SEPARATOR.encode())
+    cuts = [0]
+    while cuts[-1] < whole.size:
+        found = separator.search(whole, cuts[-1] + limit)
+        cuts.append(found.end() if found else whole.size)
+    offsets = np.array(cuts, np.int64 if pa.types.is_large_string(text.type) else np.int32)
+    pieces = pa.Array.from_buffers(text.type, len(cuts) - 1, [None, pa.py_buffer(offsets), whole])
+    for i in range(len(pieces)):
+        yield pieces.slice(i, 1)
+
+
 @arrow_udtf(returnType=T.StructType([T.StructField("doc_id", T.LongType()),
                                      T.StructField("pos", T.IntegerType()),
                                      T.StructField("token", T.StringType())]))
@@ -128,27 +165,37 @@ class Tokens:
     """Table function: (doc_id, text) rows -> one row per token of each whole
     text, with its 0-based position among the text's tokens.
 
-    Arrow-native: ``eval`` gets a whole RecordBatch and splits every text of
-    it with one vectorized regex split (RE2, as in the SQL twin); positions
-    come from the parent index of each token.  No per-row Python.
+    Arrow-native: ``eval`` gets a whole RecordBatch, takes it in runs of about
+    TOKEN_CHUNK_BYTES of text, and splits every text of a run with one
+    vectorized regex split (RE2, as in the SQL twin); positions come from the
+    parent index of each token.  No per-row Python, and a task's memory is one
+    batch of texts and the tokens of one run, whatever the batch holds.
     """
 
     def eval(self, batch: pa.RecordBatch):
-        parts = pc.split_pattern_regex(batch.column("text"), TOKEN_SEPARATOR)
+        for run in text_runs(batch, TOKEN_CHUNK_BYTES):
+            done = 0                    # tokens of a long text's earlier pieces
+            for text in text_pieces(run.column("text"), TOKEN_CHUNK_BYTES):
+                tokens, parent = self.split(text)
+                if not len(tokens):
+                    continue
+                idx = np.arange(len(parent))
+                first = np.ones(len(parent), dtype=bool)
+                first[1:] = parent[1:] != parent[:-1]
+                pos = idx - np.maximum.accumulate(np.where(first, idx, 0)) + done
+                done += len(tokens)
+                yield pa.RecordBatch.from_arrays(
+                    [pc.take(run.column("doc_id"), pa.array(parent)), pa.array(pos, pa.int32()), tokens],
+                    names=["doc_id", "pos", "token"])
+
+    @staticmethod
+    def split(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The tokens of the texts, and for each the index of its text."""
+        parts = pc.split_pattern_regex(text, TOKEN_SEPARATOR)
         tokens = pc.list_flatten(parts)
-        parent = pc.list_parent_indices(parts)
         keep = pc.not_equal(tokens, "")
-        tokens = pc.filter(tokens, keep)
-        parent = pc.filter(parent, keep).to_numpy(zero_copy_only=False)
-        idx = np.arange(len(parent))
-        first = np.ones(len(parent), dtype=bool)
-        first[1:] = parent[1:] != parent[:-1]
-        if not len(idx):
-            return
-        pos = idx - np.maximum.accumulate(np.where(first, idx, 0))
-        yield pa.RecordBatch.from_arrays(
-            [pc.take(batch.column("doc_id"), pa.array(parent)), pa.array(pos, pa.int32()), tokens],
-            names=["doc_id", "pos", "token"])
+        parent = pc.filter(pc.list_parent_indices(parts), keep)
+        return pc.filter(tokens, keep), parent.to_numpy(zero_copy_only=False)
 
 
 UDTF_NAME = "quarry_tokens"

@@ -4,7 +4,10 @@ ties, empty input, boundaries, duplicates and late rows."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +88,27 @@ def test_tokens_udtf_whitespace_edges(spark):
     assert got == [(1, 0, "a"), (1, 1, "bb"), (1, 2, "c"), (4, 0, "x")]
 
 
+def test_tokens_udtf_works_in_bounded_runs():
+    """A batch is split run by run, and a long text piece by piece, so no
+    output holds the tokens of much more than a megabyte of text; rows are
+    those of a split of each whole text."""
+    mb = 1 << 20
+    words = ["a", "\u00e9t\u00e9", "\u00a0", "b" * 30, "\U0001f600"]
+    gaps = [" ", "\t\n", "  \r\n  ", " \u2003"]
+    long = "".join(words[i % 5] + gaps[i % 4] for i in range(6 * mb // 12))
+    run = " " * (mb - 2) + "xy" + "z" * 50 + " \n" * 10       # a cut would fall into the token
+    texts = ["skipped", None, "", "  a\tbb ", long, "x" * (3 * mb // 2), run, None, " \n", "c d" * 400_000, "e"]
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 1, 2, None, 4, 5, 6, 7, 8, 9, 9], pa.int64()),
+                                        pa.array(texts, pa.string())], names=["doc_id", "text"]).slice(1)
+    out = list(Tokens.func().eval(batch))
+    assert max(pc.sum(pc.binary_length(b["token"])).as_py() for b in out) <= 2 * mb
+    assert max(b.num_rows for b in out) <= mb // 2
+    got = [r for b in out for r in zip(*[c.to_pylist() for c in b.columns])]
+    want = [(d, pos, token) for d, text in zip(batch["doc_id"].to_pylist(), texts[1:])
+            for pos, token in enumerate(t for t in re.split(r"[ \t\n\r]+", text or "") if t)]
+    assert got == want
+
+
 def test_session_gap_boundary(spark):
     """Spark session windows: an event exactly ``gap`` after the previous one
     still joins the session (touching windows merge; the oracle breaks on
